@@ -1,20 +1,21 @@
 """Global positions without a single-partition window.
 
-``row_number() OVER (ORDER BY k)`` moves every row into one task. Instead:
-
-1. range-partition on the (strata, order) keys - bounds come from sampling, so
-   partitions are balanced even when the key distribution is skewed - and sort
-   inside each partition;
-2. tag rows with their partition id and ``monotonically_increasing_id`` (which
-   is position-within-partition in its low bits) and cut lineage with a reliable
-   checkpoint, so positions never change when a task is re-run;
-3. count rows per (partition, stratum) - at most partitions + strata rows - and
-   turn the counts into start offsets with a window over that tiny relation;
-4. join the offsets back (broadcast: its size is bounded by the partition count
-   plus the stratum count, checked before hinting) and add them.
-
+``row_number() OVER (ORDER BY k)`` moves every row into one task. Instead rows
+get a *logical bucket* that is monotone in the order, a position inside their
+bucket, and a start offset per bucket computed from per-bucket counts (a
+relation of at most buckets x strata rows, broadcast after its size is checked).
 The result equals ``row_number() OVER (PARTITION BY strata ORDER BY order) - 1``
-for a total order (callers pass a tie-breaking key).
+for a total order (callers pass a tie-breaking key). Two ways to get buckets:
+
+* ``buckets=`` a column that is already monotone in the order and spread evenly,
+  e.g. the leading hex digits of an md5 order key. Position in bucket is a
+  ``row_number`` over (strata, bucket) - small, evenly sized windows, fully
+  deterministic, so no lineage cut is needed.
+* otherwise range partitioning: bounds come from sampling, so buckets are
+  balanced even for skewed keys. The bucket is the partition id and the
+  position is the low bits of ``monotonically_increasing_id``; both are pinned
+  by writing the relation once to the checkpoint folder before they are used
+  twice (counts and rows), so a re-run task can never renumber rows.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textguard.session import cut_lineage
+from textguard.session import materialize
 
 # Offsets relations up to this many rows are broadcast; beyond, a shuffle join.
 OFFSETS_BROADCAST_ROWS = 2_000_000
@@ -33,42 +34,68 @@ def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def hex_buckets(hex_col: Column, digits: int = 3) -> Column:
+    """Monotone bucket of a hex-string order key: its first ``digits`` hex digits."""
+    return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("int")
+
+
+def bucket_counts(df: DataFrame, buckets: Column, strata=()) -> DataFrame:
+    """Rows per (bucket, stratum): a small relation (buckets x strata rows),
+    computed with map-side partial aggregation and kept for reuse."""
+    return df.groupBy(buckets.alias("_p"), *strata).agg(F.count(F.lit(1)).alias("_n")).persist()
+
+
+def _with_offsets(rows: DataFrame, counts: DataFrame, strata: list[str], out: str, local: Column) -> DataFrame:
+    counts = counts if counts.is_cached else counts.persist()
+    w = Window.partitionBy(*strata).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_p", *strata, *([c for c in counts.columns if c == "_m0"]), F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    if offsets.count() <= OFFSETS_BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
+    return rows.join(offsets, ["_p", *strata]).withColumn(out, (F.col("_off") + local).cast("bigint"))
+
+
 def global_index(
     df: DataFrame,
     order_cols,
     strata=(),
     out: str = "idx",
     num_partitions: int | None = None,
+    buckets: Column | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """0-based position of each row in ``order_cols`` order (within ``strata``)."""
+    """0-based position of each row in ``order_cols`` order (within ``strata``).
+
+    ``counts`` may pass the ``bucket_counts`` of the same input and buckets when
+    the caller needs them too (computed once).
+    """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     strata = list(strata)
-    keys = _cols(strata) + _cols(order_cols)
+    order = _cols(order_cols)
+    if buckets is not None:
+        b = df.withColumn("_p", buckets)
+        counts = counts if counts is not None else bucket_counts(df, buckets, strata)
+        rn = F.row_number().over(Window.partitionBy("_p", *strata).orderBy(*order)) - 1
+        rows = b.withColumn("_r", rn)
+        return _with_offsets(rows, counts, strata, out, F.col("_r")).drop("_p", "_r", "_off")
+
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = _cols(strata) + order
     ranged = (
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_p", F.spark_partition_id())
         .withColumn("_m", F.monotonically_increasing_id())
     )
-    ranged = cut_lineage(ranged)
+    ranged = materialize(ranged, "index")
     counts = ranged.groupBy("_p", *strata).agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
-    w = Window.partitionBy(*strata).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_p", *strata, "_m0", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    if offsets.count() <= OFFSETS_BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    return (
-        ranged.join(offsets, ["_p", *strata])
-        .withColumn(out, (F.col("_off") + F.col("_m") - F.col("_m0")).cast("bigint"))
-        .drop("_p", "_m", "_m0", "_off")
-    )
+    return _with_offsets(ranged, counts, strata, out, F.col("_m") - F.col("_m0")).drop("_p", "_m", "_m0", "_off")
 
 
 def batch_id(df: DataFrame, order_cols, size: int, out: str = "batch", idx: str = "idx") -> DataFrame:
     """Fixed-size batches by position (``batch = idx div size``)."""
     if idx not in df.columns:
         df = global_index(df, order_cols, out=idx)
-    return df.withColumn(out, F.floor(F.col(idx) / F.lit(size)).cast("bigint"))
+    return df.withColumn(out, F.expr(f"{idx} div {int(size)}").cast("bigint"))
 
 
 def slice_rows(df: DataFrame, order_cols, start: int, count: int, idx: str = "idx") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textguard.operators.index import global_index
+from textguard.operators.index import bucket_counts, global_index, hex_buckets
 
 
 def shuffle_key(key: Column, seed: int = 42) -> Column:
@@ -22,7 +22,8 @@ def shuffle_key(key: Column, seed: int = 42) -> Column:
 
 def shuffle(df: DataFrame, key: str, seed: int = 42, out: str = "pos") -> DataFrame:
     """Seeded full shuffle; ``out`` is the 0-based shuffled position."""
-    return global_index(df.withColumn("_h", shuffle_key(F.col(key), seed)), ["_h", key], out=out).drop("_h")
+    h = df.withColumn("_h", shuffle_key(F.col(key), seed))
+    return global_index(h, ["_h", key], out=out, buckets=hex_buckets(F.col("_h"))).drop("_h")
 
 
 def random_split(df: DataFrame, key: str, seed: int = 42, split_col: str = "split") -> DataFrame:
@@ -54,9 +55,14 @@ def _largest_remainder(counts: DataFrame, strata: str, base: str, total: Column,
     )
 
 
-def stratified_quotas(df: DataFrame, strata: str) -> DataFrame:
-    """Per class: n, hold-out size and test size (one row per class)."""
-    counts = df.groupBy(strata).agg(F.count(F.lit(1)).alias("n_class"))
+def stratified_quotas(df: DataFrame, strata: str, counts: DataFrame | None = None) -> DataFrame:
+    """Per class: n, hold-out size and test size (one row per class).
+
+    ``counts`` may give per-(bucket, class) counts already computed (``_n``)."""
+    if counts is not None:
+        counts = counts.groupBy(strata).agg(F.sum("_n").alias("n_class"))
+    else:
+        counts = df.groupBy(strata).agg(F.count(F.lit(1)).alias("n_class"))
     everything = Window.partitionBy(F.lit(0))
     counts = counts.withColumn("_N", F.sum("n_class").over(everything))
     counts = counts.withColumn("_H", F.expr("(_N * 2 + 9) div 10"))
@@ -77,10 +83,11 @@ def check_strata(df: DataFrame, strata: str, minimum: int = 2) -> DataFrame:
 def stratified_split(df: DataFrame, key: str, strata: str, seed: int = 42, split_col: str = "split") -> DataFrame:
     """Stratified 80/10/10; within a class, first n_test (md5 order) -> test,
     next n_hold - n_test -> valid, rest -> train."""
-    quotas = F.broadcast(stratified_quotas(df, strata))  # one row per class
-    ranked = global_index(
-        df.withColumn("_h", shuffle_key(F.col(key), seed)), ["_h", key], strata=[strata], out="_rank"
-    ).drop("_h")
+    h = df.withColumn("_h", shuffle_key(F.col(key), seed))
+    buckets = hex_buckets(F.col("_h"))
+    counts = bucket_counts(h, buckets, [strata])  # one pass, shared by quotas and ranks
+    quotas = F.broadcast(stratified_quotas(df, strata, counts))  # one row per class
+    ranked = global_index(h, ["_h", key], strata=[strata], out="_rank", buckets=buckets, counts=counts).drop("_h")
     split = (
         F.when(F.col("_rank") < F.col("n_test"), F.lit("test"))
         .when(F.col("_rank") < F.col("n_hold"), F.lit("valid"))

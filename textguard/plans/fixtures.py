@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from textguard.functions import text as tx
 from textguard.operators import policy, split
 from textguard.operators.index import batch_id
-from textguard.sources.readers import table
+from textguard.sources.readers import table, text_table
 
 # ---------------------------------------------------------------------------
 # Benign Korean sentences of the labelling policy and the label
@@ -42,7 +42,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     Labels grow with the corpus, so no broadcast hint: AQE broadcasts it at run
     time when its measured size is under the threshold and sort-merges otherwise.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic", "quality")
     return policy.label(docs.join(labels, "doc_id", "left"))
 
@@ -138,7 +138,7 @@ def batch_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J5-J8 'raw' side: every document in doc_id order."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return text_table(spark, sf_dir, "documents", "doc_id", "doc_id", "text")
 
 
 def proc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,17 +14,18 @@ from textguard.functions import lexicon as lx
 from textguard.functions import parse, rules
 from textguard.functions import text as tx
 from textguard.operators import audit, curate, diff, model, overrides, policy, requests, split
-from textguard.operators.index import batch_id, drop_range, global_index, slice_rows
+from textguard.operators.index import batch_id, drop_range, global_index, hex_buckets, slice_rows
 from textguard.plans import fixtures as fx
 from textguard.plans.catalog import query
-from textguard.sources.readers import table
+from textguard.sources.readers import table, text_table
+from textguard.session import materialize
 from textguard.streaming import stream
 
 R6 = 6  # decimals kept for doubles
 
 
 def _docs_labels(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = text_table(spark, sf, "documents", "doc_id", "doc_id", "text")
     labels = table(spark, sf, "labels").select("doc_id", "toxic", "quality")
     return docs.join(labels, "doc_id", "left")
 
@@ -42,7 +43,7 @@ def q_r11_label(spark: SparkSession, sf: str):
 
 @query("r3_action_from_severity")
 def q_r3(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = text_table(spark, sf, "documents", "doc_id", "doc_id", "text")
     sev = F.least(F.lit(5), lx.hit_count(F.col("text"))).cast("int")
     return d.select("doc_id", sev.alias("severity")).withColumn("action", rules.action_from_severity(F.col("severity")))
 
@@ -55,20 +56,20 @@ def q_r4(spark, sf):
 
 @query("r5_purify")
 def q_r5(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = text_table(spark, sf, "documents", "doc_id", "doc_id", "text")
     return policy.purify_text(d, "text").select("doc_id", "purified")
 
 
 @query("r6_lexicon_hits")
 def q_r6(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = text_table(spark, sf, "documents", "doc_id", "doc_id", "text")
     f = policy.lexicon_features(d, "text")
     return f.select("doc_id", F.array_join("kw", ", ").alias("keywords"), "n_distinct", "n_hits", "categories")
 
 
 @query("r7_squeeze_match")
 def q_r7(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = text_table(spark, sf, "documents", "doc_id", "doc_id", "text")
     return d.select(
         "doc_id",
         F.size(lx.keywords(F.col("text"))).cast("int").alias("n_plain"),
@@ -369,7 +370,9 @@ def q_p5(spark, sf):
 def q_k3(spark, sf):
     nmt = curate.nmt_subset(fx.splits(spark, sf))
     keyed = nmt.withColumn("_h", split.shuffle_key(F.col("row_id")))
-    ix = global_index(keyed.select("split", "_h", "row_id", "source", "target"), ["_h", "row_id"], strata=["split"], out="line_no")
+    ix = global_index(
+        keyed.select("split", "_h", "row_id", "source", "target"), ["_h", "row_id"], strata=["split"], out="line_no", buckets=hex_buckets(F.col("_h"))
+    )
     return ix.select("split", (F.col("line_no") + 1).alias("line_no"), "row_id", tx.one_line(F.col("source")).alias("src"), tx.one_line(F.col("target")).alias("tgt"))
 
 
@@ -400,7 +403,7 @@ def q_u3(spark, sf):
 # =========================================================================== X (scalar functions)
 @query("x1_sanitize")
 def q_x1(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = text_table(spark, sf, "documents", "doc_id", "doc_id", "text")
     return d.select("doc_id", tx.sanitize(F.col("text")).alias("key"), tx.sanitize(F.col("text"), True).alias("key_strict"))
 
 
@@ -496,7 +499,10 @@ def q_m1(spark, sf):
 
 
 def _train_test(spark, sf):
+    """Training reads its input several times (IDF, then the classifier): pin the
+    split once as a table in the checkpoint folder instead of recomputing it."""
     s = fx.splits(spark, sf).select("row_id", F.col("source").alias("text"), F.col("action").alias("label"), "split")
+    s = materialize(s, "splits")
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 

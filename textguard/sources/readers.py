@@ -23,6 +23,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def balanced(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan over at least the cluster's task slots.
+
+    A big table arrives in many file splits and is returned unchanged (no extra
+    shuffle). A table stored as a few large row groups would run its CPU-heavy
+    text work in a handful of tasks; it is hash-partitioned on ``keys`` (so a
+    later join or aggregate on them reuses the partitioning) or round-robin.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: str) -> DataFrame:
+    """A text-heavy driver table, pruned to ``cols`` and spread for CPU work."""
+    df = table(spark, sf_dir, name)
+    if cols:
+        df = df.select(*cols)
+    return balanced(df, key)
+
+
 def read_tsv(
     spark: SparkSession,
     path: str,
