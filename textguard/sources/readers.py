@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CORRUPT = "_corrupt"
-
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -52,15 +50,16 @@ def read_tsv(
     header: bool = True,
     malformed: str = "keep",
 ) -> DataFrame:
-    """Header TSV, BOM tolerant, quoted multi-line cells.
-
-    ``malformed='keep'`` returns every record plus ``n_fields`` (how many fields
-    the physical record had; null when the record parsed cleanly) so callers can
-    pass short rows through unchanged; ``'skip'`` drops records with fewer
-    fields than the schema (the audit's behaviour). Over-long rows are kept.
+    """Header TSV, BOM tolerant, quoted multi-line cells, doubled quotes.
+
+    Cells are read like Python's ``csv`` module: an empty cell is ``''`` (the
+    null marker is set to a character that never occurs in text), so a *null*
+    field can only mean the physical record was short. ``n_fields`` counts the
+    fields present. ``malformed='keep'`` returns every record (a fixer passes
+    short rows through); ``'skip'`` drops records with fewer fields than the
+    schema (the audit's behaviour). Extra fields of over-long rows are ignored.
     """
-    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    df = spark.read.schema(with_corrupt).csv(
+    df = spark.read.schema(schema).csv(
         path,
         sep="\t",
         header=header,
@@ -68,18 +67,20 @@ def read_tsv(
         escape='"',
         multiLine=True,
         mode="PERMISSIVE",
-        columnNameOfCorruptRecord=CORRUPT,
+        nullValue="\u0000",
+        emptyValue="",
         encoding="UTF-8",
     )
-    n_fields = F.when(F.col(CORRUPT).isNull(), F.lit(len(schema.fields))).otherwise(
-        F.size(F.split(F.regexp_replace(F.col(CORRUPT), r"[\r\n]+$", ""), "\t"))
-    )
+    present = [F.col(f.name).isNotNull().cast("int") for f in schema.fields]
+    n_fields = present[0]
+    for c in present[1:]:
+        n_fields = n_fields + c
     df = df.withColumn("n_fields", n_fields.cast("int"))
     if malformed == "skip":
         df = df.filter(F.col("n_fields") >= len(schema.fields))
     elif malformed != "keep":
         raise ValueError("malformed must be 'keep' or 'skip'")
-    return df.drop(CORRUPT)
+    return df
 
 
 def literal_rows(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
