@@ -51,6 +51,7 @@ def audit_samples(df: DataFrame, order_col: str = "row_id", caps: dict[str, int]
     rn = F.row_number().over(Window.partitionBy("rule").orderBy(order_col))
     return (
         v.withColumn("rn", rn)
+        .filter(F.col("rn") <= max(caps.values()))  # literal bound: enables the pre-shuffle group limit
         .filter(F.col("rn") <= cap)
         .select("rule", F.col(order_col), F.substring("source", 1, AUDIT_PREVIEW_CHARS).alias("preview"), F.col("rn").cast("int").alias("rn"))
     )

@@ -372,6 +372,15 @@ SELECT batch, first_id, n_rows,
 FROM packed CROSS JOIN policy CROSS JOIN fewshot""",
 )
 
+_DOM = ", ".join(f"('{v}', '{t}')" for v, toks in CATEGORY_SETS.items() for t in toks)
+register(
+    "s3_category_domain",
+    L,
+    f"dom AS (SELECT * FROM (VALUES {_DOM}) t(version, token))",
+    f"used AS (SELECT token, count(*) AS n_rows FROM (SELECT unnest({cat_tokens('category')}) AS token FROM labelled) GROUP BY token)",
+    body="SELECT d.version, d.token, coalesce(u.n_rows, 0) AS n_rows FROM dom d LEFT JOIN used u ON d.token = u.token",
+)
+
 # =========================================================================== F
 register("f1_filter_flagged", body="SELECT d.doc_id, d.text FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.toxic = 1")
 register("f2_project", L, body="SELECT row_id, source AS text, action AS label FROM labelled")

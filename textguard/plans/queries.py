@@ -17,6 +17,8 @@ from textguard.operators import audit, curate, diff, model, overrides, policy, r
 from textguard.operators.index import batch_id, drop_range, global_index, hex_buckets, slice_rows
 from textguard.plans import fixtures as fx
 from textguard.plans.catalog import query
+from textguard.schemas import CATEGORY_SETS
+from textguard.sources import readers
 from textguard.sources.readers import table, text_table
 from textguard.session import materialize
 from textguard.streaming import stream
@@ -114,6 +116,18 @@ def q_r12(spark, sf):
     return requests.build_requests(batches, pol, shots)
 
 
+@query("s3_category_domain")
+def q_s3(spark, sf):
+    """S3: the versioned category domains as an inline relation, matched against
+    the category tokens that occur in the labelled data (broadcast: a literal)."""
+    dom = readers.literal_rows(
+        spark, [(v, t) for v, toks in CATEGORY_SETS.items() for t in toks], "version string, token string"
+    )
+    used = fx.labelled(spark, sf).select(F.explode(tx.category_tokens(F.col("category"))).alias("token"))
+    counts = used.groupBy("token").agg(F.count(F.lit(1)).alias("n_rows"))
+    return F.broadcast(dom).join(counts, "token", "left").select("version", "token", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
 # =========================================================================== F (filters)
 @query("f1_filter_flagged")
 def q_f1(spark, sf):
