@@ -89,3 +89,11 @@ def test_meta_commentary_only_when_new(spark):
         [(1, "너 왜 그래", "왜 그러십니까? 안타깝습니다."), (2, "정말 안타깝습니다", "정말 안타깝습니다")], "row_id long, source string, target string"
     )
     assert [r.row_id for r in audit.meta_commentary_rows(df).collect()] == [1]
+
+
+def test_lexicon_word_boundaries_are_ascii(spark):
+    from textguard.functions import lexicon as lx
+
+    df = spark.createDataFrame([("éidiot",), ("x_idiot",), ("日idiot",), ("Idiot IDIOT moron, idiotic",)], "t string")
+    got = [(r.k, r.p) for r in df.select(lx.keywords(F.col("t")).alias("k"), lx.purify(F.col("t")).alias("p")).collect()]
+    assert got == [(["idiot"], "éperson"), ([], "x_idiot"), (["idiot"], "日person"), (["idiot", "moron"], "person person person, idiotic")]

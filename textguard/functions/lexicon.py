@@ -39,16 +39,33 @@ DEFAULT_LEXICON = (
 )
 
 
+# Word boundaries are ASCII: a lexicon word glued to a letter outside [A-Za-z0-9_]
+# (an accented letter, Hangul, CJK) still counts as a separate word. Java's \b
+# (JDK 17) is Unicode-aware, so the JVM patterns spell the ASCII boundary out
+# with look-arounds; the SQL twins use RE2's \b, which is ASCII. Same matches.
+WB_LEFT = r"(?<![A-Za-z0-9_])"
+WB_RIGHT = r"(?![A-Za-z0-9_])"
+
+
 def lexicon_pattern(lexicon=DEFAULT_LEXICON) -> str:
     """Whole-word alternation over lower-cased text; group 1 is the hit.
 
     Callers lower-case first, so the pattern needs no case-insensitive flag
     (which makes the JVM matcher markedly slower on long texts).
     """
-    return r"\b(" + "|".join(e.word.lower() for e in lexicon) + r")\b"
+    return WB_LEFT + "(" + "|".join(e.word.lower() for e in lexicon) + ")" + WB_RIGHT
 
 
 def word_pattern(word: str) -> str:
+    return r"(?i)" + WB_LEFT + word + WB_RIGHT
+
+
+def sql_lexicon_pattern(lexicon=DEFAULT_LEXICON) -> str:
+    """RE2 twin of ``lexicon_pattern`` (ASCII \b)."""
+    return r"\b(" + "|".join(e.word.lower() for e in lexicon) + r")\b"
+
+
+def sql_word_pattern(word: str) -> str:
     return r"(?i)\b" + word + r"\b"
 
 

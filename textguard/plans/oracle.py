@@ -14,7 +14,7 @@ from textguard.functions import text as tx
 from textguard.plans.fixtures import BATCH, KOREAN_SENTENCES
 from textguard.schemas import BLOCK_TARGET, CATEGORY_SETS
 
-_P = lx.lexicon_pattern()
+_P = lx.sql_lexicon_pattern()
 WS = "(' ' || chr(9) || chr(13) || chr(10))"
 NL = "chr(10)"
 BT = f"'{BLOCK_TARGET}'"
@@ -27,7 +27,7 @@ def _sql_list(items) -> str:
 def purify_sql(col: str) -> str:
     out = col
     for e in lx.DEFAULT_LEXICON:
-        out = f"regexp_replace({out}, '{lx.word_pattern(e.word)}', '{e.stem}', 'g')"
+        out = f"regexp_replace({out}, '{lx.sql_word_pattern(e.word)}', '{e.stem}', 'g')"
     return out
 
 
