@@ -18,8 +18,9 @@ from textguard.operators.index import global_index
 def _keyed(df: DataFrame, order_cols, text: str, strict_reference: bool, prefix: str) -> DataFrame:
     """Position + text + sanitised key; the key is computed once, before the
     relation is pinned, so later joins read it instead of re-running the regex."""
-    keyed = df.select(*order_cols, F.col(text).alias(f"{prefix}_text"), tx.sanitize(F.col(text), strict_reference).alias(f"{prefix}_key"))
-    ix = global_index(keyed, order_cols, out=f"{prefix}_pos")
+    keyed = df.select(*order_cols, F.col(text).alias(f"{prefix}_text"))
+    key = {f"{prefix}_key": tx.sanitize(F.col(f"{prefix}_text"), strict_reference)}
+    ix = global_index(keyed, order_cols, out=f"{prefix}_pos", derive=key)
     return ix.select(F.col(f"{prefix}_pos"), F.col(f"{prefix}_text"), F.col(f"{prefix}_key"))
 
 

@@ -62,11 +62,15 @@ def global_index(
     num_partitions: int | None = None,
     buckets: Column | None = None,
     counts: DataFrame | None = None,
+    derive: dict[str, Column] | None = None,
 ) -> DataFrame:
     """0-based position of each row in ``order_cols`` order (within ``strata``).
 
     ``counts`` may pass the ``bucket_counts`` of the same input and buckets when
-    the caller needs them too (computed once).
+    the caller needs them too (computed once). ``derive`` adds columns after the
+    exchange (in range mode: computed in parallel once and pinned with the rows),
+    so costly per-row work never runs in a scan that may have few splits nor in
+    the range-sampling pass.
     """
     spark = df.sparkSession
     strata = list(strata)
@@ -76,6 +80,8 @@ def global_index(
         counts = counts if counts is not None else bucket_counts(df, buckets, strata)
         rn = F.row_number().over(Window.partitionBy("_p", *strata).orderBy(*order)) - 1
         rows = b.withColumn("_r", rn)
+        for name, col in (derive or {}).items():
+            rows = rows.withColumn(name, col)
         return _with_offsets(rows, counts, strata, out, F.col("_r")).drop("_p", "_r", "_off")
 
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -86,6 +92,8 @@ def global_index(
         .withColumn("_p", F.spark_partition_id())
         .withColumn("_m", F.monotonically_increasing_id())
     )
+    for name, col in (derive or {}).items():
+        ranged = ranged.withColumn(name, col)
     ranged = materialize(ranged, "index")
     counts = ranged.groupBy("_p", *strata).agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
     return _with_offsets(ranged, counts, strata, out, F.col("_m") - F.col("_m0")).drop("_p", "_m", "_m0", "_off")
