@@ -69,15 +69,26 @@ def sql_word_pattern(word: str) -> str:
     return r"(?i)\b" + word + r"\b"
 
 
+def _hits(text: Column, lexicon) -> Column:
+    """All lexicon hits in order. A substring pre-check skips the regex for the
+    (usual) text that contains no lexicon word at all; it cannot change results."""
+    low = F.lower(text)
+    maybe = None
+    for e in lexicon:
+        c = low.contains(e.word.lower())
+        maybe = c if maybe is None else (maybe | c)
+    hits = F.regexp_extract_all(low, F.lit(lexicon_pattern(lexicon)), F.lit(1))
+    return F.when(maybe, hits).when(text.isNotNull(), F.array().cast("array<string>"))
+
+
 def keywords(text: Column, lexicon=DEFAULT_LEXICON) -> Column:
     """Sorted distinct lexicon hits (lower case) in ``text``."""
-    hits = F.regexp_extract_all(F.lower(text), F.lit(lexicon_pattern(lexicon)), F.lit(1))
-    return F.array_sort(F.array_distinct(hits))
+    return F.sort_array(F.array_distinct(_hits(text, lexicon)))
 
 
 def hit_count(text: Column, lexicon=DEFAULT_LEXICON) -> Column:
     """Number of (non-distinct) lexicon hits, as INT."""
-    return F.size(F.regexp_extract_all(F.lower(text), F.lit(lexicon_pattern(lexicon)), F.lit(1)))
+    return F.size(_hits(text, lexicon))
 
 
 def categories_of(kw: Column, lexicon=DEFAULT_LEXICON) -> Column:
