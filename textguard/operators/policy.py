@@ -91,33 +91,33 @@ def label(
     )
 
 
+# Lexicons up to this many entries are broadcast to the token join.
+LEXICON_BROADCAST_ROWS = 5_000_000
+
+
 def purify_text(df: DataFrame, text_col: str, out_col: str = "purified", lexicon=lx.DEFAULT_LEXICON) -> DataFrame:
     """R5 as a column-adding operator."""
     return df.withColumn(out_col, lx.purify(F.col(text_col), lexicon))
 
 
 def purify_by_join(df: DataFrame, id_col: str, text_col: str, lexicon_df: DataFrame, out_col: str = "purified") -> DataFrame:
-    """R5 for a lexicon too large to fold into the plan.
-
-    Tokenise on word boundaries keeping separators, look tokens up in the
-    lexicon ``(word, stem)`` with an equi-join (Spark broadcasts it when its
-    runtime size is under the threshold, else shuffles), and reassemble in
-    token order per document. The reassembly is one group per document, so a
-    single document is the largest unit one task ever holds.
+    """R5 for a lexicon too large to fold into the plan (millions of entries).
+
+    Tokens (words and separators, positions kept) are matched against the
+    lexicon ``(word, stem)`` with an equi-join - AQE broadcasts the lexicon when
+    it is small enough and splits skewed token partitions otherwise. Only the
+    hits travel further: per document a small ``position -> stem`` map, joined
+    back by id and applied to the same token array. Documents without a hit
+    keep their text; no document's tokens are ever gathered in a shuffle.
     """
-    tokens = df.select(
-        F.col(id_col).alias("_id"),
-        F.posexplode(F.split(F.col(text_col), r"(?<=\W)|(?=\W)")).alias("_pos", "_tok"),
-    )
+    toks = lx.token_runs(F.col(text_col))
+    tokens = df.select(F.col(id_col).alias("_id"), F.posexplode(toks).alias("_pos", "_tok"))
     lex = lexicon_df.select(F.lower("word").alias("_w"), F.col("stem").alias("_stem"))
-    joined = tokens.join(lex, F.lower(F.col("_tok")) == F.col("_w"), "left")
-    rebuilt = joined.groupBy("_id").agg(
-        F.array_join(
-            F.transform(
-                F.array_sort(F.collect_list(F.struct("_pos", F.coalesce("_stem", "_tok").alias("t")))),
-                lambda s: s["t"],
-            ),
-            "",
-        ).alias(out_col)
-    )
-    return df.join(rebuilt, F.col(id_col) == F.col("_id"), "left").drop("_id")
+    # the lexicon is the small side: broadcast it after counting it, otherwise
+    # sort-merge (never let the planner broadcast the token side)
+    lex = F.broadcast(lex) if lexicon_df.count() <= LEXICON_BROADCAST_ROWS else lex.hint("merge")
+    hits = tokens.join(lex, F.lower(F.col("_tok")) == F.col("_w"), "inner")
+    fixes = hits.groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_stem"))).alias("_fix"))
+    rebuilt = F.array_join(F.transform(toks, lambda t, i: F.coalesce(F.element_at(F.col("_fix"), i), t)), "")
+    out = df.join(fixes, F.col(id_col) == F.col("_id"), "left")
+    return out.withColumn(out_col, F.when(F.col("_fix").isNull(), F.col(text_col)).otherwise(rebuilt)).drop("_id", "_fix")

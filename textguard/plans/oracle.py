@@ -302,6 +302,8 @@ FROM (
 )""",
 )
 register("r5_purify", body=f"SELECT doc_id, {purify_sql('text')} AS purified FROM documents")
+register("r5_purify_by_join", body=f"SELECT doc_id, {purify_sql('text')} AS purified FROM documents")
+register("r5_purify_by_map", body=f"SELECT doc_id, {purify_sql('text')} AS purified FROM documents")
 register(
     "r6_lexicon_hits",
     body=f"""

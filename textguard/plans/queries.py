@@ -62,6 +62,21 @@ def q_r5(spark, sf):
     return policy.purify_text(d, "text").select("doc_id", "purified")
 
 
+@query("r5_purify_by_join")
+def q_r5_join(spark, sf):
+    """R5 through the large-lexicon path (token equi-join with the lexicon)."""
+    d = text_table(spark, sf, "documents", "doc_id", "doc_id", "text")
+    lex = spark.createDataFrame([(e.word, e.stem) for e in lx.DEFAULT_LEXICON], "word string, stem string")
+    return policy.purify_by_join(d, "doc_id", "text", lex).select("doc_id", "purified")
+
+
+@query("r5_purify_by_map")
+def q_r5_map(spark, sf):
+    """R5 through the map-lookup path (mid-size lexicons)."""
+    d = text_table(spark, sf, "documents", "doc_id", "doc_id", "text")
+    return d.select("doc_id", lx.purify_by_map(F.col("text")).alias("purified"))
+
+
 @query("r6_lexicon_hits")
 def q_r6(spark, sf):
     d = text_table(spark, sf, "documents", "doc_id", "doc_id", "text")
