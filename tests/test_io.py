@@ -107,3 +107,22 @@ def test_ingest_dataset(spark, tmp_path):
     out = str(tmp_path / "landed")
     readers.ingest_dataset(df, out)
     assert spark.read.parquet(out).filter("split = 'train'").count() == 1
+
+
+def test_bucketed_landing_joins_without_shuffle(spark, tmp_path):
+    from conftest import SF_SMALL
+
+    docs = readers.table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    labels = readers.table(spark, SF_SMALL, "labels")
+    sinks.write_bucketed(docs, "tg_docs_b", "doc_id", 4, str(tmp_path / "docs_b"))
+    sinks.write_bucketed(labels, "tg_labels_b", "doc_id", 4, str(tmp_path / "labels_b"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("tg_docs_b").join(spark.table("tg_labels_b"), "doc_id", "left")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == docs.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS tg_docs_b")
+        spark.sql("DROP TABLE IF EXISTS tg_labels_b")

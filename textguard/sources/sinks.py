@@ -105,3 +105,10 @@ def replace_dataset(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         raise OSError(f"could not publish {staging} as {path}")
     if had_old:
         fs.delete(backup_p, True)
+
+
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> None:
+    """Land a table bucketed and sorted on ``key`` (e.g. documents and labels on
+    doc_id with the same bucket count) so later joins and aggregations on the key
+    read co-located buckets and plan no shuffle."""
+    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
