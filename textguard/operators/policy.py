@@ -15,6 +15,15 @@ from textguard.functions import rules
 from textguard.schemas import ACTION_VERBS, BLOCK, BLOCK_TARGET, PURIFY
 
 
+def evaluate_once(c: Column) -> Column:
+    """Wrap a costly expression in a no-op that depends on the partition id.
+
+    The projection holding it becomes nondeterministic, so Catalyst neither
+    pushes filters below it nor inlines it into several places; the
+    expression is computed once per row where it is defined."""
+    return F.when(F.spark_partition_id() >= 0, c)
+
+
 def origin_tags(toxic: Column, quality: Column) -> Column:
     """Provenance tags from the toxic/quality flags of the source record."""
     return (
@@ -62,7 +71,11 @@ def label(
     """
     text = F.col(text_col)
     match_on = lx.squeeze(text) if squeeze_first else text
-    kw = lx.keywords(match_on, lexicon)
+    # Evaluate the keyword array once per row. Without the barrier, a later
+    # filter on action/target/category would be pushed below this projection
+    # with the regex inlined once per reference (filters get no common
+    # subexpression elimination), multiplying the costliest work of the job.
+    kw = evaluate_once(lx.keywords(match_on, lexicon))
     toxic = F.col(toxic_col) if toxic_col else F.lit(None).cast("int")
     quality = F.col(quality_col) if quality_col else F.lit(None).cast("int")
     base = df.select(

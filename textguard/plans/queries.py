@@ -397,7 +397,8 @@ def q_p5(spark, sf):
 
 @query("k3_parallel_pairs")
 def q_k3(spark, sf):
-    nmt = curate.nmt_subset(fx.splits(spark, sf))
+    # the split is read twice below (bucket counts, then rows): pin it once
+    nmt = materialize(curate.nmt_subset(fx.splits(spark, sf)).select("split", "row_id", "source", "target"), "nmt")
     keyed = nmt.withColumn("_h", split.shuffle_key(F.col("row_id")))
     ix = global_index(
         keyed.select("split", "_h", "row_id", "source", "target"), ["_h", "row_id"], strata=["split"], out="line_no", buckets=hex_buckets(F.col("_h"))

@@ -25,9 +25,15 @@ def balanced(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a scan over at least the cluster's task slots.
 
     A big table arrives in many file splits and is returned unchanged (no extra
-    shuffle). A table stored as a few large row groups would run its CPU-heavy
-    text work in a handful of tasks; it is hash-partitioned on ``keys`` (so a
-    later join or aggregate on them reuses the partitioning) or round-robin.
+    shuffle, every optimisation intact). A table stored as a few large row
+    groups would run its CPU-heavy text work in a handful of tasks; it is
+    hash-partitioned on ``keys`` (round-robin without keys).
+
+    Catalyst pushes deterministic filters below a repartition, which would move
+    an expensive filter (say, on a regex-derived label) back into those few
+    scan tasks. So the first key is passed through a no-op that depends on the
+    partition id: the projection is then nondeterministic and later filters
+    stay above the exchange, where the work is spread.
     """
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
@@ -35,7 +41,9 @@ def balanced(df: DataFrame, *keys: str) -> DataFrame:
             return df
     except Exception:  # sessions without RDD access: leave the scan as planned
         return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+    spread = df.repartition(target, *keys) if keys else df.repartition(target)
+    pin = keys[0] if keys else df.columns[0]
+    return spread.withColumn(pin, F.when(F.spark_partition_id() >= 0, F.col(pin)))
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: str) -> DataFrame:
