@@ -763,7 +763,7 @@ SELECT l.row_id, t.tone FROM labelled l CROSS JOIN (VALUES ('격식체'), ('해
 register(
     "t1_moderate_stream",
     L,
-    body="SELECT row_id, source, target, action, severity, category, reason, 'unlabelled' AS origin_tags FROM labelled",
+    body="SELECT * FROM labelled",
 )
 register(
     "t3_manner_score_batch",

@@ -567,7 +567,8 @@ def q_m5(spark, sf):
 @query("t1_moderate_stream")
 def q_t1(spark, sf):
     docs = stream.read_stream(spark, sf, table(spark, sf, "documents").schema, glob="documents.parquet", max_files_per_trigger=1)
-    return stream.run_available_now(stream.moderate_stream(docs), "t1")
+    labels = table(spark, sf, "labels")
+    return stream.run_available_now(stream.moderate_stream(docs.select("doc_id", "text"), labels=labels), "t1")
 
 
 @query("t2_stream_dedup")

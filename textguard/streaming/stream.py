@@ -27,9 +27,14 @@ def read_stream(spark: SparkSession, directory: str, schema, glob: str = "*.parq
     return r.parquet(directory)
 
 
-def moderate_stream(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Per-message rule labelling (R11) on a stream, no state."""
-    return policy.label(docs, text_col=text, id_col=id_col, toxic_col=None, quality_col=None)
+def moderate_stream(docs: DataFrame, text: str = "text", id_col: str = "doc_id", labels: DataFrame | None = None) -> DataFrame:
+    """Per-message rule labelling (R11) on a stream, no state.
+
+    With ``labels`` (a static table of toxic/quality flags) each message is
+    enriched by a stream-static left join first, so provenance tags are kept."""
+    if labels is None:
+        return policy.label(docs, text_col=text, id_col=id_col, toxic_col=None, quality_col=None)
+    return policy.label(docs.join(labels.select(id_col, "toxic", "quality"), id_col, "left"), text_col=text, id_col=id_col)
 
 
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
