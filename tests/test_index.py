@@ -75,3 +75,18 @@ def test_sample_is_topk(spark):
     s = split.sample_n(d, "doc_id", 7)
     assert s.count() == 7
     assert "TakeOrderedAndProject" in _plan(s)
+
+
+def test_threshold_split_moves_no_rows(spark):
+    d = _docs(spark)
+    plan = _plan(split.stratified_split(d, "doc_id", "lang"))
+    data_path = plan.split("BroadcastExchange")[0]
+    assert "Exchange" not in data_path and "Window" not in data_path
+
+
+def test_threshold_split_equals_ranked_split(spark):
+    d = _docs(spark).repartition(3)
+    a = split.stratified_split(d, "doc_id", "lang").select("doc_id", F.col("split").alias("a"))
+    b = split.stratified_split_ranked(d, "doc_id", "lang").select("doc_id", F.col("split").alias("b"))
+    j = a.join(b, "doc_id")
+    assert j.count() == d.count() and j.filter("a <> b").count() == 0

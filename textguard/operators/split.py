@@ -26,17 +26,70 @@ def shuffle(df: DataFrame, key: str, seed: int = 42, out: str = "pos") -> DataFr
     return global_index(h, ["_h", key], out=out, buckets=hex_buckets(F.col("_h"))).drop("_h")
 
 
+def _cut_rows(h: DataFrame, key: str, strata: list[str], counts: DataFrame, cuts: DataFrame) -> DataFrame:
+    """For each stratum and cut rank q, the (hash, key) of the row at 0-based
+    rank q in (hash, key) order - null when q is past the last row.
+
+    Only the bucket that holds rank q is ranked: per-bucket counts give each
+    bucket's first rank, so the boundary bucket and the rank inside it are
+    known; those few rows (about n/4096 per cut) get a window, nothing else
+    moves.
+    """
+    w = Window.partitionBy(*strata).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select("_p", *strata, "_n", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    where = cuts.join(offs, strata).filter((F.col("_q") >= F.col("_off")) & (F.col("_q") < F.col("_off") + F.col("_n")))
+    where = F.broadcast(where.select(*strata, "_cut", "_p", (F.col("_q") - F.col("_off")).alias("_local")))
+    rows = h.join(where.select(*strata, "_p").distinct(), [*strata, "_p"], "left_semi")
+    rn = F.row_number().over(Window.partitionBy(*strata, "_p").orderBy("_h", key)) - 1
+    ranked = rows.select(*strata, "_p", "_h", F.col(key).alias("_k"), rn.alias("_local"))
+    found = ranked.join(where, [*strata, "_p", "_local"]).select(*strata, "_cut", "_h", "_k")
+    return cuts.select(*strata, "_cut").join(found, [*strata, "_cut"], "left")
+
+
+def assign_by_rank(df: DataFrame, key: str, cuts, labels, strata=(), seed: int = 42, out: str = "split") -> DataFrame:
+    """Label rows by their rank in seeded-hash order without moving them.
+
+    ``cuts`` has one row per stratum with columns ``q1 <= q2``: ranks below q1
+    get ``labels[0]``, below q2 ``labels[1]``, the rest ``labels[2]``. The
+    boundary rows are found on the small per-bucket relation and a few
+    boundary buckets; the rows themselves are labelled by comparing their
+    (hash, key) with the broadcast boundaries - a map-only pass, so a corpus of
+    any size is split without shuffling its text.
+    """
+    strata = list(strata)
+    drop_all = not strata
+    if drop_all:  # one stratum for everything
+        df, cuts, strata = df.withColumn("_all", F.lit(0)), cuts.withColumn("_all", F.lit(0)), ["_all"]
+    h = df.withColumn("_h", shuffle_key(F.col(key), seed)).withColumn("_p", hex_buckets(F.col("_h")))
+    counts = h.groupBy("_p", *strata).agg(F.count(F.lit(1)).alias("_n")).persist()
+    if callable(cuts):  # cuts computed from the per-bucket counts (no extra pass)
+        cuts = cuts(counts)
+    long_cuts = cuts.select(
+        *strata, F.explode(F.array(F.struct(F.lit(1).alias("_cut"), F.col("q1").alias("_q")), F.struct(F.lit(2).alias("_cut"), F.col("q2").alias("_q")))).alias("c")
+    ).select(*strata, "c._cut", F.col("c._q").cast("bigint").alias("_q"))
+    bounds = _cut_rows(h, key, strata, counts, long_cuts)
+    wide = bounds.groupBy(*strata).agg(
+        F.max(F.when(F.col("_cut") == 1, F.col("_h"))).alias("_h1"),
+        F.max(F.when(F.col("_cut") == 1, F.col("_k"))).alias("_k1"),
+        F.max(F.when(F.col("_cut") == 2, F.col("_h"))).alias("_h2"),
+        F.max(F.when(F.col("_cut") == 2, F.col("_k"))).alias("_k2"),
+    )
+
+    def below(hc: str, kc: str) -> Column:
+        return F.col(hc).isNull() | (F.col("_h") < F.col(hc)) | ((F.col("_h") == F.col(hc)) & (F.col(key) < F.col(kc)))
+
+    label = F.when(below("_h1", "_k1"), F.lit(labels[0])).when(below("_h2", "_k2"), F.lit(labels[1])).otherwise(F.lit(labels[2]))
+    joined = h.join(F.broadcast(wide), strata, "left")  # one row per stratum
+    out_df = joined.withColumn(out, label).drop("_h", "_p", "_h1", "_k1", "_h2", "_k2")
+    return out_df.drop("_all") if drop_all else out_df
+
+
 def random_split(df: DataFrame, key: str, seed: int = 42, split_col: str = "split") -> DataFrame:
-    """80/10/10 on shuffled position: train = floor(.8n), valid = floor(.1n), test = rest."""
+    """80/10/10 in seeded-hash order: train = floor(.8n), valid = floor(.1n), test = rest."""
     n = df.count()
     n_train, n_valid = n * 8 // 10, n // 10
-    pos = shuffle(df, key, seed, out="_pos")
-    split = (
-        F.when(F.col("_pos") < n_train, F.lit("train"))
-        .when(F.col("_pos") < n_train + n_valid, F.lit("valid"))
-        .otherwise(F.lit("test"))
-    )
-    return pos.withColumn(split_col, split).drop("_pos")
+    cuts = df.sparkSession.createDataFrame([(n_train, n_train + n_valid)], "q1 long, q2 long")
+    return assign_by_rank(df, key, cuts, ("train", "valid", "test"), seed=seed, out=split_col)
 
 
 def _largest_remainder(counts: DataFrame, strata: str, base: str, total: Column, take: Column, out: str) -> DataFrame:
@@ -82,7 +135,19 @@ def check_strata(df: DataFrame, strata: str, minimum: int = 2) -> DataFrame:
 
 def stratified_split(df: DataFrame, key: str, strata: str, seed: int = 42, split_col: str = "split") -> DataFrame:
     """Stratified 80/10/10; within a class, first n_test (md5 order) -> test,
-    next n_hold - n_test -> valid, rest -> train."""
+    next n_hold - n_test -> valid, rest -> train. Rows are labelled in place
+    (``assign_by_rank``); only per-class quotas and boundary rows are computed."""
+
+    def cuts(counts: DataFrame) -> DataFrame:
+        q = stratified_quotas(df, strata, counts)
+        return q.select(strata, F.col("n_test").alias("q1"), F.col("n_hold").alias("q2"))
+
+    return assign_by_rank(df, key, cuts, ("test", "valid", "train"), strata=[strata], seed=seed, out=split_col)
+
+
+def stratified_split_ranked(df: DataFrame, key: str, strata: str, seed: int = 42, split_col: str = "split") -> DataFrame:
+    """P3 through explicit within-class ranks (a window over (class, hash
+    bucket) moves every row once); kept for callers that need the rank."""
     h = df.withColumn("_h", shuffle_key(F.col(key), seed))
     buckets = hex_buckets(F.col("_h"))
     counts = bucket_counts(h, buckets, [strata])  # one pass, shared by quotas and ranks

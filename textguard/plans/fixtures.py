@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from textguard.functions import text as tx
 from textguard.operators import policy, split
 from textguard.operators.index import batch_id
+from textguard.session import materialize
 from textguard.sources.readers import table, text_table
 
 # ---------------------------------------------------------------------------
@@ -93,8 +94,13 @@ def string_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def splits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P3 stratified split of labelled by action (FIXTURES 3.3)."""
-    return split.stratified_split(labelled(spark, sf_dir), "row_id", "action")
+    """P3 stratified split of labelled by action (FIXTURES 3.3).
+
+    The split reads its input a few times (bucket counts, boundary buckets,
+    then the in-place labelling), so the labelled relation is written once to
+    the checkpoint folder first - as a pipeline would keep it as a table - and
+    the first two passes read two narrow columns of it."""
+    return split.stratified_split(materialize(labelled(spark, sf_dir), "labelled"), "row_id", "action")
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
