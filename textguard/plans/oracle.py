@@ -581,7 +581,7 @@ register(
     body=f"""
 SELECT token, count(*) AS n
 FROM (SELECT unnest(string_split_regex({strip('target')}, '\\s+')) AS token FROM labelled)
-WHERE length(token) > 0 GROUP BY token HAVING count(*) >= 2""",
+WHERE length(token) > 0 GROUP BY token HAVING count(*) >= 1""",
 )
 
 # =========================================================================== W

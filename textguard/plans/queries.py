@@ -349,7 +349,7 @@ def q_a12(spark, sf):
 
 @query("a13_build_vocab")
 def q_a13(spark, sf):
-    return model.build_vocab(fx.labelled(spark, sf), "target", min_freq=2)
+    return model.build_vocab(fx.labelled(spark, sf), "target", min_freq=1)
 
 
 # =========================================================================== W (positions)
