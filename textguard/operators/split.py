@@ -73,7 +73,7 @@ def assign_by_rank(df: DataFrame, key: str, cuts, labels, strata=(), seed: int =
         F.max(F.when(F.col("_cut") == 1, F.col("_k"))).alias("_k1"),
         F.max(F.when(F.col("_cut") == 2, F.col("_h"))).alias("_h2"),
         F.max(F.when(F.col("_cut") == 2, F.col("_k"))).alias("_k2"),
-    )
+    ).persist()  # one row per stratum; reused by every job that reads the split
 
     def below(hc: str, kc: str) -> Column:
         return F.col(hc).isNull() | (F.col("_h") < F.col(hc)) | ((F.col("_h") == F.col(hc)) & (F.col(key) < F.col(kc)))

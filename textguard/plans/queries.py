@@ -397,8 +397,7 @@ def q_p5(spark, sf):
 
 @query("k3_parallel_pairs")
 def q_k3(spark, sf):
-    # the split is read twice below (bucket counts, then rows): pin it once
-    nmt = materialize(curate.nmt_subset(fx.splits(spark, sf)).select("split", "row_id", "source", "target"), "nmt")
+    nmt = curate.nmt_subset(fx.splits(spark, sf)).select("split", "row_id", "source", "target")
     keyed = nmt.withColumn("_h", split.shuffle_key(F.col("row_id")))
     ix = global_index(
         keyed.select("split", "_h", "row_id", "source", "target"), ["_h", "row_id"], strata=["split"], out="line_no", buckets=hex_buckets(F.col("_h"))
@@ -529,8 +528,8 @@ def q_m1(spark, sf):
 
 
 def _train_test(spark, sf):
-    """Training reads its input several times (IDF, then the classifier): pin the
-    split once as a table in the checkpoint folder instead of recomputing it."""
+    """Training reads its input several times (IDF, then the classifier): pin
+    the three columns it needs once as a table in the checkpoint folder."""
     s = fx.splits(spark, sf).select("row_id", F.col("source").alias("text"), F.col("action").alias("label"), "split")
     s = materialize(s, "splits")
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
