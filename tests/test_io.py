@@ -126,3 +126,18 @@ def test_bucketed_landing_joins_without_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS tg_docs_b")
         spark.sql("DROP TABLE IF EXISTS tg_labels_b")
+
+
+def test_short_rows_pass_through_the_fixer(spark, tmp_path):
+    from textguard.operators import curate, overrides
+
+    p = tmp_path / "fix.tsv"
+    _write(p, HEADER + "a\tb\t0\t0\tNORMAL\t[none] -> keep\tclean\nshort\trow\n" + "c\tc\t1\t4\tSLUR\t[x] -> block\tabuse\n")
+    rows = readers.read_tsv(spark, str(p), LABELLED_RAW, malformed="keep")
+    fixed = overrides.repair_block(overrides.repair_normal(curate.typed(rows, {"action": "int", "severity": "int"})))
+    got = {r.source: (r.target, r.n_fields) for r in fixed.collect()}
+    assert got["a"] == ("a", 7)  # NORMAL keeps its source
+    assert got["short"] == ("row", 2)  # short row kept as read
+    assert got["c"][0] == "(차단된 문장입니다)"
+    audit_rows = readers.read_tsv(spark, str(p), LABELLED_RAW, malformed="skip")
+    assert sorted(r.source for r in audit_rows.collect()) == ["a", "c"]
