@@ -59,7 +59,9 @@ def assign_by_rank(df: DataFrame, key: str, cuts, labels, strata=(), seed: int =
     strata = list(strata)
     drop_all = not strata
     if drop_all:  # one stratum for everything
-        df, cuts, strata = df.withColumn("_all", F.lit(0)), cuts.withColumn("_all", F.lit(0)), ["_all"]
+        df, strata = df.withColumn("_all", F.lit(0)), ["_all"]
+        if not callable(cuts):
+            cuts = cuts.withColumn("_all", F.lit(0))
     h = df.withColumn("_h", shuffle_key(F.col(key), seed)).withColumn("_p", hex_buckets(F.col("_h")))
     counts = h.groupBy("_p", *strata).agg(F.count(F.lit(1)).alias("_n")).persist()
     if callable(cuts):  # cuts computed from the per-bucket counts (no extra pass)
@@ -86,9 +88,11 @@ def assign_by_rank(df: DataFrame, key: str, cuts, labels, strata=(), seed: int =
 
 def random_split(df: DataFrame, key: str, seed: int = 42, split_col: str = "split") -> DataFrame:
     """80/10/10 in seeded-hash order: train = floor(.8n), valid = floor(.1n), test = rest."""
-    n = df.count()
-    n_train, n_valid = n * 8 // 10, n // 10
-    cuts = df.sparkSession.createDataFrame([(n_train, n_train + n_valid)], "q1 long, q2 long")
+
+    def cuts(counts: DataFrame) -> DataFrame:  # sizes from the bucket counts, no extra pass
+        n = counts.groupBy("_all").agg(F.sum("_n").alias("_N"))
+        return n.select("_all", F.expr("_N * 8 div 10").alias("q1"), F.expr("_N * 8 div 10 + _N div 10").alias("q2"))
+
     return assign_by_rank(df, key, cuts, ("train", "valid", "test"), seed=seed, out=split_col)
 
 
