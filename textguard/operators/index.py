@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textguard.session import materialize
+from textguard.session import bounded_broadcast, materialize
 
 # Offsets relations up to this many rows are broadcast; beyond, a shuffle join.
 OFFSETS_BROADCAST_ROWS = 2_000_000
@@ -49,8 +49,7 @@ def _with_offsets(rows: DataFrame, counts: DataFrame, strata: list[str], out: st
     counts = counts if counts.is_cached else counts.persist()
     w = Window.partitionBy(*strata).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_p", *strata, *([c for c in counts.columns if c == "_m0"]), F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    if offsets.count() <= OFFSETS_BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
+    offsets = bounded_broadcast(offsets, OFFSETS_BROADCAST_ROWS)
     return rows.join(offsets, ["_p", *strata]).withColumn(out, (F.col("_off") + local).cast("bigint"))
 
 

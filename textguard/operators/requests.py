@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from textguard.functions import parse
 from textguard.functions import text as tx
 from textguard.operators.index import batch_id
+from textguard.session import bounded_broadcast
 
 
 def _ordered_join(items: Column, order: Column, sep: str) -> Column:
@@ -54,11 +55,11 @@ def with_context(df: DataFrame, ctx: DataFrame, on: str | None = None) -> DataFr
 
     With ``on`` the context is per key (e.g. per language); without it the
     single context row joins on a constant key. The context side is a handful
-    of rows by construction, so it is broadcast.
+    of rows by construction; it is counted and then broadcast.
     """
     if on is None:
-        return df.withColumn("_ctx", F.lit(0)).join(F.broadcast(ctx.withColumn("_ctx", F.lit(0))), "_ctx").drop("_ctx")
-    return df.join(F.broadcast(ctx), on, "left")
+        return df.withColumn("_ctx", F.lit(0)).join(bounded_broadcast(ctx.withColumn("_ctx", F.lit(0))), "_ctx").drop("_ctx")
+    return df.join(bounded_broadcast(ctx), on, "left")
 
 
 def build_requests(batches: DataFrame, policy: DataFrame, fewshot: DataFrame) -> DataFrame:

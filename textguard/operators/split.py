@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textguard.operators.index import bucket_counts, global_index, hex_buckets
+from textguard.session import bounded_broadcast
 
 
 def shuffle_key(key: Column, seed: int = 42) -> Column:
@@ -38,7 +39,7 @@ def _cut_rows(h: DataFrame, key: str, strata: list[str], counts: DataFrame, cuts
     w = Window.partitionBy(*strata).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("_p", *strata, "_n", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
     where = cuts.join(offs, strata).filter((F.col("_q") >= F.col("_off")) & (F.col("_q") < F.col("_off") + F.col("_n")))
-    where = F.broadcast(where.select(*strata, "_cut", "_p", (F.col("_q") - F.col("_off")).alias("_local")))
+    where = bounded_broadcast(where.select(*strata, "_cut", "_p", (F.col("_q") - F.col("_off")).alias("_local")).persist())
     rows = h.join(where.select(*strata, "_p").distinct(), [*strata, "_p"], "left_semi")
     rn = F.row_number().over(Window.partitionBy(*strata, "_p").orderBy("_h", key)) - 1
     ranked = rows.select(*strata, "_p", "_h", F.col(key).alias("_k"), rn.alias("_local"))
@@ -81,7 +82,7 @@ def assign_by_rank(df: DataFrame, key: str, cuts, labels, strata=(), seed: int =
         return F.col(hc).isNull() | (F.col("_h") < F.col(hc)) | ((F.col("_h") == F.col(hc)) & (F.col(key) < F.col(kc)))
 
     label = F.when(below("_h1", "_k1"), F.lit(labels[0])).when(below("_h2", "_k2"), F.lit(labels[1])).otherwise(F.lit(labels[2]))
-    joined = h.join(F.broadcast(wide), strata, "left")  # one row per stratum
+    joined = h.join(bounded_broadcast(wide), strata, "left")  # one row per stratum
     out_df = joined.withColumn(out, label).drop("_h", "_p", "_h1", "_k1", "_h2", "_k2")
     return out_df.drop("_all") if drop_all else out_df
 
@@ -155,7 +156,7 @@ def stratified_split_ranked(df: DataFrame, key: str, strata: str, seed: int = 42
     h = df.withColumn("_h", shuffle_key(F.col(key), seed))
     buckets = hex_buckets(F.col("_h"))
     counts = bucket_counts(h, buckets, [strata])  # one pass, shared by quotas and ranks
-    quotas = F.broadcast(stratified_quotas(df, strata, counts))  # one row per class
+    quotas = bounded_broadcast(stratified_quotas(df, strata, counts).persist())  # one row per class
     ranked = global_index(h, ["_h", key], strata=[strata], out="_rank", buckets=buckets, counts=counts).drop("_h")
     split = (
         F.when(F.col("_rank") < F.col("n_test"), F.lit("test"))

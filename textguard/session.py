@@ -71,3 +71,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+# Relations up to this many rows may be broadcast after they are counted.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after counting it (a proven bound), else leave the
+    join to a shuffle. Meant for relations that are small by construction
+    (one row per class, per stratum, per bucket); the count is cheap there."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= max_rows else df
