@@ -50,22 +50,27 @@ def pack_batches(df: DataFrame, size: int, order_col: str, text: str = "source")
     )
 
 
-def with_context(df: DataFrame, ctx: DataFrame, on: str | None = None) -> DataFrame:
+def with_context(df: DataFrame, ctx: DataFrame, on: str | None = None, ctx_rows_at_most: int | None = None) -> DataFrame:
     """Attach context columns (policy text, few-shot block) to every row.
 
     With ``on`` the context is per key (e.g. per language); without it the
     single context row joins on a constant key. The context side is a handful
-    of rows by construction; it is counted and then broadcast.
+    of rows; it is broadcast under ``ctx_rows_at_most`` when the caller knows
+    that bound by construction (a limit, a global aggregate), else after a count.
     """
     if on is None:
-        return df.withColumn("_ctx", F.lit(0)).join(bounded_broadcast(ctx.withColumn("_ctx", F.lit(0))), "_ctx").drop("_ctx")
-    return df.join(bounded_broadcast(ctx), on, "left")
+        side = bounded_broadcast(ctx.withColumn("_ctx", F.lit(0)), rows_at_most=ctx_rows_at_most)
+        return df.withColumn("_ctx", F.lit(0)).join(side, "_ctx").drop("_ctx")
+    return df.join(bounded_broadcast(ctx, rows_at_most=ctx_rows_at_most), on, "left")
 
 
 def build_requests(batches: DataFrame, policy: DataFrame, fewshot: DataFrame) -> DataFrame:
-    """Policy + few-shot + packed rows -> the full prompt per batch."""
-    with_policy = with_context(batches, policy)
-    full = with_context(with_policy, fewshot)
+    """Policy + few-shot + packed rows -> the full prompt per batch.
+
+    ``policy`` is one row (a limit 1) and ``fewshot`` one row (a global
+    aggregate of ``fewshot_block``); both bounds hold by construction."""
+    with_policy = with_context(batches, policy, ctx_rows_at_most=1)
+    full = with_context(with_policy, fewshot, ctx_rows_at_most=1)
     prompt = F.concat_ws("\n---\n", F.col("policy"), F.col("fewshot"), F.col("body"))
     return full.select("batch", "first_id", "n_rows", prompt.alias("prompt"))
 

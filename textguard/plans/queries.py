@@ -269,7 +269,7 @@ def q_j8(spark, sf):
 @query("j9_with_context")
 def q_j9(spark, sf):
     pol = table(spark, sf, "benchmark").orderBy("item_id").limit(1).select(F.col("text").alias("policy"))
-    return requests.with_context(fx.labelled(spark, sf).select("row_id"), pol)
+    return requests.with_context(fx.labelled(spark, sf).select("row_id"), pol, ctx_rows_at_most=1)
 
 
 @query("j10_attach_responses")

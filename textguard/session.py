@@ -77,10 +77,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting it (a proven bound), else leave the
-    join to a shuffle. Meant for relations that are small by construction
-    (one row per class, per stratum, per bucket); the count is cheap there."""
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, rows_at_most: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only under a proven bound, else leave the join to a
+    shuffle. The bound is either known by construction (``rows_at_most``: the
+    output of a ``limit`` or of a global aggregate) or established by counting
+    - cheap for relations small by construction (one row per class, stratum
+    or bucket)."""
     from pyspark.sql import functions as F
 
-    return F.broadcast(df) if df.count() <= max_rows else df
+    n = rows_at_most if rows_at_most is not None else df.count()
+    return F.broadcast(df) if n <= max_rows else df
