@@ -15,21 +15,25 @@ from textguard.functions import text as tx
 from textguard.operators.index import global_index
 
 
-def _keyed(df: DataFrame, order_cols, text: str, strict_reference: bool, prefix: str) -> DataFrame:
-    """Position + text + sanitised key; the key is computed once, before the
-    relation is pinned, so later joins read it instead of re-running the regex."""
+def _keyed(df: DataFrame, order_cols, text: str, strict_reference: bool, prefix: str, with_text: bool = True) -> DataFrame:
+    """Order columns, position and sanitised key (and the text if asked).
+
+    The key is computed once, after the range exchange and before the relation
+    is pinned, so later joins read it instead of re-running the regex. Without
+    ``with_text`` the text is not pinned at all; callers fetch the few texts
+    they report by order key."""
     keyed = df.select(*order_cols, F.col(text).alias(f"{prefix}_text"))
     key = {f"{prefix}_key": tx.sanitize(F.col(f"{prefix}_text"), strict_reference)}
-    ix = global_index(keyed, order_cols, out=f"{prefix}_pos", derive=key)
-    return ix.select(F.col(f"{prefix}_pos"), F.col(f"{prefix}_text"), F.col(f"{prefix}_key"))
+    drop = () if with_text else (f"{prefix}_text",)
+    return global_index(keyed, order_cols, out=f"{prefix}_pos", derive=key, drop=drop)
 
 
 def positional_diff(raw: DataFrame, proc: DataFrame, order_cols, text: str = "text", strict_reference: bool = False) -> DataFrame:
     """Positions where raw and processed differ after sanitising, including
     positions present on one side only (full outer join on position).
     ``line`` is 1-based."""
-    r = _keyed(raw, order_cols, text, strict_reference, "raw")
-    p = _keyed(proc, order_cols, text, strict_reference, "proc")
+    r = _keyed(raw, order_cols, text, strict_reference, "raw").select("raw_pos", "raw_key", "raw_text")
+    p = _keyed(proc, order_cols, text, strict_reference, "proc").select("proc_pos", "proc_key", "proc_text")
     j = r.join(p, r["raw_pos"] == p["proc_pos"], "full_outer")
     pos = F.coalesce("raw_pos", "proc_pos")
     kind = (
@@ -47,8 +51,8 @@ def find_gaps(raw: DataFrame, proc: DataFrame, order_cols, text: str = "text", k
     means raw rows i..i+k-1 are missing. Returns one row per missing raw row:
     (gap_line, n_missing, missing_line, missing_text); lines are 1-based.
     ``first_only`` keeps the first gap, as a scan that stops there would."""
-    r = _keyed(raw, order_cols, text, strict_reference, "raw")
-    p = _keyed(proc, order_cols, text, strict_reference, "proc")
+    r = _keyed(raw, order_cols, text, strict_reference, "raw", with_text=False)
+    p = _keyed(proc, order_cols, text, strict_reference, "proc", with_text=False).select("proc_pos", "proc_key")
     mism = r.join(p, r["raw_pos"] == p["proc_pos"]).filter(F.col("raw_key") != F.col("proc_key"))
     cand = mism.select(
         F.col("proc_pos").alias("i"),
@@ -64,11 +68,15 @@ def find_gaps(raw: DataFrame, proc: DataFrame, order_cols, text: str = "text", k
     missing = gaps.select("i", "n_missing", F.explode(F.sequence(F.lit(0), F.col("n_missing") - 1)).alias("j")).withColumn(
         "raw_pos", F.col("i") + F.col("j")
     )
-    return missing.join(r, "raw_pos").select(
+    located = missing.join(r.select("raw_pos", *order_cols), "raw_pos")
+    if first_only:  # at most k rows: fetch their texts with a broadcast lookup
+        located = F.broadcast(located)
+    texts = located.join(raw.select(*order_cols, F.col(text).alias("missing_text")), list(order_cols))
+    return texts.select(
         (F.col("i") + 1).alias("gap_line"),
         F.col("n_missing").cast("int").alias("n_missing"),
         (F.col("raw_pos") + 1).alias("missing_line"),
-        F.col("raw_text").alias("missing_text"),
+        "missing_text",
     )
 
 
@@ -77,8 +85,8 @@ def coverage(raw: DataFrame, proc: DataFrame, order_cols, text: str = "text", st
     'match' (equal everywhere, same length), 'prefix' (processed is a prefix of
     raw; ``next_line`` is the next expected raw line), 'longer' (processed has
     extra rows) or 'discrepancy'."""
-    r = _keyed(raw, order_cols, text, strict_reference, "raw")
-    p = _keyed(proc, order_cols, text, strict_reference, "proc")
+    r = _keyed(raw, order_cols, text, strict_reference, "raw", with_text=False).select("raw_pos", "raw_key")
+    p = _keyed(proc, order_cols, text, strict_reference, "proc", with_text=False).select("proc_pos", "proc_key")
     j = r.join(p, r["raw_pos"] == p["proc_pos"], "full_outer")
     agg = j.agg(
         F.count("raw_pos").alias("n_raw"),

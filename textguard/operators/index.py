@@ -62,6 +62,7 @@ def global_index(
     buckets: Column | None = None,
     counts: DataFrame | None = None,
     derive: dict[str, Column] | None = None,
+    drop=(),
 ) -> DataFrame:
     """0-based position of each row in ``order_cols`` order (within ``strata``).
 
@@ -69,7 +70,8 @@ def global_index(
     the caller needs them too (computed once). ``derive`` adds columns after the
     exchange (in range mode: computed in parallel once and pinned with the rows),
     so costly per-row work never runs in a scan that may have few splits nor in
-    the range-sampling pass.
+    the range-sampling pass; ``drop`` then removes inputs of that work (say, a
+    long text) before anything is pinned or joined.
     """
     spark = df.sparkSession
     strata = list(strata)
@@ -81,6 +83,7 @@ def global_index(
         rows = b.withColumn("_r", rn)
         for name, col in (derive or {}).items():
             rows = rows.withColumn(name, col)
+        rows = rows.drop(*drop)
         return _with_offsets(rows, counts, strata, out, F.col("_r")).drop("_p", "_r", "_off")
 
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -93,7 +96,7 @@ def global_index(
     )
     for name, col in (derive or {}).items():
         ranged = ranged.withColumn(name, col)
-    ranged = materialize(ranged, "index")
+    ranged = materialize(ranged.drop(*drop), "index")
     counts = ranged.groupBy("_p", *strata).agg(F.count(F.lit(1)).alias("_n"), F.min("_m").alias("_m0"))
     return _with_offsets(ranged, counts, strata, out, F.col("_m") - F.col("_m0")).drop("_p", "_m", "_m0", "_off")
 
