@@ -22,7 +22,10 @@ def test_duplicate_override_keys_rejected(spark):
     lab = fx.labelled(spark, SF_SMALL)
     bad = spark.createDataFrame([("k", "a"), ("k", "b")], "key string, new_target string")
     with pytest.raises(overrides.DuplicateOverrideKeys):
-        overrides.apply_overrides(lab, bad)
+        overrides.apply_overrides(lab, bad, validate="eager")
+    clash = spark.createDataFrame([(lab.first().source, "a"), (lab.first().source, "b")], "key string, new_target string")
+    with pytest.raises(Exception, match="two targets"):
+        overrides.apply_overrides(lab, clash).collect()
 
 
 def test_append_new_is_idempotent(spark):

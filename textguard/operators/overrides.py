@@ -31,16 +31,21 @@ def apply_overrides(
     on: str = "source",
     target: str = "target",
     observation: Observation | None = None,
-    validate: bool = True,
+    validate: str = "lazy",
 ) -> DataFrame:
     """J1 (on='source') / J2 (on='target'): replace ``target`` where ``on`` is in the map.
 
     Counts matches (including no-op replacements) in ``observation`` under
-    ``n_modified``. Duplicate identical map rows are collapsed first.
+    ``n_modified``. Identical duplicate map rows collapse; a key with two
+    different targets fails the job: ``validate='lazy'`` (default) raises from
+    inside the same job that applies the map (no extra pass), ``'eager'``
+    checks with a separate job first and raises ``DuplicateOverrideKeys``.
     """
-    if validate:
+    if validate == "eager":
         check_unique(fixes, "key")
-    m = fixes.select(F.col("key").alias("_key"), F.col("new_target").alias("_new")).distinct()
+    m = fixes.groupBy(F.col("key").alias("_key")).agg(F.min("new_target").alias("_lo"), F.max("new_target").alias("_hi"))
+    conflict = F.raise_error(F.concat(F.lit("override map has two targets for key: "), F.substring(F.col("_key"), 1, 80)))
+    m = m.select("_key", F.when(F.col("_lo").eqNullSafe(F.col("_hi")), F.col("_lo")).otherwise(conflict).alias("_new"))
     joined = df.join(m, df[on] == m["_key"], "left")
     hit = F.col("_key").isNotNull()
     out = joined.withColumn(target, F.when(hit, F.col("_new")).otherwise(F.col(target)))
@@ -74,5 +79,5 @@ def repair_block(df: DataFrame, observation: Observation | None = None) -> DataF
 def apply_steps(df: DataFrame, steps) -> DataFrame:
     """Ordered override steps: each ``(fixes, on)`` sees the result of the previous one."""
     for fixes, on in steps:
-        df = apply_overrides(df, fixes, on=on, validate=False)
+        df = apply_overrides(df, fixes, on=on)
     return df
