@@ -20,7 +20,6 @@ from textguard.plans.catalog import query
 from textguard.schemas import CATEGORY_SETS
 from textguard.sources import readers
 from textguard.sources.readers import table, text_table
-from textguard.session import materialize
 from textguard.streaming import stream
 
 R6 = 6  # decimals kept for doubles
@@ -528,10 +527,10 @@ def q_m1(spark, sf):
 
 
 def _train_test(spark, sf):
-    """Training reads its input several times (IDF, then the classifier): pin
-    the three columns it needs once as a table in the checkpoint folder."""
+    """Training reads its input several times (IDF, then the classifier). The
+    split is already a map-only pass over the pinned labelled table with
+    persisted boundaries, so re-reading it is cheaper than pinning it again."""
     s = fx.splits(spark, sf).select("row_id", F.col("source").alias("text"), F.col("action").alias("label"), "split")
-    s = materialize(s, "splits")
     return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
 
 
