@@ -53,14 +53,18 @@ def pack_batches(df: DataFrame, size: int, order_col: str, text: str = "source")
 def with_context(df: DataFrame, ctx: DataFrame, on: str | None = None, ctx_rows_at_most: int | None = None) -> DataFrame:
     """Attach context columns (policy text, few-shot block) to every row.
 
-    With ``on`` the context is per key (e.g. per language); without it the
-    single context row joins on a constant key. The context side is a handful
-    of rows; it is broadcast under ``ctx_rows_at_most`` when the caller knows
-    that bound by construction (a limit, a global aggregate), else after a count.
+    With ``on`` the context is per key (e.g. per language) and joined, broadcast
+    under ``ctx_rows_at_most`` when the caller knows that bound by construction
+    (a limit, a global aggregate), else after a count. Without ``on`` the
+    context must be a single row (enforced by the scalar subquery).
     """
     if on is None:
-        side = bounded_broadcast(ctx.withColumn("_ctx", F.lit(0)), rows_at_most=ctx_rows_at_most)
-        return df.withColumn("_ctx", F.lit(0)).join(side, "_ctx").drop("_ctx")
+        # one row: each context column becomes a scalar subquery, evaluated once
+        # and shipped to the tasks as a value (no join at all)
+        out = df
+        for c in ctx.columns:
+            out = out.withColumn(c, ctx.select(c).scalar())
+        return out
     return df.join(bounded_broadcast(ctx, rows_at_most=ctx_rows_at_most), on, "left")
 
 

@@ -59,11 +59,12 @@ def assign_by_rank(df: DataFrame, key: str, cuts, labels, strata=(), seed: int =
     """
     strata = list(strata)
     drop_all = not strata
-    if drop_all:  # one stratum for everything
-        df, strata = df.withColumn("_all", F.lit(0)), ["_all"]
+    h = df.withColumn("_h", shuffle_key(F.col(key), seed)).withColumn("_p", hex_buckets(F.col("_h")))
+    if drop_all:  # one stratum for everything; derived from data (not a literal)
+        # so joins on it stay equi-joins instead of being folded into cross joins
+        h, strata = h.withColumn("_all", F.coalesce(F.col("_p") * 0, F.lit(0))), ["_all"]
         if not callable(cuts):
             cuts = cuts.withColumn("_all", F.lit(0))
-    h = df.withColumn("_h", shuffle_key(F.col(key), seed)).withColumn("_p", hex_buckets(F.col("_h")))
     counts = h.groupBy("_p", *strata).agg(F.count(F.lit(1)).alias("_n")).persist()
     if callable(cuts):  # cuts computed from the per-bucket counts (no extra pass)
         cuts = cuts(counts)
