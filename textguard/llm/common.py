@@ -47,3 +47,12 @@ def spread_groups(rows: DataFrame, cls: str, uid: str, total: int, groups: int =
 def rank_in(group_cols: list[str], order_cols: list[str]) -> Column:
     """0-based rank of a row inside its window group."""
     return (F.row_number().over(Window.partitionBy(*group_cols).orderBy(*order_cols)) - 1).cast("long")
+
+
+def worker_cache() -> dict:
+    """A dict that lives as long as the Python worker: tokenizers and memos that
+    are loaded once and serve every task the worker gets."""
+    import sys
+    import types
+
+    return sys.modules.setdefault("_textguard_worker_cache", types.ModuleType("_textguard_worker_cache")).__dict__

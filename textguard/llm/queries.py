@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.llm import sharding
+from textguard.llm import sharding, simhash
 from textguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,10 @@ def op2_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     at most one apart (law ``rows``)."""
     out = sharding.ring_shards(table(spark, sf_dir, "documents"), shards=40)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "home")
+
+
+@_query
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents: 4-word shingles, links at 4 differing bits or fewer."""
+    out = simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=4, shingle=4)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
