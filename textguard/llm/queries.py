@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.llm import sharding, simhash
+from textguard.llm import quality_model, sharding, simhash
 from textguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,3 +36,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents: 4-word shingles, links at 4 differing bits or fewer."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), max_bits=4, shingle=4)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@_query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents; learnt from rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    forest = quality_model.train(docs, table(spark, sf_dir, "labels"))
+    out = quality_model.score(docs, forest, keep=["doc_id"])
+    return out.select("doc_id", quality_model.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
