@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.llm import quality_model, sharding, simhash
+from textguard.llm import quality_model, quality_rules, sharding, simhash
 from textguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     forest = quality_model.train(docs, table(spark, sf_dir, "labels"))
     out = quality_model.score(docs, forest, keep=["doc_id"])
     return out.select("doc_id", quality_model.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of certified cutoffs per language."""
+    out = quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")

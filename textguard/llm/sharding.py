@@ -59,8 +59,10 @@ def _walk(spilled: DataFrame, room: DataFrame) -> DataFrame:
     One row holds both as arrays, and a fold passes the arcs clockwise; what is
     carried at the end of the first round meets the early arcs in the second.
     """
-    arcs = spilled.agg(F.sort_array(F.collect_list(F.struct("arc", F.col("home").alias("shard"), "over"))).alias("arcs"))
-    rooms = room.agg(F.transform(F.sort_array(F.collect_list(F.struct("shard", "room"))), lambda x: x["room"]).alias("rooms"))
+    both = spilled.select(F.struct("arc", F.col("home").alias("shard"), "over").alias("a")).withColumn("r", F.lit(None).cast("struct<shard:int,room:bigint>")).unionByName(
+        room.select(F.struct("shard", "room").alias("r")), allowMissingColumns=True
+    )
+    one = both.agg(F.sort_array(F.collect_list("a")).alias("arcs"), F.transform(F.sort_array(F.collect_list("r")), lambda x: x["room"]).alias("rooms"))
     fold = F.expr(
         """aggregate(
              concat(arcs, transform(arcs, a -> named_struct('arc', a.arc, 'shard', a.shard, 'over', 0L))),
@@ -71,7 +73,6 @@ def _walk(spilled: DataFrame, room: DataFrame) -> DataFrame:
                  'taken', if(n > 0, concat(s.taken, array(named_struct('shard', a.shard, 'n', n))), s.taken)))[0],
              s -> s.taken)"""
     )
-    one = arcs.withColumn("_1", F.lit(1)).join(rooms.withColumn("_1", F.lit(1)), "_1")  # one row each
     return one.select(F.posexplode(fold).alias("seq", "t")).select("seq", F.col("t.shard").alias("shard"), F.col("t.n").alias("taken"))
 
 
