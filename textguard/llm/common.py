@@ -9,11 +9,13 @@ third of all rows are still computed by many tasks.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textguard.session import materialize
+from textguard.session import ensure_checkpoint_dir
 
 # Window groups that spread_groups makes, beside one for each class.
 GROUPS = 1 << 15
@@ -23,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pin(df: DataFrame, name: str) -> DataFrame:
+def pin(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back."""
-    return materialize(df, name)
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def crc_of(col: Column) -> Column:

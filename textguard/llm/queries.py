@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.llm import quality_model, quality_rules, sharding, simhash
+from textguard.llm import packing, quality_model, quality_rules, sharding, simhash
 from textguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the verdict of certified cutoffs per language."""
     out = quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
+
+
+@_query
+def op3_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens."""
+    out = packing.pack(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
