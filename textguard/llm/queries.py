@@ -59,3 +59,11 @@ def op3_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens."""
     out = packing.pack(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline at the repository's top, all its stages."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
