@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.llm import packing, quality_model, quality_rules, sharding, simhash
+from textguard.llm import packing, quality_model, quality_rules, sharding, simhash, warc
 from textguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,24 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@_query
+def op9_warc_index_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back over the index."""
+    index = warc.write(table(spark, sf_dir, "pages"))
+    out = warc.resolved(warc.read(index))
+    return out.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to")
+
+
+ORACLE["op9_warc_index_first"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     d AS (SELECT page_id, strlen(html) AS n, CAST(CAST(unhex(sha1(html)) AS BIT) AS VARCHAR) AS bits,
+                  max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(list_sum(list_transform(range(5), lambda j: CAST(substr(bits, CAST(i * 5 + j + 1 AS BIGINT), 1) AS INTEGER) * (16 >> CAST(j AS INTEGER)))) AS INTEGER) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM d
+"""
