@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.llm import packing, quality_model, quality_rules, sharding, simhash, warc
+from textguard.llm import ann, packing, quality_model, quality_rules, sharding, simhash, warc
 from textguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,9 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
 FROM d
 """
+
+
+@_query
+def op10_balanced_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest of all embeddings for every hundredth one."""
+    return ann.search(table(spark, sf_dir, "embeddings"), queries="id % 100 = 0")
