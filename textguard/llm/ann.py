@@ -4,11 +4,11 @@ Index: a bounded sample is halved again and again at the median between two
 means, which gives centroids of even weight. They are held in memory with a
 neighbour graph; a beam search over the graph finds a vector's nearest ones.
 Every row goes to the list of its nearest centroid, and a boundary row also to
-up to REPLICAS - 1 others that are nearly as near, unless a chosen list's
-centroid is nearer to that one than the row is (the lists would overlap).
-Search: the beam finds a query's nearest lists, those beyond ``ratio`` times
-the smallest distance are pruned, and the rows of the others are compared
-exactly, in double precision.
+the next ones that are nearly as near (REPLICAS lists at most).
+Search: the beam is widened until it holds every list within ``ratio`` times
+the smallest distance; the others are pruned, and the rows of those kept are
+compared exactly, in double precision. There is no fixed number of probes: the
+ratio alone decides, so recall doesn't fall as lists become more.
 
 Scale: centroids and graph are bounded by ``max_lists`` and travel with the
 tasks. Of rows with equal vectors only the k + 1 smallest ids can be in any
@@ -34,7 +34,7 @@ from pyspark.sql.window import Window
 
 from textguard.llm.common import pin
 
-REPLICAS, PART_ROWS, QUERIES_AT_ONCE = 4, 4096, 256
+REPLICAS, PART_ROWS, QUERIES_AT_ONCE = 2, 4096, 256
 #: Links of a centroid in the graph: nearest ones, and some at random.
 NEAR_LINKS, FAR_LINKS = 24, 8
 
@@ -119,15 +119,21 @@ def build(sample: np.ndarray, lists: int, seed: int = 7) -> Lists:
 def assign(lists: Lists, x: np.ndarray, epsilon: float, replicas: int = REPLICAS, beam: int = 24) -> list[np.ndarray]:
     """Lists of every row of ``x``: the nearest one, and those of a boundary row."""
     ids, dist = lists.nearest(x, beam)
-    chosen = np.zeros(ids.shape, bool)
-    chosen[:, 0] = True
-    for j in range(1, min(ids.shape[1], 3 * replicas)):
-        ok = (dist[:, j] <= (1 + epsilon) * dist[:, 0]) & (chosen[:, :j].sum(axis=1) < replicas)
-        for i in range(j):
-            apart = np.sqrt(((lists.centroids[ids[:, j]] - lists.centroids[ids[:, i]]) ** 2).sum(axis=1))
-            ok &= ~(chosen[:, i] & (apart < dist[:, j]))
-        chosen[:, j] = ok
-    return [row[c] for row, c in zip(ids, chosen)]
+    near = dist[:, :replicas] <= (1 + epsilon) * dist[:, :1]
+    return [row[: len(c)][c] for row, c in zip(ids, near)]
+
+
+def probe(lists: Lists, x: np.ndarray, ratio: float, beam: int = 64) -> list[np.ndarray]:
+    """Lists within ``ratio`` times the distance of the nearest, for every row."""
+    out: list = [None] * len(x)
+    todo = np.arange(len(x))
+    while len(todo):
+        ids, dist = lists.nearest(x[todo], beam)
+        done = (dist[:, -1] > ratio * dist[:, 0]) | (beam >= len(lists.centroids))
+        for i, row, d in zip(todo[done], ids[done], dist[done]):
+            out[i] = row[(d <= ratio * d[0]) & np.isfinite(d)]
+        todo, beam = todo[~done], 2 * beam
+    return out
 
 
 def usable(vector: Column) -> Column:
@@ -142,7 +148,7 @@ def _matrix(column) -> np.ndarray:
 
 def search(
     vectors: DataFrame, queries: str, k: int = 10, key: str = "vec_id", vector: str = "embedding",
-    sample: int = 20_000, list_rows: int = 128, max_lists: int = 4096, epsilon: float = 0.15, ratio: float = 1.5, probes: int = 96,
+    sample: int = 20_000, list_rows: int = 512, max_lists: int = 4096, epsilon: float = 0.15, ratio: float = 1.12,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows found of every row
     that ``queries`` (SQL on the column ``id``) holds for, by Euclidean
@@ -159,7 +165,6 @@ def search(
     asked = ok.filter((F.size("v") == dims["dim"]) & F.expr(queries)).dropDuplicates(["id", "v"])
     picked = rows.orderBy(F.xxhash64(F.lit("sample"), F.col("id")), "id").select("v").limit(sample).toPandas()  # bounded by its parameter
     lists = build(_matrix(picked["v"]), min(max_lists, -(-dims["n"] // list_rows)))
-    probes = min(probes, len(lists.centroids))
 
     def post(batches):
         import pandas as pd
@@ -175,10 +180,7 @@ def search(
 
         for pdf in batches:
             x = _matrix(pdf["v"]).reshape(len(pdf), -1)
-            out = []
-            for i in range(0, len(x), 1024):
-                ids, dist = lists.nearest(x[i : i + 1024], probes)
-                out += [row[d <= ratio * d[0]] for row, d in zip(ids, dist)]
+            out = [a for i in range(0, len(x), 1024) for a in probe(lists, x[i : i + 1024], ratio)]
             at = np.repeat(np.arange(len(pdf)), [len(a) for a in out])
             yield pd.DataFrame({"list": np.concatenate(out) if out else [], "id": pdf["id"].to_numpy()[at], "v": [pdf["v"].iloc[i] for i in at]})
 
@@ -197,15 +199,17 @@ def search(
         import pandas as pd
 
         x, ids = _matrix(posted["v"]), posted["id"].to_numpy()
-        out = []
+        asked, found, scores = [], [], []
         for q, v in zip(queried["id"].to_numpy(), queried["v"]):
             d = x - np.asarray(v, float)
             score = np.sqrt((d * d).sum(axis=1))
             score[ids == q] = np.inf
-            top = np.lexsort((ids, score))[: min(k, len(ids))] if len(ids) <= 4 * k else _top(score, ids, k)
-            top = top[np.isfinite(score[top])]
-            out.append(pd.DataFrame({"query_id": q, "vec_id": ids[top], "score": score[top]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            top = _top(score, ids, k)
+            asked.append(np.full(len(top), q))
+            found.append(ids[top])
+            scores.append(score[top])
+        join = lambda parts: np.concatenate(parts) if parts else []
+        return pd.DataFrame({"query_id": join(asked), "vec_id": join(found), "score": join(scores)})
 
     block = ["list", "pi", "qi"]
     near = left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(compare, "query_id long, vec_id long, score double")
@@ -216,7 +220,7 @@ def search(
 
 def _top(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k smallest scores, ties to the smaller id."""
-    limit = np.partition(score, k - 1)[k - 1]
-    near = np.flatnonzero(score <= limit)
+    limit = np.partition(score, k - 1)[k - 1] if len(score) > k else np.inf
+    near = np.flatnonzero((score <= limit) & np.isfinite(score))
     return near[np.lexsort((ids[near], score[near]))][:k]
 
