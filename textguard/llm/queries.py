@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.llm import ann, packing, quality_model, quality_rules, sharding, simhash, warc
+from textguard.llm import ann, bpe, packing, quality_model, quality_rules, sharding, simhash, warc
 from textguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,10 @@ FROM d
 def op10_balanced_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest of all embeddings for every hundredth one."""
     return ann.search(table(spark, sf_dir, "embeddings"), queries="id % 100 = 0")
+
+
+@_query
+def op6_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded with shared chunks, and decoded again."""
+    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return out.select("doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
