@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.llm import ann, bpe, packing, quality_model, quality_rules, sharding, simhash, warc
+from textguard.llm import ann, bpe, packing, quality_model, quality_rules, sharding, simhash, toxicity, warc
 from textguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,10 @@ def op6_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded with shared chunks, and decoded again."""
     out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return out.select("doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query
+def op8_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of all documents; learnt from rows that are not held out."""
+    out = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
+    return out.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
