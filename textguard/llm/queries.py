@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.llm import ann, bpe, packing, quality_model, quality_rules, sharding, simhash, toxicity, warc
+from textguard.llm import ann, bpe, packing, quality_model, quality_rules, sharding, simhash, token_counts, toxicity, warc
 from textguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,10 @@ def op8_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of all documents; learnt from rows that are not held out."""
     out = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
     return out.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query
+def op1_offset_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of all documents, boundary tokens to where they start."""
+    out = token_counts.count_tokens(table(spark, sf_dir, "documents"), rule="start")
+    return out.withColumn("n_tokens", F.col("n_tokens").cast("long"))
