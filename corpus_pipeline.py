@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textguard.llm import packing, quality_model, quality_rules, simhash
-from textguard.llm.common import fresh, pin, table
+from textguard.llm.common import fresh, numbered, pin, table
 
 #: SQL can't express the classifier, XXH64 fingerprints or tokenizers: see tests/llm.
 ORACLE_SQL = None
@@ -24,7 +24,7 @@ ORACLE_SQL = None
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     row = fresh(docs, "row")
-    return docs.withColumn(row, F.monotonically_increasing_id()), row
+    return numbered(docs, row), row
 
 
 def _only(numbered: DataFrame, rows: DataFrame, row: str) -> DataFrame:

@@ -7,8 +7,9 @@ Every row goes to the list of its nearest centroid, and a boundary row also to
 the next ones that are nearly as near (REPLICAS lists at most).
 Search: the beam is widened until it holds every list within ``ratio`` times
 the smallest distance; the others are pruned, and the rows of those kept are
-compared exactly, in double precision. There is no fixed number of probes: the
-ratio alone decides, so recall doesn't fall as lists become more.
+compared exactly, in double precision. LEAST_LISTS are always kept, for queries
+that lie very near to a centroid; there is no largest number, so recall doesn't
+fall as lists become more.
 
 Scale: centroids and graph are bounded by ``max_lists`` and travel with the
 tasks. Of rows with equal vectors only the k + 1 smallest ids can be in any
@@ -35,6 +36,8 @@ from pyspark.sql.window import Window
 from textguard.llm.common import pin
 
 REPLICAS, PART_ROWS, QUERIES_AT_ONCE = 2, 4096, 256
+#: Lists that are searched for every query, however far they are.
+LEAST_LISTS = 16
 #: Links of a centroid in the graph: nearest ones, and some at random.
 NEAR_LINKS, FAR_LINKS = 24, 8
 
@@ -131,7 +134,7 @@ def probe(lists: Lists, x: np.ndarray, ratio: float, beam: int = 64) -> list[np.
         ids, dist = lists.nearest(x[todo], beam)
         done = (dist[:, -1] > ratio * dist[:, 0]) | (beam >= len(lists.centroids))
         for i, row, d in zip(todo[done], ids[done], dist[done]):
-            out[i] = row[(d <= ratio * d[0]) & np.isfinite(d)]
+            out[i] = row[((d <= ratio * d[0]) | (np.arange(len(d)) < LEAST_LISTS)) & np.isfinite(d)]
         todo, beam = todo[~done], 2 * beam
     return out
 

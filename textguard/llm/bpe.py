@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textguard.llm.common import pin, worker_cache
+from textguard.llm.common import fields, numbered, pin, worker_cache
 
 #: Chunks end where the hash's top MASK_BITS bits are zero; so large on average.
 MASK_BITS = 10
@@ -128,15 +128,16 @@ def assemble(data: bytes, shared: list[tuple[int, int, int, bytes]], codec: Byte
 
 
 # --------------------------------------------------------------------------- on Spark
-CHUNK = T.StructType.fromDDL("uid long, start int, first int, last int, digest binary")
+CHUNK = fields(uid="long", start="int", first="int", last="int", digest="binary")
 
 
 def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", text: str = "text", out: str = "ids") -> DataFrame:
-    """Replace the text by ``out``: its ids, binary, little-endian uint32."""
+    """Replace the text by ``out``: its ids, binary, little-endian uint32.
+    ``docs`` has at least one more column."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     carried = [c for c in docs.columns if c != text]
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.struct(*carried).alias("row") if carried else F.lit(0).alias("row"), F.col(text).alias("text"))
+    rows = numbered(docs.select(F.struct(*carried).alias("row"), F.col(text).alias("text")), "uid").select("uid", "row", "text")
 
     def cut(batches):
         schema = to_arrow_schema(CHUNK)

@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from textguard.session import ensure_checkpoint_dir
@@ -39,6 +40,20 @@ def pin(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with a row number ``name`` that is the same each time it is read.
+
+    A scan of files with projections and filters gives its rows in the same
+    splits and order every time. Anything else (a shuffle may deal rows out
+    differently in another plan) is written to the shared folder first."""
+
+    def scan(node) -> bool:
+        return node.nodeName().split(" ")[0] in ("Project", "Filter", "Relation", "LogicalRelation") and all(scan(node.children().apply(i)) for i in range(node.children().size()))
+
+    stable = df if scan(df._jdf.queryExecution().optimizedPlan()) else pin(df, "numbered")
+    return stable.withColumn(name, F.monotonically_increasing_id())
+
+
 def crc_of(col: Column) -> Column:
     """CRC-32 of the UTF-8 text of ``col`` (unsigned, as bigint)."""
     return F.crc32(F.encode(col.cast("string"), "UTF-8"))
@@ -60,6 +75,12 @@ def rank_in(group_cols: list[str], order_cols: list[str]) -> Column:
     return (F.row_number().over(Window.partitionBy(*group_cols).orderBy(*order_cols)) - 1).cast("long")
 
 
+def fields(**types: str) -> T.StructType:
+    """A schema by column names and simple type names, without a session."""
+    kinds = {"long": T.LongType, "int": T.IntegerType, "string": T.StringType, "binary": T.BinaryType, "double": T.DoubleType}
+    return T.StructType([T.StructField(name, kinds[kind]()) for name, kind in types.items()])
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker: tokenizers and memos that
     are loaded once and serve every task the worker gets."""

@@ -76,8 +76,9 @@ def _walk(spilled: DataFrame, room: DataFrame) -> DataFrame:
     return one.select(F.posexplode(fold).alias("seq", "t")).select("seq", F.col("t.shard").alias("shard"), F.col("t.n").alias("taken"))
 
 
-def _intervals(groups: DataFrame, n: int, shards: int, slack: float) -> DataFrame:
-    """(arc, sub, r_from, r_to, shard, slot0): where each group's ranks go."""
+def _intervals(groups: DataFrame, nodes: DataFrame, n: int, shards: int, slack: float) -> DataFrame:
+    """(arc, sub, r_from, r_to, shard, slot0): where each group's ranks go.
+    ``nodes``: (arc, home) of all virtual nodes, also of those without rows."""
     exact = slack <= 0
     cap = F.lit(n // shards) + (F.col("shard") < n % shards).cast("long") if exact else F.lit(int(-(-n * (1 + slack) // shards)))
     spark = groups.sparkSession
@@ -96,7 +97,8 @@ def _intervals(groups: DataFrame, n: int, shards: int, slack: float) -> DataFram
         spark.range(0, shards, 1, 1).select(F.col("id").cast("int").alias("shard")).join(held, "shard", "left")
         .select("shard", F.coalesce("held", F.lit(0)).alias("held"), (cap - F.coalesce("held", F.lit(0))).alias("room"))
     )
-    taken = _walk(g.groupBy("arc", "home").agg(F.sum("over").alias("over")), room)
+    spilled = nodes.join(g.groupBy("arc").agg(F.sum("over").alias("over")), "arc", "left").select("arc", "home", F.coalesce("over", F.lit(0)).alias("over"))
+    taken = _walk(spilled, room)
     by_seq = Window.orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     by_shard = Window.partitionBy("shard").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     events = (
@@ -146,11 +148,12 @@ def ring_shards(docs: DataFrame, shards: int = 40, replicas: int = 64, slack: fl
         F.monotonically_increasing_id().alias("uid"),
         F.xxhash64(F.col(key)).alias("_h"),
     ).withColumn("cell", F.pmod(F.col("_h"), F.lit(CELLS)))
-    rows = pin(narrow.join(F.broadcast(ring(spark, shards, replicas)), "cell").drop("cell"), "ring-rows")
+    cells = ring(spark, shards, replicas)
+    rows = pin(narrow.join(F.broadcast(cells), "cell").drop("cell"), "ring-rows")
     n = rows.count()
     grouped = spread_groups(rows, "arc", "uid", n, GROUPS)
     counts = grouped.groupBy("arc", "home", "sub").agg(F.count(F.lit(1)).alias("n"))
-    places = pin(_intervals(counts, n, shards, slack), "ring-places")
+    places = pin(_intervals(counts, cells.select("arc", "home").distinct(), n, shards, slack), "ring-places")
     ranked = grouped.withColumn("r", rank_in(["arc", "sub"], ["_h", key, "text_crc32", "uid"]))
     # At most 2 * (arcs + GROUPS) + 2 * arcs intervals: a bound that the data can't move.
     return (

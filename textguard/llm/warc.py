@@ -28,17 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textguard.llm.common import pin
+from textguard.llm.common import fields, numbered, pin
 from textguard.session import ensure_checkpoint_dir
 
 #: Bytes of a stretch (one task row of a read), and the gap that a read may bridge.
 STRETCH, GAP = 8 << 20, 64 << 10
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-INDEX = T.StructType.fromDDL(
-    "file string, offset long, length long, url string, digest string, record_id string, record_type string, refers_to string, page_id long"
-)
-READ = T.StructType.fromDDL("page_id long, record_id string, record_type string, refers_to string, digest string, payload binary")
+INDEX = fields(file="string", offset="long", length="long", url="string", digest="string", record_id="string", record_type="string", refers_to="string", page_id="long")
+READ = fields(page_id="long", record_id="string", record_type="string", refers_to="string", digest="string", payload="binary")
 
 
 def _filesystem(uri: str):
@@ -91,7 +89,8 @@ def write(pages: DataFrame, least_bytes: int = 0, key: str = "page_id", url: str
     Payloads under ``least_bytes`` are stored in full each time."""
     spark = pages.sparkSession
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warc/{uuid.uuid4().hex}"
-    full = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"), F.monotonically_increasing_id().alias("uid"))
+    full = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(html), F.lit("")).alias("html"))
+    full = numbered(full, "uid")
     narrow = pin(full.select("uid", "page_id", F.sha1(F.encode("html", "UTF-8")).alias("sha1"), F.octet_length("html").alias("size")), "warc-digests")
     first = narrow.filter(F.col("size") >= least_bytes).groupBy("sha1", "size").agg(F.max(F.struct("page_id", "uid")).alias("top"))
     decided = narrow.join(pin(first, "warc-responses"), ["sha1", "size"], "left").select("uid", "sha1", F.coalesce(F.col("top.uid"), F.col("uid")).alias("response"))
