@@ -70,16 +70,19 @@ def test_parallel_export_line_aligned(spark, tmp_path):
     df = spark.createDataFrame(rows, "split string, row_id long, source string, target string")
     pairs = sinks.parallel_pairs(df, "split", "row_id")
     out = str(tmp_path / "nmt")
-    sinks.write_parallel(pairs, out)
+    sinks.write_parallel(pairs, out, lines_per_part=37)  # unequal parts, the last one short
     for split in ("train", "test"):
         def lines(side):
             d = os.path.join(out, side, f"split={split}")
-            parts = sorted(f for f in os.listdir(d) if f.startswith("part-"))
-            return [ln for f in parts for ln in open(os.path.join(d, f), encoding="utf-8").read().splitlines()]
+            parts = sorted((f for f in os.listdir(d) if f.startswith("part=")), key=lambda f: int(f.split("=")[1]))
+            files = [os.path.join(d, p, f) for p in parts for f in os.listdir(os.path.join(d, p)) if f.startswith("part-")]
+            assert len(files) == len(parts) > 1
+            return [ln for f in files for ln in open(f, encoding="utf-8").read().splitlines()]
 
         src, tgt = lines("src"), lines("tgt")
         assert len(src) == len(tgt) > 0
         assert all(s.split()[1] == t.split()[1] for s, t in zip(src, tgt))
+        assert [int(s.split()[1]) for s in src] == sorted(i for _, i, *_ in rows if (i % 5 != 0) == (split == "train"))  # line order
 
 
 def test_write_splits_and_routes(spark, tmp_path):
@@ -141,3 +144,10 @@ def test_short_rows_pass_through_the_fixer(spark, tmp_path):
     assert got["c"][0] == "(차단된 문장입니다)"
     audit_rows = readers.read_tsv(spark, str(p), LABELLED_RAW, malformed="skip")
     assert sorted(r.source for r in audit_rows.collect()) == ["a", "c"]
+
+
+def test_second_run_keeps_the_routes_of_the_first(spark, tmp_path):
+    path = str(tmp_path / "routes")
+    for i in (1, 2):
+        sinks.route_write(spark.createDataFrame([(i, "passed")], "row_id long, route string"), "route", path)
+    assert sorted(r[0] for r in spark.read.parquet(path).select("row_id").collect()) == [1, 2]

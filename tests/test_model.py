@@ -33,6 +33,26 @@ def test_scorer_failures_become_null_rows(spark):
     del calls
 
 
+def test_one_poison_row_nulls_one_row(spark):
+    def picky(pdf: pd.DataFrame) -> pd.DataFrame:
+        if (pdf["text"] == "poison").any():
+            raise ValueError("bad row")
+        return pd.DataFrame({"row_id": pdf["row_id"], "decision": "PASS", "score": 1, "reason": "none"})
+
+    df = spark.range(2000).select(F.col("id").alias("row_id"), F.when(F.col("id") == 77, "poison").otherwise("fine").alias("text")).coalesce(1)
+    out = model.score(df, picky, retries=1, error_col="error").toPandas()
+    assert len(out) == 2000 and out[out.decision.isna()].row_id.tolist() == [77]
+    assert out[out.error.notna()].error.tolist() == ["ValueError: bad row"]
+
+
+def test_classifier_reads_hangul(spark):
+    from textguard.plans.fixtures import KOREAN_SENTENCES
+
+    texts = [k[0] if isinstance(k, tuple) else k for k in KOREAN_SENTENCES]
+    df = spark.createDataFrame([(t, float(i % 2)) for i, t in enumerate(texts)], "text string, label double")
+    assert model.fit_classifier(df).transform(df).filter(F.size("_tokens") == 0).count() == 0
+
+
 def test_classifier_end_to_end(spark):
     ev = se.queries()["m4_evaluate"](spark, SF_SMALL).first()
     assert 0.0 <= ev.weighted_f1 <= 1.0

@@ -1,0 +1,42 @@
+"""Cases that a review found wrong: replies, few-shot, null classes, lexicons."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from textguard.functions import lexicon as lx
+from textguard.operators import policy, requests, split
+
+
+def test_repeated_replies_do_not_multiply_rows(spark):
+    rows = spark.createDataFrame([(1,), (2,), (3,)], "row_id long")
+    parsed = spark.createDataFrame([(1, "PASS", 2, "b"), (1, "PASS", 1, "a"), (2, "BLOCK", 5, "c")], "id long, decision string, score int, target string")
+    out = {r["row_id"]: (r["reply"], r["n_replies"], r["has_reply"]) for r in requests.attach_responses(rows, parsed).collect()}
+    assert out == {1: ("a", 2, True), 2: ("c", 1, True), 3: (None, 0, False)}
+
+
+def test_few_shot_has_k_pairs_of_every_key(spark):
+    df = spark.range(20).select(F.col("id").alias("row_id"), F.when(F.col("id") < 15, "a").otherwise("b").alias("lang"), F.lit("s").alias("source"), F.lit("t").alias("target"))
+    out = requests.fewshot_block(df, 3, "row_id", ctx_key="lang").collect()
+    assert {r["lang"]: r["n_examples"] for r in out} == {"a": 3, "b": 3}
+
+
+def test_null_class_is_refused(spark):
+    df = spark.range(40).select(F.col("id").alias("row_id"), F.when(F.col("id") % 4 != 0, F.col("id") % 2).alias("action"))
+    with pytest.raises(Exception, match="no class for row"):
+        split.stratified_split(df, "row_id", "action").collect()
+
+
+def test_lexicon_words_are_literal(spark):
+    lexicon = (lx.Entry("a.b", "x$1", "SLUR"), lx.Entry("Idiot", "person", "SLUR"))
+    df = spark.createDataFrame([(1, "a.b axb idiot")], "id long, text string")
+    r = df.select(lx.purify(F.col("text"), lexicon).alias("p"), lx.categories_of(lx.keywords(F.col("text"), lexicon), lexicon).alias("c")).first()
+    assert r["p"] == "x$1 axb person" and r["c"] == "SLUR"
+
+
+def test_lexicon_join_takes_a_word_once(spark):
+    df = spark.createDataFrame([(1, "you IDIOT"), (2, "fine")], "id long, text string")
+    twice = spark.createDataFrame([("Idiot", "person"), ("idiot", "person")], "word string, stem string")
+    assert [r["purified"] for r in policy.purify_by_join(df, "id", "text", twice).orderBy("id").collect()] == ["you person", "fine"]
+    conflict = spark.createDataFrame([("Idiot", "person"), ("idiot", "fool")], "word string, stem string")
+    with pytest.raises(Exception, match="conflicting stems"):
+        policy.purify_by_join(df, "id", "text", conflict).collect()

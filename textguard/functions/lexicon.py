@@ -8,6 +8,7 @@ Large lexicons (hundreds of entries and more) go through the token-join form in
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column
@@ -47,17 +48,27 @@ WB_LEFT = r"(?<![A-Za-z0-9_])"
 WB_RIGHT = r"(?![A-Za-z0-9_])"
 
 
+def quoted(word: str) -> str:
+    """``word`` as a pattern for itself, for Java's and RE2's syntax."""
+    return re.sub(r"([^\w\s])", r"\\\1", word)
+
+
+def quoted_stem(stem: str) -> str:
+    """``stem`` as a literal replacement of Java's regexp_replace."""
+    return stem.replace("\\", "\\\\").replace("$", "\\$")
+
+
 def lexicon_pattern(lexicon=DEFAULT_LEXICON) -> str:
     """Whole-word alternation over lower-cased text; group 1 is the hit.
 
     Callers lower-case first, so the pattern needs no case-insensitive flag
     (which makes the JVM matcher markedly slower on long texts).
     """
-    return WB_LEFT + "(" + "|".join(e.word.lower() for e in lexicon) + ")" + WB_RIGHT
+    return WB_LEFT + "(" + "|".join(quoted(e.word.lower()) for e in lexicon) + ")" + WB_RIGHT
 
 
 def word_pattern(word: str) -> str:
-    return r"(?i)" + WB_LEFT + word + WB_RIGHT
+    return r"(?i)" + WB_LEFT + quoted(word) + WB_RIGHT
 
 
 def sql_lexicon_pattern(lexicon=DEFAULT_LEXICON) -> str:
@@ -93,7 +104,7 @@ def hit_count(text: Column, lexicon=DEFAULT_LEXICON) -> Column:
 
 def categories_of(kw: Column, lexicon=DEFAULT_LEXICON) -> Column:
     """Category string from a keyword array: sorted distinct tokens joined by '/', or NORMAL."""
-    cat_map = F.create_map(*[x for e in lexicon for x in (F.lit(e.word), F.lit(e.category))])
+    cat_map = F.create_map(*[x for w, e in {e.word.lower(): e for e in lexicon}.items() for x in (F.lit(w), F.lit(e.category))])
     cats = F.array_sort(F.array_distinct(F.transform(kw, lambda w: F.element_at(cat_map, w))))
     return F.when(F.size(kw) == 0, F.lit("NORMAL")).otherwise(F.array_join(cats, "/"))
 
@@ -102,7 +113,7 @@ def purify(text: Column, lexicon=DEFAULT_LEXICON) -> Column:
     """Replace each lexicon word by its neutral stem, whole words, any case."""
     out = text
     for e in lexicon:
-        out = F.regexp_replace(out, word_pattern(e.word), e.stem)
+        out = F.regexp_replace(out, word_pattern(e.word), quoted_stem(e.stem))
     return out
 
 
@@ -120,7 +131,7 @@ def purify_by_map(text: Column, lexicon=DEFAULT_LEXICON) -> Column:
     """R5 for lexicons of thousands of entries: split into word / separator
     tokens, look each word up in a literal map (hash lookup, no regex per
     entry) and glue the tokens back. Still one map-side pass, no shuffle."""
-    lex = F.create_map(*[x for e in lexicon for x in (F.lit(e.word.lower()), F.lit(e.stem))])
+    lex = F.create_map(*[x for w, e in {e.word.lower(): e for e in lexicon}.items() for x in (F.lit(w), F.lit(e.stem))])
     toks = token_runs(text)
     return F.array_join(F.transform(toks, lambda t: F.coalesce(F.element_at(lex, F.lower(t)), t)), "")
 

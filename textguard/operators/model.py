@@ -1,14 +1,13 @@
 """Scoring, classification and evaluation.
 
 The pluggable scorer (M1) is the one place Python runs per batch: Arrow batches
-through ``mapInPandas``. The default scorer is the lexicon rule; an external
-model client would be another function with the same signature. Training and
+through ``mapInPandas``, for functions of the caller such as a model client. The
+default scorer is the lexicon rule, in column expressions. Training and
 inference use ``pyspark.ml`` so they run distributed.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -37,27 +36,18 @@ SCORE_SCHEMA = T.StructType(
 
 
 # --------------------------------------------------------------------------- M1
-def rule_scorer(lexicon=lx.DEFAULT_LEXICON) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Default batch scorer: ``(row_id, text)`` -> ``(row_id, decision, score, reason)``.
-
-    score = 1 + min(4, distinct lexicon hits); BLOCK from the screening limit up.
-    Vectorised over the pandas batch (ASCII word boundaries, like the SQL twin).
-    """
-    rx = re.compile(r"\b(" + "|".join(e.word for e in lexicon) + r")\b", re.ASCII | re.IGNORECASE)
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        kw = pdf["text"].fillna("").str.lower().map(lambda s: sorted(set(rx.findall(s))))
-        sc = kw.map(len).clip(upper=4) + 1
-        return pd.DataFrame(
-            {
-                "row_id": pdf["row_id"].astype("int64"),
-                "decision": (sc >= SAFETY_SCORE_LIMIT).map({True: "BLOCK", False: "PASS"}),
-                "score": sc.astype("int32"),
-                "reason": kw.map(lambda k: ", ".join(k) if k else "none"),
-            }
-        )
-
-    return score
+def rule_scores(df: DataFrame, lexicon=lx.DEFAULT_LEXICON) -> DataFrame:
+    """Default scorer as column expressions: ``(row_id, text)`` -> SCORE_SCHEMA.
+
+    score = 1 + min(4, distinct lexicon hits); BLOCK from the screening limit up."""
+    kw = F.coalesce(lx.keywords(F.col("text"), lexicon), F.array().cast("array<string>"))
+    rows = df.select(F.col("row_id").cast("bigint").alias("row_id"), kw.alias("_kw")).withColumn("score", (F.least(F.size("_kw"), F.lit(4)) + 1).cast("int"))
+    return rows.select(
+        "row_id",
+        F.when(F.col("score") >= SAFETY_SCORE_LIMIT, F.lit("BLOCK")).otherwise(F.lit("PASS")).alias("decision"),
+        "score",
+        F.when(F.size("_kw") > 0, F.array_join("_kw", ", ")).otherwise(F.lit("none")).alias("reason"),
+    )
 
 
 def score(
@@ -65,31 +55,43 @@ def score(
     fn: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
     schema: T.StructType = SCORE_SCHEMA,
     retries: int = 3,
+    error_col: str | None = None,
 ) -> DataFrame:
-    """M1: run a batch scorer over ``(row_id, text)`` in Arrow batches.
+    """M1: run a batch scorer over ``(row_id, text)`` in Arrow batches (without
+    ``fn``: the rule scorer, as columns).
 
-    The function is retried per batch; a batch that still fails yields rows
-    with null decision (a failed call, dropped downstream by F7) instead of
-    failing the job. Keep ``fn`` idempotent: Spark may re-run a task.
+    A batch that still fails after ``retries`` calls is halved, and its halves
+    again, down to the rows that fail on their own: only those get nulls (a
+    failed call, dropped downstream by F7), and ``error_col``, if named, says
+    why. Keep ``fn`` idempotent: Spark may re-run a task.
     """
-    fn = fn or rule_scorer()
-    id_field = schema.fields[0].name
+    if fn is None:
+        out = rule_scores(df)
+        return out.withColumn(error_col, F.lit(None).cast("string")) if error_col else out
+    names = [f.name for f in schema.fields]
+    full = T.StructType([*schema.fields, *([T.StructField(error_col, T.StringType())] if error_col else [])])
+
+    def attempt(pdf: pd.DataFrame) -> list[pd.DataFrame]:
+        error = ""
+        for _ in range(max(1, retries)):
+            try:
+                out = fn(pdf)[names]
+                return [out.assign(**{error_col: None}) if error_col else out]
+            except Exception as e:  # noqa: BLE001 - the scorer is user code; its error is reported by row
+                error = f"{type(e).__name__}: {e}"
+        if len(pdf) > 1:
+            half = len(pdf) // 2
+            return attempt(pdf.iloc[:half].reset_index(drop=True)) + attempt(pdf.iloc[half:].reset_index(drop=True))
+        failed = pd.DataFrame({n: [None] * len(pdf) for n in names})
+        failed[names[0]] = pdf["row_id"].values
+        return [failed.assign(**{error_col: error}) if error_col else failed]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = None
-            for _ in range(max(1, retries)):
-                try:
-                    out = fn(pdf)
-                    break
-                except Exception:  # noqa: BLE001 - the scorer is user code
-                    out = None
-            if out is None:
-                out = pd.DataFrame({f.name: [None] * len(pdf) for f in schema.fields})
-                out[id_field] = pdf["row_id"].values
-            yield out[[f.name for f in schema.fields]]
+            for out in attempt(pdf):
+                yield out[[f.name for f in full.fields]]
 
-    return df.select(F.col("row_id").cast("bigint").alias("row_id"), F.col("text")).mapInPandas(run, schema)
+    return df.select(F.col("row_id").cast("bigint").alias("row_id"), F.col("text")).mapInPandas(run, full)
 
 
 # --------------------------------------------------------------------------- X8
@@ -170,7 +172,7 @@ def fit_classifier(
         raise ValueError("algo must be 'nb' or 'lr'")
     pipe = Pipeline(
         stages=[
-            RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"\W+", minTokenLength=1),
+            RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"[^\p{L}\p{N}]+", minTokenLength=1),
             HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features),
             IDF(inputCol="_tf", outputCol="_features"),
             clf,

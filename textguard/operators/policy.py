@@ -104,10 +104,6 @@ def label(
     )
 
 
-# Lexicons up to this many entries are broadcast to the token join.
-LEXICON_BROADCAST_ROWS = 5_000_000
-
-
 def purify_text(df: DataFrame, text_col: str, out_col: str = "purified", lexicon=lx.DEFAULT_LEXICON) -> DataFrame:
     """R5 as a column-adding operator."""
     return df.withColumn(out_col, lx.purify(F.col(text_col), lexicon))
@@ -125,10 +121,11 @@ def purify_by_join(df: DataFrame, id_col: str, text_col: str, lexicon_df: DataFr
     """
     toks = lx.token_runs(F.col(text_col))
     tokens = df.select(F.col(id_col).alias("_id"), F.posexplode(toks).alias("_pos", "_tok"))
-    lex = lexicon_df.select(F.lower("word").alias("_w"), F.col("stem").alias("_stem"))
-    # the lexicon is the small side: broadcast it after counting it, otherwise
-    # sort-merge (never let the planner broadcast the token side)
-    lex = F.broadcast(lex) if lexicon_df.count() <= LEXICON_BROADCAST_ROWS else lex.hint("merge")
+    # One stem for a word however it is capitalised; words with two stems are refused.
+    # No hint: the planner broadcasts the lexicon if its bytes allow it.
+    conflict = F.raise_error(F.concat(F.lit("conflicting stems for "), F.col("_w"))).cast("string")
+    lex = lexicon_df.groupBy(F.lower("word").alias("_w")).agg(F.min("stem").alias("_stem"), F.max("stem").alias("_other"))
+    lex = lex.select("_w", F.when(F.col("_stem") == F.col("_other"), F.col("_stem")).otherwise(conflict).alias("_stem"))
     hits = tokens.join(lex, F.lower(F.col("_tok")) == F.col("_w"), "inner")
     fixes = hits.groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_stem"))).alias("_fix"))
     rebuilt = F.array_join(F.transform(toks, lambda t, i: F.coalesce(F.element_at(F.col("_fix"), i), t)), "")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textguard.functions import parse
 from textguard.functions import text as tx
@@ -26,15 +27,19 @@ def _ordered_join(items: Column, order: Column, sep: str) -> Column:
 
 def fewshot_block(df: DataFrame, k: int, order_col: str, fmt: str = "tsv", ctx_key: str | None = None) -> DataFrame:
     """The first k pairs as one text block, ``source\\ttarget\\n`` each
-    (``fmt='arrow'``: '원문: s -> 순화문: t'). One row (per ``ctx_key`` if given)."""
+    (``fmt='arrow'``: '원문: s -> 순화문: t'). One row, or one for each ``ctx_key``
+    with the first k pairs of that key. The formats are fixed values."""
     if fmt == "tsv":
         line = F.concat(tx.one_line(F.col("source")), F.lit("\t"), tx.one_line(F.col("target")), F.lit("\n"))
     elif fmt == "arrow":
         line = F.concat(F.lit("원문: "), tx.one_line(F.col("source")), F.lit(" -> 순화문: "), tx.one_line(F.col("target")), F.lit("\n"))
     else:
         raise ValueError("fmt must be 'tsv' or 'arrow'")
-    top = df.orderBy(order_col).limit(k)  # top-k: bounded by k
     keys = [ctx_key] if ctx_key else []
+    if ctx_key:  # k rows of each key; a task keeps no more than k of a key before the shuffle
+        top = df.withColumn("_rank", F.row_number().over(Window.partitionBy(ctx_key).orderBy(order_col))).filter(F.col("_rank") <= k)
+    else:
+        top = df.orderBy(order_col).limit(k)  # top-k: bounded by k
     return top.groupBy(*keys).agg(_ordered_join(line, F.col(order_col), "").alias("fewshot"), F.count(F.lit(1)).alias("n_examples"))
 
 
@@ -99,9 +104,13 @@ def parse_batch(replies: DataFrame, raw_col: str = "raw", keep=()) -> DataFrame:
 
 def attach_responses(df: DataFrame, parsed: DataFrame, id_col: str = "row_id") -> DataFrame:
     """Inputs left-joined with parsed replies by id; rows without a reply
-    keep null reply fields (``has_reply`` false) so dropped ids are visible."""
-    r = parsed.select(F.col("id").alias(id_col), "decision", F.col("score").alias("reply_score"), F.col("target").alias("reply"))
-    return df.join(r, id_col, "left").withColumn("has_reply", F.col("decision").isNotNull())
+    keep null reply fields (``has_reply`` false) so dropped ids are visible.
+    Of repeated replies for one id the least (decision, score, target) counts,
+    and ``n_replies`` says how many there were, so no input row is multiplied."""
+    r = parsed.groupBy(F.col("id").alias(id_col)).agg(F.min(F.struct("decision", "score", "target")).alias("_r"), F.count(F.lit(1)).alias("n_replies"))
+    r = r.select(id_col, F.col("_r.decision").alias("decision"), F.col("_r.score").alias("reply_score"), F.col("_r.target").alias("reply"), "n_replies")
+    out = df.join(r, id_col, "left").withColumn("has_reply", F.col("decision").isNotNull())
+    return out.withColumn("n_replies", F.coalesce("n_replies", F.lit(0)))
 
 
 # Persona tones used when expanding pairs for the scorer.

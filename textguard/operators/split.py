@@ -142,7 +142,10 @@ def check_strata(df: DataFrame, strata: str, minimum: int = 2) -> DataFrame:
 def stratified_split(df: DataFrame, key: str, strata: str, seed: int = 42, split_col: str = "split") -> DataFrame:
     """Stratified 80/10/10; within a class, first n_test (md5 order) -> test,
     next n_hold - n_test -> valid, rest -> train. Rows are labelled in place
-    (``assign_by_rank``); only per-class quotas and boundary rows are computed."""
+    (``assign_by_rank``); only per-class quotas and boundary rows are computed.
+    A row without a class is refused: the job fails with its key."""
+    refuse = F.raise_error(F.concat(F.lit("no class for row "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).cast(df.schema[strata].dataType)
+    df = df.withColumn(strata, F.coalesce(F.col(strata), refuse))
 
     def cuts(counts: DataFrame) -> DataFrame:
         q = stratified_quotas(df, strata, counts)

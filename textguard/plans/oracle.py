@@ -765,6 +765,22 @@ register(
     L,
     body="SELECT * FROM labelled",
 )
+register(
+    "t2_stream_dedup",
+    body="""
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type FROM (
+  WITH RECURSIVE e AS (
+    SELECT event_id, ts, user_id, event_type, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn
+    FROM events WHERE ts IS NOT NULL),
+  walk AS (
+    SELECT event_id, ts, user_id, event_type, rn, ts AS last_kept, true AS kept FROM e WHERE rn = 1
+    UNION ALL
+    SELECT n.event_id, n.ts, n.user_id, n.event_type, n.rn,
+           CASE WHEN n.ts > w.last_kept + INTERVAL 10 MINUTE THEN n.ts ELSE w.last_kept END,
+           n.ts > w.last_kept + INTERVAL 10 MINUTE
+    FROM walk w JOIN e n ON n.user_id = w.user_id AND n.event_type = w.event_type AND n.rn = w.rn + 1)
+  SELECT * FROM walk) WHERE kept""",
+)
 register(
     "t3_manner_score_batch",
     body="""

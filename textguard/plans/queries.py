@@ -18,7 +18,7 @@ from textguard.operators.index import batch_id, drop_range, global_index, hex_bu
 from textguard.plans import fixtures as fx
 from textguard.plans.catalog import query
 from textguard.schemas import CATEGORY_SETS
-from textguard.sources import readers
+from textguard.sources import readers, sinks
 from textguard.sources.readers import table, text_table
 from textguard.streaming import stream
 
@@ -274,7 +274,7 @@ def q_j9(spark, sf):
 @query("j10_attach_responses")
 def q_j10(spark, sf):
     parsed = requests.parse_batch(fx.batch_replies(spark, sf))
-    return requests.attach_responses(fx.labelled(spark, sf).select("row_id", "action"), parsed)
+    return requests.attach_responses(fx.labelled(spark, sf).select("row_id", "action"), parsed).drop("n_replies")
 
 
 @query("j11_tag_integrity")
@@ -398,10 +398,7 @@ def q_p5(spark, sf):
 def q_k3(spark, sf):
     nmt = curate.nmt_subset(fx.splits(spark, sf)).select("split", "row_id", "source", "target")
     keyed = nmt.withColumn("_h", split.shuffle_key(F.col("row_id")))
-    ix = global_index(
-        keyed.select("split", "_h", "row_id", "source", "target"), ["_h", "row_id"], strata=["split"], out="line_no", buckets=hex_buckets(F.col("_h"))
-    )
-    return ix.select("split", (F.col("line_no") + 1).alias("line_no"), "row_id", tx.one_line(F.col("source")).alias("src"), tx.one_line(F.col("target")).alias("tgt"))
+    return sinks.parallel_pairs(keyed, "split", ["_h", "row_id"], keep=["row_id"], buckets=hex_buckets(F.col("_h")))
 
 
 # =========================================================================== U (set ops)
@@ -530,15 +527,20 @@ def _train_test(spark, sf):
     """Training reads its input several times (IDF, then the classifier). The
     split is already a map-only pass over the pinned labelled table with
     persisted boundaries, so re-reading it is cheaper than pinning it again."""
+    return _split_rows(spark, sf, "train"), _split_rows(spark, sf, "test")
+
+
+def _split_rows(spark, sf, name: str):
     s = fx.splits(spark, sf).select("row_id", F.col("source").alias("text"), F.col("action").alias("label"), "split")
-    return s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+    return s.filter(F.col("split") == name)
 
 
 @query("m2_fit_classifier")
 def q_m2(spark, sf):
+    """Fitted on the train split, confusion on the valid split."""
     train, _ = _train_test(spark, sf)
     m = model.fit_classifier(train)
-    return model.confusion(m.transform(train))
+    return model.confusion(m.transform(_split_rows(spark, sf, "valid")))
 
 
 @query("m3_classify")
@@ -573,7 +575,8 @@ def q_t1(spark, sf):
 def q_t2(spark, sf):
     ev = stream.read_stream(spark, sf, table(spark, sf, "events").schema, glob="events.parquet")
     out = stream.stream_dedup(ev.select("event_id", "ts", "user_id", "event_type"), ["user_id", "event_type"])
-    return stream.run_available_now(out, "t2")
+    kept = stream.run_available_now(out, "t2")
+    return kept.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 @query("t3_manner_score_stream")

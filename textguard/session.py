@@ -55,17 +55,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable (not local) checkpoint: survives executor loss, pins row positions."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back.
 
-    Cuts lineage like ``checkpoint()`` but in one pass (no recomputation for the
-    write) and keeps a columnar copy, so later readers prune columns.
+    Cuts lineage like a reliable checkpoint, but in one pass (no recomputation for
+    the write), and keeps a columnar copy, so later readers prune columns.
     """
     spark = df.sparkSession
     path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/{name}-{uuid.uuid4().hex}"

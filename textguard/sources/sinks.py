@@ -41,31 +41,36 @@ def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         w.format(fmt).save(path)
 
 
-def parallel_pairs(df: DataFrame, split_col: str, order_col: str, source: str = "source", target: str = "target") -> DataFrame:
-    """K3 relation: (split, line_no, src, tgt), newlines folded to spaces so one
-    record is one line on both sides. ``order_col`` must be a total order."""
+def parallel_pairs(df: DataFrame, split_col: str, order_cols, source: str = "source", target: str = "target", keep=(), buckets=None) -> DataFrame:
+    """K3 relation: (split, line_no, *keep, src, tgt), newlines folded to spaces so
+    one record is one line on both sides. ``order_cols`` must be a total order;
+    ``buckets`` as in ``global_index``."""
     from textguard.operators.index import global_index
 
-    ix = global_index(df.select(split_col, order_col, source, target), [order_col], strata=[split_col], out="_i")
+    order = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    ix = global_index(df.select(*dict.fromkeys([split_col, *order, *keep, source, target])), order, strata=[split_col], out="_i", buckets=buckets)
     return ix.select(
         F.col(split_col).alias("split"),
         (F.col("_i") + 1).alias("line_no"),
+        *keep,
         tx.one_line(F.col(source)).alias("src"),
         tx.one_line(F.col(target)).alias("tgt"),
     )
 
 
-def write_parallel(pairs: DataFrame, path: str) -> None:
+def write_parallel(pairs: DataFrame, path: str, lines_per_part: int = 1_000_000) -> None:
     """K3: line-aligned ``src`` and ``tgt`` text outputs per split.
 
-    The pair relation is range-sorted by (split, line_no) and pinned once; both
-    sides are written from that same layout, so part file k of ``src`` and of
-    ``tgt`` hold the same records in the same order (concatenate parts in name
-    order to get one file per side).
+    The pair relation is pinned once. A record's part follows from its line
+    number alone, and each part is one task's sorted rows, so part k of ``src``
+    and of ``tgt`` hold the same lines in line order whatever files or spills
+    lie between (concatenate ``part=0``, ``part=1``, ... for one file per side).
     """
-    laid = materialize(pairs.repartitionByRange("split", "line_no").sortWithinPartitions("split", "line_no"), "pairs")
+    laid = materialize(pairs.select("split", "line_no", "src", "tgt"), "pairs").withColumn("part", F.expr(f"(line_no - 1) div {int(lines_per_part)}"))
     for side in ("src", "tgt"):
-        laid.select("split", F.col(side).alias("value")).write.mode("overwrite").partitionBy("split").text(f"{path}/{side}")
+        rows = laid.select("split", "part", "line_no", F.col(side).alias("value")).repartition("split", "part")
+        # The order holds the writer's own (split, part), so nothing is sorted again.
+        rows.sortWithinPartitions("split", "part", "line_no").drop("line_no").write.mode("overwrite").partitionBy("split", "part").text(f"{path}/{side}")
 
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split", fmt: str = "parquet") -> None:
@@ -78,8 +83,13 @@ def write_splits(df: DataFrame, path: str, split_col: str = "split", fmt: str =
 
 
 def route_write(df: DataFrame, route_col: str, path: str, fmt: str = "parquet") -> None:
-    """K5: passed / blocked (any routes) in one pass, one directory per route."""
-    write_splits(df, path, route_col, fmt)
+    """K5: passed / blocked (any routes) in one pass, one directory per route.
+    Adds to the routes there are, so a resumed run keeps what it wrote before."""
+    w = df.write.mode("append").partitionBy(route_col)
+    if fmt == "tsv":
+        _tsv(w).csv(path)
+    else:
+        w.format(fmt).save(path)
 
 
 def replace_dataset(df: DataFrame, path: str, fmt: str = "parquet") -> None:

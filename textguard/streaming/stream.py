@@ -1,7 +1,8 @@
 """Structured Streaming forms of the moderation rules.
 
 The batch operators are reused unchanged on streaming DataFrames: the labeller
-is stateless (T1); dedup keeps state only inside the watermark (T2); the manner
+is stateless (T1); dedup keeps the last kept time of a key until the watermark
+passes it by the delay (T2); the manner
 score is a tumbling-window count with a watermark so state is bounded and late
 rows are dropped (T3). Sinks and stream checkpoints live under the session's
 checkpoint directory (a shared folder on a cluster).
@@ -43,8 +44,40 @@ def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def stream_dedup(df: DataFrame, keys, ts: str = "ts", delay: str = "10 minutes") -> DataFrame:
-    """Drop repeats of ``keys`` seen within the watermark delay (bounded state)."""
-    return event_time(df, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    """Drop an event if the previous *kept* event of its key is at most
+    ``delay`` earlier.
+
+    State is one time per key and ends once the watermark is ``delay`` past it.
+    Inside a micro-batch events are taken in event-time order (ties by the other
+    columns), so the kept rows don't depend on their order in the files; micro-batches
+    must follow event time, and an event older than the watermark is late and dropped.
+    Events without a time are dropped."""
+    import pandas as pd
+
+    gap = int(pd.Timedelta(delay).total_seconds() * 1_000_000)
+    names = list(df.columns)
+    timed = event_time(df, ts).filter(F.col(ts).isNotNull()).withWatermark(ts, delay).withColumn("_us", F.unix_micros(F.col(ts)))
+    schema = event_time(df, ts).schema
+
+    def keep(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(batches)).sort_values(["_us", *names], kind="stable")
+        last = state.get[0] if state.exists else None
+        kept = []
+        for t in rows["_us"].tolist():
+            kept.append(last is None or t - last > gap)
+            last = t if kept[-1] else last
+        ends = (last + gap) // 1000 + 1
+        if ends > state.getCurrentWatermarkMs():
+            state.update((last,))
+            state.setTimeoutTimestamp(ends)
+        elif state.exists:
+            state.remove()
+        yield rows.loc[kept, names]
+
+    return timed.groupBy(*keys).applyInPandasWithState(keep, schema, "last long", "append", "EventTimeTimeout")
 
 
 def manner_score(df: DataFrame, ts: str = "ts", window: str = "1 hour", delay: str = "10 minutes", bad: str = "error") -> DataFrame:
