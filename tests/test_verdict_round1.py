@@ -40,3 +40,17 @@ def test_lexicon_join_takes_a_word_once(spark):
     conflict = spark.createDataFrame([("Idiot", "person"), ("idiot", "fool")], "word string, stem string")
     with pytest.raises(Exception, match="conflicting stems"):
         policy.purify_by_join(df, "id", "text", conflict).collect()
+
+
+def test_all_gaps_are_exactly_the_lost_rows(spark):
+    from textguard.operators import diff
+
+    raw = spark.createDataFrame([(i, f"row {i}" if i != 30 else None) for i in range(60)], "id long, text string")
+    lost = {5, 6, 20, 30, 41, 42, 43}
+    proc = raw.filter(~F.col("id").isin(*lost)).withColumn("text", F.when(F.col("id") == 10, "changed").otherwise(F.col("text")))
+    out = diff.find_gaps(raw, proc, ["id"], first_only=False).collect()
+    assert {r["missing_line"] - 1 for r in out} == lost and len(out) == len(lost)
+    assert {(r["gap_line"], r["n_missing"]) for r in out} == {(6, 2), (19, 1), (28, 1), (38, 3)}
+    assert [r["missing_line"] for r in diff.find_gaps(raw, proc, ["id"]).orderBy("missing_line").collect()] == [6, 7]
+    kinds = diff.positional_diff(raw.limit(0).union(raw.filter("id IN (29, 30)")), raw.filter("id = 29"), ["id"]).collect()
+    assert [(r["line"], r["kind"], r["raw_text"]) for r in kinds] == [(2, "missing_in_proc", None)]

@@ -1,83 +1,95 @@
 """Positional comparison of two versions of a corpus.
 
 Both sides get a global position (two-level index, no single-task window) and
-a sanitised comparison key; all comparisons are equi-joins on position. The
-look-ahead (raw[i+k] == proc[i] for k in 1..K) is a range condition turned into
-an equi-join by exploding K candidate positions per mismatch, so it hashes.
+a 128-bit digest of the sanitised text; all comparisons are equi-joins on
+position and digest, so no text is pinned or shuffled as a key. Texts are
+fetched by order key for the few lines that are reported. A lost row has no
+digest, a null text has one of its own, so the two are told apart.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textguard.functions import text as tx
 from textguard.operators.index import global_index
 
+# Mismatches of one look-ahead pass of find_gaps.
+LOOK_AT_ONCE = 1000
 
-def _keyed(df: DataFrame, order_cols, text: str, strict_reference: bool, prefix: str, with_text: bool = True) -> DataFrame:
-    """Order columns, position and sanitised key (and the text if asked).
 
-    The key is computed once, after the range exchange and before the relation
-    is pinned, so later joins read it instead of re-running the regex. Without
-    ``with_text`` the text is not pinned at all; callers fetch the few texts
-    they report by order key."""
+def digest(text: Column, strict_reference: bool = False) -> Column:
+    """128-bit digest of the sanitised text; a null text has a digest of its own."""
+    return F.unhex(F.md5(F.coalesce(F.concat(F.lit("t"), tx.sanitize(text, strict_reference)), F.lit("null"))))
+
+
+def _keyed(df: DataFrame, order_cols, text: str, strict_reference: bool, prefix: str) -> DataFrame:
+    """Order columns, position and digest, pinned. The digest is computed once,
+    after the range exchange, and the text is dropped before anything is written."""
     keyed = df.select(*order_cols, F.col(text).alias(f"{prefix}_text"))
-    key = {f"{prefix}_key": tx.sanitize(F.col(f"{prefix}_text"), strict_reference)}
-    drop = () if with_text else (f"{prefix}_text",)
-    return global_index(keyed, order_cols, out=f"{prefix}_pos", derive=key, drop=drop)
+    key = {f"{prefix}_key": digest(F.col(f"{prefix}_text"), strict_reference)}
+    return global_index(keyed, order_cols, out=f"{prefix}_pos", derive=key, drop=(f"{prefix}_text",))
 
 
 def positional_diff(raw: DataFrame, proc: DataFrame, order_cols, text: str = "text", strict_reference: bool = False) -> DataFrame:
     """Positions where raw and processed differ after sanitising, including
     positions present on one side only (full outer join on position).
-    ``line`` is 1-based."""
-    r = _keyed(raw, order_cols, text, strict_reference, "raw").select("raw_pos", "raw_key", "raw_text")
-    p = _keyed(proc, order_cols, text, strict_reference, "proc").select("proc_pos", "proc_key", "proc_text")
-    j = r.join(p, r["raw_pos"] == p["proc_pos"], "full_outer")
-    pos = F.coalesce("raw_pos", "proc_pos")
+    ``line`` is 1-based; ``order_cols`` is a total order of each side."""
+    sides = {}
+    for name, df in (("raw", raw), ("proc", proc)):
+        keyed = _keyed(df, order_cols, text, strict_reference, name)
+        sides[name] = keyed.select(f"{name}_pos", f"{name}_key", F.struct(*order_cols).alias(f"{name}_at"))
+    j = sides["raw"].join(sides["proc"], F.col("raw_pos") == F.col("proc_pos"), "full_outer")
     kind = (
         F.when(F.col("proc_pos").isNull(), F.lit("missing_in_proc"))
         .when(F.col("raw_pos").isNull(), F.lit("extra_in_proc"))
         .otherwise(F.lit("changed"))
     )
-    return j.filter(~F.col("raw_key").eqNullSafe(F.col("proc_key"))).select(
-        (pos + 1).alias("line"), kind.alias("kind"), F.col("raw_text"), F.col("proc_text")
+    found = j.filter(~F.col("raw_key").eqNullSafe(F.col("proc_key"))).select(
+        (F.coalesce("raw_pos", "proc_pos") + 1).alias("line"), kind.alias("kind"), "raw_at", "proc_at"
     )
+    for name, df in (("raw", raw), ("proc", proc)):
+        texts = df.select(F.struct(*order_cols).alias(f"{name}_at"), F.col(text).alias(f"{name}_text"))
+        found = found.join(texts, f"{name}_at", "left")
+    return found.select("line", "kind", "raw_text", "proc_text")
 
 
 def find_gaps(raw: DataFrame, proc: DataFrame, order_cols, text: str = "text", k: int = 4, first_only: bool = True, strict_reference: bool = False) -> DataFrame:
-    """At a mismatch at position i, the smallest k in 1..K with raw[i+k] == proc[i]
-    means raw rows i..i+k-1 are missing. Returns one row per missing raw row:
-    (gap_line, n_missing, missing_line, missing_text); lines are 1-based.
-    ``first_only`` keeps the first gap, as a scan that stops there would."""
-    r = _keyed(raw, order_cols, text, strict_reference, "raw", with_text=False)
-    p = _keyed(proc, order_cols, text, strict_reference, "proc", with_text=False).select("proc_pos", "proc_key")
-    mism = r.join(p, r["raw_pos"] == p["proc_pos"]).filter(F.col("raw_key") != F.col("proc_key"))
-    cand = mism.select(
-        F.col("proc_pos").alias("i"),
-        F.col("proc_key").alias("key"),
-        F.explode(F.sequence(F.lit(1), F.lit(k))).alias("k"),
-    ).withColumn("ahead", F.col("i") + F.col("k"))
-    hits = cand.join(
-        r.select(F.col("raw_pos").alias("ahead"), F.col("raw_key").alias("key")), ["ahead", "key"]
-    )
-    gaps = hits.groupBy("i").agg(F.min("k").alias("n_missing"))
-    if first_only:
-        gaps = gaps.orderBy("i").limit(1)  # the first gap: top-1, not a global sort
-    missing = gaps.select("i", "n_missing", F.explode(F.sequence(F.lit(0), F.col("n_missing") - 1)).alias("j")).withColumn(
-        "raw_pos", F.col("i") + F.col("j")
-    )
-    located = missing.join(r.select("raw_pos", *order_cols), "raw_pos")
-    if first_only:  # at most k rows: fetch their texts with a broadcast lookup
-        located = F.broadcast(located)
+    """At a mismatch at position i, the smallest j in 1..k with raw[i+j] == proc[i]
+    means raw rows i..i+j-1 are missing. Returns one row per missing raw row:
+    (gap_line, n_missing, missing_line, missing_text); lines are 1-based, the
+    gap's line in processed, the missing line in raw.
+
+    After a gap the rows that follow are compared at the new shift, so exactly
+    the lost rows are reported, at the cost of a pass over positions and digests
+    for every gap (``first_only`` stops after one). Mismatches are looked at in
+    order, LOOK_AT_ONCE in a pass; those that no look-ahead explains are changed
+    rows and are passed over.
+    """
+    spark = raw.sparkSession
+    r = _keyed(raw, order_cols, text, strict_reference, "raw")
+    p = _keyed(proc, order_cols, text, strict_reference, "proc").select("proc_pos", "proc_key")
+    shift, start, gaps = 0, 0, []
+    while True:
+        at = r.select((F.col("raw_pos") - shift).alias("proc_pos"), "raw_key")
+        differ = p.filter(F.col("proc_pos") >= start).join(at, "proc_pos").filter(F.col("raw_key") != F.col("proc_key"))
+        seen = differ.select("proc_pos", "proc_key").orderBy("proc_pos").limit(LOOK_AT_ONCE).collect()  # bounded by the limit
+        if not seen:
+            break
+        looked = spark.createDataFrame([(x["proc_pos"], bytes(x["proc_key"])) for x in seen], "i long, raw_key binary")
+        ahead = looked.select("i", "raw_key", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("j")).withColumn("raw_pos", F.col("i") + shift + F.col("j"))
+        first = ahead.join(r.select("raw_pos", "raw_key"), ["raw_pos", "raw_key"]).agg(F.min(F.struct("i", "j"))).first()[0]
+        if first is None:
+            start = seen[-1]["proc_pos"] + 1
+            continue
+        gaps += [(first["i"] + 1, first["j"], first["i"] + shift + n) for n in range(first["j"])]
+        start, shift = first["i"], shift + first["j"]
+        if first_only:
+            break
+    located = spark.createDataFrame(gaps, "gap_line long, n_missing int, raw_pos long").join(r.select("raw_pos", *order_cols), "raw_pos")
     texts = located.join(raw.select(*order_cols, F.col(text).alias("missing_text")), list(order_cols))
-    return texts.select(
-        (F.col("i") + 1).alias("gap_line"),
-        F.col("n_missing").cast("int").alias("n_missing"),
-        (F.col("raw_pos") + 1).alias("missing_line"),
-        "missing_text",
-    )
+    return texts.select("gap_line", "n_missing", (F.col("raw_pos") + 1).alias("missing_line"), "missing_text")
 
 
 def coverage(raw: DataFrame, proc: DataFrame, order_cols, text: str = "text", strict_reference: bool = False) -> DataFrame:
@@ -85,8 +97,8 @@ def coverage(raw: DataFrame, proc: DataFrame, order_cols, text: str = "text", st
     'match' (equal everywhere, same length), 'prefix' (processed is a prefix of
     raw; ``next_line`` is the next expected raw line), 'longer' (processed has
     extra rows) or 'discrepancy'."""
-    r = _keyed(raw, order_cols, text, strict_reference, "raw", with_text=False).select("raw_pos", "raw_key")
-    p = _keyed(proc, order_cols, text, strict_reference, "proc", with_text=False).select("proc_pos", "proc_key")
+    r = _keyed(raw, order_cols, text, strict_reference, "raw").select("raw_pos", "raw_key")
+    p = _keyed(proc, order_cols, text, strict_reference, "proc").select("proc_pos", "proc_key")
     j = r.join(p, r["raw_pos"] == p["proc_pos"], "full_outer")
     agg = j.agg(
         F.count("raw_pos").alias("n_raw"),
@@ -106,5 +118,5 @@ def coverage(raw: DataFrame, proc: DataFrame, order_cols, text: str = "text", st
 
 def missing_rows(raw: DataFrame, proc: DataFrame, text: str = "text", strict_reference: bool = False) -> DataFrame:
     """Raw rows whose sanitised text occurs nowhere in processed (order-free)."""
-    keys = proc.select(tx.sanitize(F.col(text), strict_reference).alias("_key")).distinct()
-    return raw.withColumn("_key", tx.sanitize(F.col(text), strict_reference)).join(keys, "_key", "left_anti").drop("_key")
+    keys = proc.select(digest(F.col(text), strict_reference).alias("_key")).distinct()
+    return raw.withColumn("_key", digest(F.col(text), strict_reference)).join(keys, "_key", "left_anti").drop("_key")

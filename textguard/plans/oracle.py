@@ -472,7 +472,14 @@ SELECT g.i + 1 AS gap_line, CAST(g.n_missing AS INTEGER) AS n_missing, r.pos + 1
 FROM {src} g CROSS JOIN range(0, 4) t(j) JOIN raw_k r ON r.pos = g.i + t.j
 WHERE t.j < g.n_missing"""
 register("j6_find_gaps", RAWPROC, GAPS, "first_gap AS (SELECT * FROM hits ORDER BY i LIMIT 1)", body=_GAP_BODY.format(src="first_gap"))
-register("j6_find_gaps_all", RAWPROC, GAPS, body=_GAP_BODY.format(src="hits"))
+# Lost rows are those of raw that processed lacks by id; a run of them starts where as
+# many processed rows came before as the run's position less the rows lost before it.
+register(
+    "j6_find_gaps_all",
+    RAWPROC,
+    "lost AS (SELECT pos, text, pos - row_number() OVER (ORDER BY pos) + 1 AS i FROM raw_k WHERE doc_id NOT IN (SELECT doc_id FROM proc_k))",
+    body="SELECT i + 1 AS gap_line, CAST(count(*) OVER (PARTITION BY i) AS INTEGER) AS n_missing, pos + 1 AS missing_line, text AS missing_text FROM lost",
+)
 register(
     "j7_coverage",
     RAWPROC,
