@@ -30,6 +30,18 @@ from textguard.session import bounded_broadcast, materialize
 OFFSETS_BROADCAST_ROWS = 2_000_000
 
 
+# Bytes that a range of the index should hold, by the planner's estimate of its input.
+RANGE_BYTES = 256 << 20
+
+
+def ranges_for(df: DataFrame) -> int:
+    """Ranges for ``df``: as many as its estimated bytes ask for, and no fewer
+    than the session's shuffle partitions."""
+    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    wanted = -(-estimate // RANGE_BYTES) if estimate < 1 << 62 else 0  # no estimate: the planner's default is a huge number
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(wanted, 1_000_000))
+
+
 def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
@@ -86,7 +98,7 @@ def global_index(
         rows = rows.drop(*drop)
         return _with_offsets(rows, counts, strata, out, F.col("_r")).drop("_p", "_r", "_off")
 
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or ranges_for(df)
     keys = _cols(strata) + order
     ranged = (
         df.repartitionByRange(n, *keys)

@@ -43,15 +43,16 @@ def apply_overrides(
     """
     if validate == "eager":
         check_unique(fixes, "key")
-    m = fixes.groupBy(F.col("key").alias("_key")).agg(F.min("new_target").alias("_lo"), F.max("new_target").alias("_hi"))
+    # The 128-bit digest is the join key; the text itself is never hashed or compared in a shuffle.
+    m = fixes.groupBy(F.md5("key").alias("_digest")).agg(F.min("new_target").alias("_lo"), F.max("new_target").alias("_hi"), F.min("key").alias("_key"))
     conflict = F.raise_error(F.concat(F.lit("override map has two targets for key: "), F.substring(F.col("_key"), 1, 80)))
-    m = m.select("_key", F.when(F.col("_lo").eqNullSafe(F.col("_hi")), F.col("_lo")).otherwise(conflict).alias("_new"))
-    joined = df.join(m, df[on] == m["_key"], "left")
-    hit = F.col("_key").isNotNull()
+    m = m.filter(F.col("_digest").isNotNull()).select("_digest", F.when(F.col("_lo").eqNullSafe(F.col("_hi")), F.col("_lo")).otherwise(conflict).alias("_new"))
+    joined = df.join(m, F.md5(df[on]) == m["_digest"], "left")
+    hit = F.col("_digest").isNotNull()
     out = joined.withColumn(target, F.when(hit, F.col("_new")).otherwise(F.col(target)))
     if observation is not None:
         out = out.observe(observation, F.count_if(hit).alias("n_modified"))
-    return out.drop("_key", "_new")
+    return out.drop("_digest", "_new")
 
 
 def repair_normal(df: DataFrame, observation: Observation | None = None) -> DataFrame:

@@ -795,3 +795,17 @@ SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M:%S') AS wind
        CAST(count_if(event_type = 'error') AS BIGINT) AS manner_score, count(*) AS n_events
 FROM events GROUP BY 1, 2""",
 )
+
+# =========================================================================== S, K (round trips)
+register("s1_k1_tsv_round_trip", L, body="SELECT row_id, source, action, reason, 4::INTEGER AS n_fields FROM labelled")
+register("k2_append_twice", L, body="SELECT row_id, action, severity FROM labelled")
+register("s4_k4_splits_round_trip", L, SPLITS, body="SELECT row_id, action, split FROM splits WHERE split <> 'train'")
+register("k5_routes_twice", L, body="SELECT row_id, CASE WHEN action = 1 THEN 'blocked' ELSE 'passed' END AS route FROM labelled")
+register("k6_replace_dataset", L, body="SELECT row_id, CAST(severity + 1 AS INTEGER) AS severity FROM labelled")
+register("s5_read_policy", body="SELECT item_id, text AS policy FROM benchmark")
+register(
+    "a6_modified_count",
+    L,
+    body="""
+SELECT count(*) AS n_rows, CAST(count_if(source IN (SELECT source FROM labelled WHERE action = 2)) AS BIGINT) AS n_modified FROM labelled""",
+)

@@ -7,8 +7,11 @@ doubles so they compare exactly with their SQL twins in ``oracle.py``.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textguard.functions import lexicon as lx
 from textguard.functions import parse, rules
@@ -20,6 +23,7 @@ from textguard.plans.catalog import query
 from textguard.schemas import CATEGORY_SETS
 from textguard.sources import readers, sinks
 from textguard.sources.readers import table, text_table
+from textguard.session import ensure_checkpoint_dir
 from textguard.streaming import stream
 
 R6 = 6  # decimals kept for doubles
@@ -588,3 +592,82 @@ def q_t3s(spark, sf):
 @query("t3_manner_score_batch")
 def q_t3b(spark, sf):
     return stream.manner_score_batch(table(spark, sf, "events"))
+
+
+# =========================================================================== S, K (round trips)
+def _scratch(spark, name: str) -> str:
+    """A folder of its own under the session's checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/round-trips/{name}-{uuid.uuid4().hex}"
+
+
+def _tsv_back(spark, path: str, df):
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+    return readers.read_tsv(spark, path, schema)
+
+
+@query("s1_k1_tsv_round_trip")
+def q_s1(spark, sf):
+    """The labelled relation written as TSV and read back, with
+    the number of fields that each record had."""
+    lab = fx.labelled(spark, sf).select("row_id", "source", "action", "reason")
+    sinks.write_tsv(lab, path := _scratch(spark, "k1"))
+    return _tsv_back(spark, path, lab)
+
+
+@query("k2_append_twice")
+def q_k2(spark, sf):
+    """K2: two batches appended to one dataset."""
+    lab = fx.labelled(spark, sf).select("row_id", "action", "severity")
+    path = _scratch(spark, "k2")
+    sinks.append_rows(lab.filter(F.col("action") != 0), path)
+    sinks.append_rows(lab.filter(F.col("action") == 0), path)
+    return spark.read.parquet(path)
+
+
+@query("s4_k4_splits_round_trip")
+def q_k4(spark, sf):
+    """One directory per split, landed and read back by partition."""
+    sp = fx.splits(spark, sf).select("row_id", "action", "split")
+    sinks.write_splits(sp, path := _scratch(spark, "k4"))
+    readers.ingest_dataset(spark.read.parquet(path), landed := _scratch(spark, "s4"))
+    return spark.read.parquet(landed).filter(F.col("split") != "train").select("row_id", "action", F.col("split").cast("string").alias("split"))
+
+
+@query("k5_routes_twice")
+def q_k5(spark, sf):
+    """K5: a screening in two runs; the second adds to the routes of the first."""
+    lab = fx.labelled(spark, sf).select("row_id", F.when(F.col("action") == 1, F.lit("blocked")).otherwise(F.lit("passed")).alias("route"))
+    path = _scratch(spark, "k5")
+    for half in (0, 1):
+        sinks.route_write(lab.filter(F.col("row_id") % 2 == half), "route", path)
+    return spark.read.parquet(path).select("row_id", F.col("route").cast("string").alias("route"))
+
+
+@query("k6_replace_dataset")
+def q_k6(spark, sf):
+    """A dataset rewritten in place from its own rows (empty before the first run)."""
+    lab = fx.labelled(spark, sf).select("row_id", "severity")
+    path = _scratch(spark, "k6")
+    before = readers.read_or_empty(spark, path, lab.schema)
+    sinks.append_rows(lab.unionByName(before), path)
+    sinks.replace_dataset(spark.read.parquet(path).withColumn("severity", F.col("severity") + 1), path)
+    return readers.read_or_empty(spark, path, lab.schema)
+
+
+@query("s5_read_policy")
+def q_s5(spark, sf):
+    """Every benchmark text as a whole policy file of its own, read back in full."""
+    texts = table(spark, sf, "benchmark").select("item_id", "text")
+    texts.select(F.col("item_id").alias("item"), F.col("text").alias("value")).write.option("lineSep", "\u0001").partitionBy("item").text(path := _scratch(spark, "s5"))
+    back = readers.read_policy(spark, path)
+    item = F.regexp_extract("path", "item=([0-9]+)", 1).cast("bigint")
+    return back.select(item.alias("item_id"), F.regexp_replace("policy", "\u0001$", "").alias("policy"))
+
+
+@query("a6_modified_count")
+def q_a6(spark, sf):
+    """Rows that an override map changed, observed while the result is written."""
+    seen = Observation("fixes")
+    out = overrides.apply_overrides(fx.labelled(spark, sf), fx.source_fixes(spark, sf), on="source", observation=seen)
+    out.select("row_id", "target").write.parquet(path := _scratch(spark, "a6"))
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_modified", F.lit(seen.get["n_modified"]).cast("bigint"))
