@@ -38,30 +38,115 @@ MEMO, MEMO_BYTES = 400_000, 64
 
 # --------------------------------------------------------------------------- tokens
 class WordMemo(dict):
-    """Word bytes -> its ids as little-endian uint16, encoded when first met."""
+    """Word bytes -> its ids as little-endian uint16, encoded when first met.
+
+    ``path``: a BPE with word ends of the tokenizers library. Its merges are also
+    put as ranks, the word's end being one more byte (MARK) whose union with any
+    byte comes before all merges; so new words of a text are encoded together
+    in one call. Words that hold the mark, a special token or a character that
+    Unicode has got since 3.2 (libraries know different ones) are left to the
+    library itself.
+    """
+
+    MARK = "\x01"
 
     def __init__(self, path: str):
+        import json
         import os
 
+        import regex
+        import tiktoken
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u2").tobytes()
-        if len(word) <= MEMO_BYTES:
-            self[word] = ids
-        return ids
+        with open(path, encoding="utf-8") as f:
+            config = json.load(f)
+        model, mark = config["model"], self.MARK.encode()
+        self.pieces = regex.compile(config["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
+        suffix = model["end_of_word_suffix"]
+        letters = {c: b for b, c in _byte_letters().items()}
+        raw = lambda token: bytes(letters[c] for c in token.removesuffix(suffix)) + (mark if token.endswith(suffix) else b"")
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        order = [*_byte_letters().values(), *(c + suffix for c in _byte_letters().values()), *("".join(m) for m in merges)]
+        ranks: dict[bytes, int] = {}
+        ids = []
+        for token in order:
+            if ranks.setdefault(raw(token), len(ids)) == len(ids):
+                ids.append(model["vocab"][token])
+        self.ids = np.array(ids, "<u2")
+        self.last = np.array([k.endswith(mark) and len(k) > 1 for k in ranks])
+        self.fast = tiktoken.Encoding("words", pat_str=rf"[^{self.MARK}]*{self.MARK}", mergeable_ranks=ranks, special_tokens={})
+        self.odd = [self.MARK, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
+        self.settled: dict[str, bool] = {}
+
+    def _odd(self, text: str) -> bool:
+        """Whether ``text`` holds anything that the ranks may not treat alike."""
+        if any(o in text for o in self.odd):
+            return True
+        if text.isascii():
+            return False
+        from unicodedata import ucd_3_2_0
+
+        for c in set(text):
+            if c not in self.settled:
+                self.settled[c] = ucd_3_2_0.category(c) != "Cn"
+            if not self.settled[c]:
+                return True
+        return False
+
+    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of ``words``; those of short ones are remembered."""
+        plain, found = words, {}
+        if self._odd(b" ".join(words).decode()):
+            plain = [w for w in words if not self._odd(w.decode())]
+            found = {w: np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u2").tobytes() for w in set(words) - set(plain)}
+        found.update(zip(plain, self._encode(plain)))
+        self.update(found if max(map(len, words)) <= MEMO_BYTES else {w: v for w, v in found.items() if len(w) <= MEMO_BYTES})
+        return found
+
+    def _encode(self, words: list[bytes]) -> list[bytes]:
+        from unicodedata import is_normalized, normalize
+
+        if not words:
+            return []
+        text = b" ".join(words).decode()
+        if not is_normalized("NFC", text):
+            text = normalize("NFC", text)
+        # Lower case letter by letter: a final sigma is like any other.
+        text = text.replace("\u03a3", "\u03c3").lower()
+        parts = [[w] if w.isalpha() else self.pieces(w) for w in text.split(" ")]
+        flat = [p for ps in parts for p in ps]
+        if not flat:
+            return [b""] * len(words)
+        ranks = self.fast.encode_to_numpy(self.MARK.join(flat) + self.MARK, disallowed_special=())
+        ends = np.concatenate(([0], np.flatnonzero(self.last[ranks]) + 1))
+        data = self.ids[ranks].tobytes()
+        cuts = (2 * ends[np.cumsum([0, *map(len, parts)])]).tolist()
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
     def encode(self, data: bytes) -> bytes:
         """Ids of a whole text. The vocabulary drops white space and no token
         crosses it, so the text's ids are those of its words in order."""
-        if len(self) > MEMO:
-            self.clear()
-        return b"".join(map(self.__getitem__, data.split()))
+        words = data.split()
+        parts = list(map(self.get, words))
+        if None in parts:
+            if len(self) > MEMO:
+                self.clear()
+            ids = self.learn(list({w for w, p in zip(words, parts) if p is None}))
+            parts = [ids[w] if p is None else p for w, p in zip(words, parts)]
+        return b"".join(parts)
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte -> the letter that stands for it in byte-level vocabularies: printable
+    Latin-1 bytes stand for themselves, the others for code points from 256 on."""
+    kept = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    rest = [b for b in range(256) if b not in kept]
+    return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int = 1, text: str = "text") -> DataFrame:
