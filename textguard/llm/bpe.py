@@ -15,7 +15,7 @@ is encoded anew, so every join agrees exactly with the whole text's encoding.
 
 Scale: the corpus-wide step moves digests (16 bytes a kilobyte); only chunks
 that occur again are written and sent to the documents that hold them. Texts
-are shuffled once, by row, for owners and readers alike. A digest in very many
+are shuffled once, compressed, by row, for owners and readers alike. A digest in very many
 documents is a row of two plain tables' join, which may be split. A row's
 chunks are bounded by its text.
 
@@ -145,34 +145,47 @@ def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", text: str = "
             found = [(u, *c) for u, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary())) if t.is_valid for c in chunks(t.as_buffer().to_pybytes())]
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*found) if found else [[]] * 5, schema)], schema=schema)
 
+    def squeeze(batches):
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for b in batches:
+            packed = [pack(t.as_buffer()) if t.is_valid else None for t in b.column(2).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary())], names=["uid", "row", "packed"])
+
     def own(batches):
-        codec = ByteBpe.cached(vocabulary)
+        import zstandard
+
+        codec, unpack = ByteBpe.cached(vocabulary), zstandard.ZstdDecompressor().decompress
         for b in batches:
             digests, ids = [], []
-            for t, owned in zip(b.column(2).cast(pa.binary()), b.column(3).to_pylist()):
-                data = t.as_buffer().to_pybytes()
-                for c in owned:
+            for t, owned in zip(b.column(2), b.column(3)):
+                data = unpack(t.as_buffer())
+                for c in owned.as_py():
                     digests.append(c["digest"])
                     ids.append(codec.encode(data[c["start"] + c["first"] : c["start"] + c["last"]].decode()).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(ids, pa.binary())], names=["digest", "interior"])
 
     def join(batches):
-        codec = ByteBpe.cached(vocabulary)
+        import zstandard
+
+        codec, unpack = ByteBpe.cached(vocabulary), zstandard.ZstdDecompressor().decompress
         for b in batches:
             ids = []
-            for t, shared in zip(b.column(2).cast(pa.binary()), b.column(3).to_pylist()):
-                data = t.as_buffer().to_pybytes() if t.is_valid else b""
-                ids.append(assemble(data, [(c["start"], c["first"], c["last"], c["interior"]) for c in shared or ()], codec).astype("<u4").tobytes())
+            for t, shared in zip(b.column(2), b.column(3)):
+                data = unpack(t.as_buffer()) if t.is_valid else b""
+                ids.append(assemble(data, [(c["start"], c["first"], c["last"], c["interior"]) for c in shared.as_py() or ()], codec).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([b.column(1), pa.array(ids, pa.binary())], names=["row", "ids"])
 
     cuts = pin(rows.select("uid", "text").mapInArrow(cut, CHUNK), "bpe-chunks")
     repeated = cuts.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "start", "first", "last")).alias("own")).filter("n > 1")
     owners = repeated.groupBy("own.uid").agg(F.collect_list(F.struct("own.start", "own.first", "own.last", "digest")).alias("owned"))
     # Both joins read the same exchange of the texts by row.
-    encoded = rows.join(owners, "uid").select("uid", "row", "text", "owned").mapInArrow(own, "digest binary, interior binary")
+    sent = rows.mapInArrow(squeeze, T.StructType([rows.schema["uid"], rows.schema["row"], T.StructField("packed", T.BinaryType())]))
+    encoded = sent.join(owners, "uid").select("uid", "row", "packed", "owned").mapInArrow(own, "digest binary, interior binary")
     held = cuts.join(encoded, "digest").groupBy("uid").agg(F.collect_list(F.struct("start", "first", "last", "interior")).alias("shared"))
     schema = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType())])
-    done = rows.join(held, "uid", "left").select("uid", "row", "text", "shared").mapInArrow(join, schema)
+    done = sent.join(held, "uid", "left").select("uid", "row", "packed", "shared").mapInArrow(join, schema)
     return done.select(*(F.col("row")[c].alias(c) for c in carried), F.col("ids").alias(out))
 
 
