@@ -25,13 +25,15 @@ each; strings of special tokens are those tokens; an empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textguard.llm.common import fields, numbered, pin, worker_cache
+from textguard.llm.common import fields, numbered, pin, sliced, worker_cache
 
 #: Chunks end where the hash's top MASK_BITS bits are zero; so large on average.
 MASK_BITS = 10
@@ -44,25 +46,36 @@ class ByteBpe:
 
     def __init__(self, name: str):
         import base64
-        import os
+        import json
 
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.whole = Tokenizer.from_file(public_tokenizers.path(name))
-        self.whole.no_truncation()
-        self.whole.no_padding()
+        self.path = public_tokenizers.path(name)
+        with open(self.path, encoding="utf-8") as f:
+            special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
         with open(public_tokenizers.path(name.removesuffix(".json") + ".tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        special = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
         self.special = tuple(special)
         self.fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
         self.sizes = np.zeros(1 + max([*ranks.values(), *special.values()]), np.int64)
         for token, i in [*ranks.items(), *((k.encode(), i) for k, i in special.items())]:
             self.sizes[i] = len(token)
 
+    @cached_property
+    def whole(self):
+        """The library's tokenizer, loaded by the first text that needs it: it
+        would cost every worker as much memory again as the ranks do."""
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
+
     @staticmethod
     def cached(name: str) -> "ByteBpe":
         cache = worker_cache()
@@ -141,7 +154,7 @@ def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", text: str = "
 
     def cut(batches):
         schema = to_arrow_schema(CHUNK)
-        for b in batches:
+        for b in sliced(batches):
             found = [(u, *c) for u, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary())) if t.is_valid for c in chunks(t.as_buffer().to_pybytes())]
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*found) if found else [[]] * 5, schema)], schema=schema)
 
@@ -149,7 +162,7 @@ def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", text: str = "
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=1).compress
-        for b in batches:
+        for b in sliced(batches):
             packed = [pack(t.as_buffer()) if t.is_valid else None for t in b.column(2).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary())], names=["uid", "row", "packed"])
 
@@ -157,7 +170,7 @@ def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", text: str = "
         import zstandard
 
         codec, unpack = ByteBpe.cached(vocabulary), zstandard.ZstdDecompressor().decompress
-        for b in batches:
+        for b in sliced(batches):
             digests, ids = [], []
             for t, owned in zip(b.column(2), b.column(3)):
                 data = unpack(t.as_buffer())
@@ -170,7 +183,7 @@ def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", text: str = "
         import zstandard
 
         codec, unpack = ByteBpe.cached(vocabulary), zstandard.ZstdDecompressor().decompress
-        for b in batches:
+        for b in sliced(batches):
             ids = []
             for t, shared in zip(b.column(2), b.column(3)):
                 data = unpack(t.as_buffer()) if t.is_valid else b""
@@ -195,7 +208,7 @@ def decode(encoded: DataFrame, vocabulary: str = "byte_bpe_50k.json", ids: str =
 
     def run(batches):
         codec = ByteBpe.cached(vocabulary)
-        for b in batches:
+        for b in sliced(batches):
             text = [codec.decode(np.frombuffer(x.as_buffer(), "<u4")) if x.is_valid else None for x in b.column(b.schema.get_field_index(ids))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(text, pa.string())], names=schema.names)
 

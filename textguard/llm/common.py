@@ -81,6 +81,13 @@ def fields(**types: str) -> T.StructType:
     return T.StructType([T.StructField(name, kinds[kind]()) for name, kind in types.items()])
 
 
+def sliced(batches, rows: int = 1000):
+    """Arrow batches cut to ``rows`` rows, which bounds what a step holds at once."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def worker_cache() -> dict:
     """A dict that lives as long as the Python worker: tokenizers and memos that
     are loaded once and serve every task the worker gets."""
