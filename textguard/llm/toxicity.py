@@ -179,7 +179,8 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
     known = labels.filter(F.col(label).isNotNull() & ~held_out(key)).groupBy(key).agg((F.avg(label) >= 0.5).cast("long").alias("y"))
     known = known.withColumnRenamed(key, "_id")
     train = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).filter(~held_out("_id") & F.col("_text").isNotNull())
-    counts = pin(count(train.join(known, "_id").select("_text", (half_of("_id") * 2 + F.col("y")).alias("y"))), "toxicity-counts")
+    # The same plan at every size: labels grow with the texts, so they are never broadcast.
+    counts = pin(count(train.join(known.hint("merge"), "_id").select("_text", (half_of("_id") * 2 + F.col("y")).alias("y"))), "toxicity-counts")
     model = pin(differences(counts), "toxicity-model")
     sure = model if counts.count() <= most_grams else model.orderBy(F.desc("weight"), "gram").limit(most_grams)
     got = sure.select("gram", *(F.col(m).cast("float") for m in ("all", "without0", "without1"))).toArrow()
