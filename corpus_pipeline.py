@@ -7,7 +7,7 @@ next stage's ``docs``. All stages but the last return the columns of
 
 A stage that must look at its whole input before it decides (rules, near-dedup)
 decides on a narrow table of row numbers and then keeps those rows. Row numbers
-come from the written input, whose splits are the same each time it is read.
+are made of a row's file and its place there, however the files are split.
 """
 
 from __future__ import annotations
