@@ -59,6 +59,31 @@ def test_neighbours_of_awkward_vectors(spark):
     assert ann.search(df.limit(0), "id % 100 = 0").count() == 0
 
 
+def _found(spark, rows):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = {}
+    for r in ann.search(df, "id % 100 = 0", list_rows=64).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    return got
+
+
+def test_repeated_rows_of_equal_vectors(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(1, 90)] + [(1000 + i, [1.0] * 8) for i in range(20) for _ in range(3)]
+    assert _found(spark, rows)[1000] == [(0.0, 1001 + i) for i in range(10)]
+
+
+def test_an_id_with_many_vectors_counts_once(spark):
+    rng = np.random.default_rng(2)
+    near = [(7, (np.ones(8) + rng.normal(size=8) / 1000).tolist()) for _ in range(30)]
+    rows = [(100, [1.0] * 8), *near, *((200 + i, (np.ones(8) + rng.normal(size=8) / 10).tolist()) for i in range(1, 40))]
+    got = _found(spark, rows)[100]
+    v = {}
+    for i, x in rows[1:]:
+        v[i] = min(v.get(i, np.inf), float(np.sqrt(((np.array(x) - 1) ** 2).sum())))
+    assert [i for _, i in got] == sorted(v, key=v.get)[:10]
+
+
 def test_recall(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     got = ann.search(table, "id % 100 = 0", list_rows=64).toPandas().groupby("query_id").vec_id.apply(set)

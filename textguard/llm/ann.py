@@ -162,9 +162,9 @@ def search(
     schema = "query_id long, rank int, vec_id long, score double"
     if dims is None:
         return spark.createDataFrame([], schema)
-    # Only the k + 1 smallest ids of equal vectors can be in an answer.
+    # Only the k + 1 smallest ids of equal vectors can be in an answer; repeated rows go first, so each id has one place.
     twin = F.row_number().over(Window.partitionBy("v").orderBy("id"))
-    rows = pin(ok.filter(F.size("v") == dims["dim"]).withColumn("twin", twin).filter(F.col("twin") <= k + 1).drop("twin").dropDuplicates(["id", "v"]), "ann-rows")
+    rows = pin(ok.filter(F.size("v") == dims["dim"]).dropDuplicates(["id", "v"]).withColumn("twin", twin).filter(F.col("twin") <= k + 1).drop("twin"), "ann-rows")
     asked = ok.filter((F.size("v") == dims["dim"]) & F.expr(queries)).dropDuplicates(["id", "v"])
     picked = rows.orderBy(F.xxhash64(F.lit("sample"), F.col("id")), "id").select("v").limit(sample).toPandas()  # bounded by its parameter
     lists = build(_matrix(picked["v"]), min(max_lists, -(-dims["n"] // list_rows)))
@@ -201,11 +201,12 @@ def search(
     def compare(posted, queried):
         import pandas as pd
 
-        x, ids = _matrix(posted["v"]), posted["id"].to_numpy()
+        x, (ids, of) = _matrix(posted["v"]), np.unique(posted["id"].to_numpy(), return_inverse=True)
         asked, found, scores = [], [], []
         for q, v in zip(queried["id"].to_numpy(), queried["v"]):
             d = x - np.asarray(v, float)
-            score = np.sqrt((d * d).sum(axis=1))
+            score = np.full(len(ids), np.inf)
+            np.minimum.at(score, of, np.sqrt((d * d).sum(axis=1)))  # an id counts once, with its nearest vector
             score[ids == q] = np.inf
             top = _top(score, ids, k)
             asked.append(np.full(len(top), q))
