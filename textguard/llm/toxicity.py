@@ -16,10 +16,11 @@ histogram of the labelled documents' values, turns it into a score.
 
 Scale: counts cover all labelled rows that are not held out; a task sends each
 n-gram once, summed. The models are computed by joins and windows on the table
-of n-grams, whose contexts have at most 256 members. What is broadcast is at
-most ``most_grams`` differences (12 bytes each): if more n-grams were seen,
-those of the least weight (occurrences times size of the difference) are left
-to the backoff, which is silent. Scoring is one pass over the texts.
+of n-grams, whose contexts have at most 256 members. A model of at most
+``most_grams`` n-grams (20 bytes each) is broadcast, and scoring is one pass
+over the texts. A larger one stays a table: texts are put into packs of PACK
+symbols, each pack's distinct n-grams are joined with the table, and the
+differences found go to the pack's texts. Both ways give the same values.
 
 Defined results: null and letterless texts have value 0; a label row repeated
 for one id counts by its mean; with no labels of one class every score is the
@@ -42,6 +43,8 @@ from textguard.llm.common import crc_of, fresh, pin
 ORDER, SPAN, DISCOUNT, SHARED_DISCOUNT = 6, 12, 2.0, 0.75
 #: Symbols that are turned into n-grams at a time.
 SLICE = 1 << 20
+#: Symbols of the texts whose n-grams are looked up together.
+PACK = 4 * SLICE
 #: Values are counted in steps of 1 / STEPS to fit the curve.
 STEPS = 50
 _OTHER = re.compile(r"[\W\d_]+")
@@ -99,7 +102,7 @@ def count(train: DataFrame) -> DataFrame:
 
 
 def differences(counts: DataFrame) -> DataFrame:
-    """(gram, weight, all, without0, without1): log P of the toxic model less
+    """(gram, all, without0, without1): log P of the toxic model less
     that of the ordinary one, for every n-gram of ``counts`` (pinned), by the
     models of all rows and by those without each half."""
     d = SHARED_DISCOUNT
@@ -132,8 +135,7 @@ def differences(counts: DataFrame) -> DataFrame:
             return F.lit(None).cast("double")
         return (F.greatest(n - DISCOUNT, F.lit(0.0)) + F.lit(sums[f"{m}_d{y}"] / sums["backoff"]) * F.col("backoff")) / total
 
-    out = top.select("gram", both.alias("n"), *(F.coalesce(F.log(p(m, 1) / p(m, 0)), F.lit(0.0)).alias(m) for m in models))
-    return out.withColumn("weight", F.col("n") * F.abs("all"))
+    return top.select("gram", *(F.coalesce(F.log(p(m, 1) / p(m, 0)), F.lit(0.0)).cast("float").alias(m) for m in models))
 
 
 def values(raw: np.ndarray, keys: np.ndarray, *models: np.ndarray) -> list[float]:
@@ -152,6 +154,51 @@ def values(raw: np.ndarray, keys: np.ndarray, *models: np.ndarray) -> list[float
     return best
 
 
+def _looked_up(read: DataFrame, model: DataFrame, text: str, valued, out: T.StructType) -> DataFrame:
+    """``valued(texts, keys, *differences)`` of packs of ``read``'s rows, with the
+    n-grams of ``model`` that occur in the pack."""
+    from pyspark import TaskContext
+
+    pack, held = fresh(read, "pack"), fresh(read, "grams")
+    schema = T.StructType([*read.schema.fields, T.StructField(pack, T.LongType()), T.StructField(held, T.BinaryType())])
+
+    def gather(batches):
+        number = TaskContext.get().partitionId() << 33
+        for b in batches:
+            packs, found, seen, waiting, size, whole = [], [None] * b.num_rows, np.zeros(0, np.int64), [], 0, 0
+            for row, t in enumerate(b.column(b.schema.get_field_index(text))):
+                raw = symbols(t.as_py() or "")
+                for i in range(0, max(1, len(raw) - ORDER + 1), SLICE):
+                    waiting.append(grams(raw[i : i + SLICE + ORDER - 1]))
+                    size += len(waiting[-1])
+                    if size >= PACK:
+                        seen, waiting, size = np.unique(np.concatenate([seen, *waiting])), [], 0
+                packs.append(number)
+                whole += len(raw)
+                if whole >= PACK or row == b.num_rows - 1:  # the last row of a pack holds the pack's n-grams
+                    found[row] = np.unique(np.concatenate([seen, *waiting])).astype("<i8").tobytes()
+                    number, seen, waiting, size, whole = number + 1, np.zeros(0, np.int64), [], 0, 0
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(packs, pa.int64()), pa.array(found, pa.binary())], names=schema.names)
+
+    def spread(batches):
+        for b in batches:
+            for number, held in zip(b.column(0).to_pylist(), b.column(1)):
+                keys = np.frombuffer(held.as_buffer(), "<i8")
+                for i in range(0, len(keys), SLICE):
+                    part = keys[i : i + SLICE]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), number)), pa.array(part)], names=["pack", "gram"])
+
+    def run(rows, known):
+        at = np.argsort(known.column("gram").to_numpy())
+        return valued(rows.drop_columns([pack]).combine_chunks(), *(known.column(c).to_numpy()[at] for c in ("gram", "all", "without0", "without1")))
+
+    # Packs are stored: each later job sees the same ones.
+    packed = pin(read.mapInArrow(gather, schema), "toxicity-packs", "zstd")
+    wanted = packed.filter(F.col(held).isNotNull()).select(pack, held).mapInArrow(spread, "pack long, gram long")
+    known = wanted.join(model, "gram").select(F.col("pack").alias(pack), "gram", "all", "without0", "without1")
+    return packed.drop(held).groupBy(pack).cogroup(known.groupBy(pack)).applyInArrow(run, out)
+
+
 def curve(histogram: list[tuple[float, int, int]]) -> tuple[float, float]:
     """(slope, middle) of the logistic curve of (value, ordinary, toxic) counts.
     Slope 0: the share of toxic is middle."""
@@ -173,7 +220,8 @@ def curve(histogram: list[tuple[float, int, int]]) -> tuple[float, float]:
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text", out: str = "score", keep=None, most_grams: int = 4 << 20) -> DataFrame:
     """``keep`` columns of ``docs`` (all by default) and the score, learnt from
-    the labelled rows that are not held out."""
+    the labelled rows that are not held out. A model of more than ``most_grams``
+    n-grams isn't broadcast but joined."""
     spark = docs.sparkSession
     keep = list(docs.columns if keep is None else keep)
     known = labels.filter(F.col(label).isNotNull() & ~held_out(key)).groupBy(key).agg((F.avg(label) >= 0.5).cast("long").alias("y"))
@@ -182,25 +230,27 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
     # The same plan at every size: labels grow with the texts, so they are never broadcast.
     counts = pin(count(train.join(known.hint("merge"), "_id").select("_text", (half_of("_id") * 2 + F.col("y")).alias("y"))), "toxicity-counts")
     model = pin(differences(counts), "toxicity-model")
-    sure = model if counts.count() <= most_grams else model.orderBy(F.desc("weight"), "gram").limit(most_grams)
-    got = sure.select("gram", *(F.col(m).cast("float") for m in ("all", "without0", "without1"))).toArrow()
-    order = np.argsort(got.column(0).to_numpy())
-    sent = spark.sparkContext.broadcast([got.column(i).to_numpy()[order] for i in range(4)])
     v, u, h = fresh(docs, "value"), fresh(docs, "unseen"), fresh(docs, "half")
     read = docs.select(*(F.col(c) for c in keep), *({text} - set(keep)), half_of(key).alias(h), F.col(key).alias("_id"))
     schema = T.StructType([*read.schema.fields, T.StructField(v, T.DoubleType()), T.StructField(u, T.DoubleType())])
 
-    def run(batches):
-        for b in batches:
-            keys, all_, *without = sent.value
-            halves = b.column(b.schema.get_field_index(h)).to_pylist()
-            found = [values(symbols(t.as_py() or ""), keys, all_, without[i]) for t, i in zip(b.column(b.schema.get_field_index(text)), halves)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array([f[i] for f in found], pa.float64()) for i in (0, 1))], names=schema.names)
-
-    valued = pin(read.mapInArrow(run, schema).select(*keep, "_id", v, u), "toxicity-values")
+    def valued(b, keys, all_, *without):
+        """The rows of a batch or table with their values."""
+        halves = b.column(b.schema.get_field_index(h)).to_pylist()
+        found = [values(symbols(t.as_py() or ""), keys, all_, without[i]) for t, i in zip(b.column(b.schema.get_field_index(text)), halves)]
+        return type(b).from_arrays([*b.columns, *(pa.array([f[i] for f in found], pa.float64()) for i in (0, 1))], names=schema.names)
+
+    if counts.count() <= most_grams:
+        got = model.select("gram", "all", "without0", "without1").toArrow()
+        order = np.argsort(got.column(0).to_numpy())
+        sent = spark.sparkContext.broadcast([got.column(i).to_numpy()[order] for i in range(4)])
+        scored = read.mapInArrow(lambda batches: (valued(b, *sent.value) for b in batches), schema)
+    else:
+        scored = _looked_up(read, model, text, valued, schema)
+    valued_rows = pin(scored.select(*keep, "_id", v, u), "toxicity-values")
     step = F.round(F.col(u) * STEPS).cast("long").alias("step")
-    bins = valued.join(known, "_id").groupBy(step).agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"))
+    bins = valued_rows.join(known, "_id").groupBy(step).agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"))
     # Values lie within the largest difference of a symbol: some thousand steps.
     slope, middle = curve([(r["step"] / STEPS, r["n0"], r["n1"]) for r in bins.collect()])
     chance = 1 / (1 + F.exp(-F.lit(slope) * (F.col(v) - F.lit(middle)))) if slope else F.lit(middle)
-    return valued.select(*keep, chance.cast("double").alias(out))
+    return valued_rows.select(*keep, chance.cast("double").alias(out))
