@@ -55,3 +55,24 @@ def test_stream_dedup_query_follows_the_rule(spark):
     out = se.queries()["t2_stream_dedup"](spark, SF_SMALL)
     ev = table(spark, SF_SMALL, "events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), "user_id", "event_type").collect()
     assert sorted(r[0] for r in out.select("event_id").collect()) == _greedy([(r[0], r[1], (r[2], r[3])) for r in ev], 600_000_000)
+
+
+def test_stream_dedup_holds_no_group_in_python(spark, tmp_path):
+    """A key with most of the rows, null keys, equal times, rows without a time: the
+    rule holds, and the rows of a key reach Python a few at a time."""
+    import random
+
+    random.seed(4)
+    rows = [(i, 1_700_000_000 + random.randrange(90_000), "hot" if i % 3 else random.choice([None, "a", "b"])) for i in range(6000)]
+    df = spark.createDataFrame([*rows, (6000, None, "a")], "id long, s long, k string").select("id", F.timestamp_seconds("s").alias("ts"), "k")
+    path = str(tmp_path / "one")
+    df.repartition(1).write.parquet(path)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        dedup = stream.stream_dedup(stream.read_stream(spark, path, df.schema), ["k"])
+        plan = dedup.answer(df, spark.createDataFrame([], dedup.state))._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+        got = sorted(r[0] for r in stream.run_available_now(dedup, "dedup").select("id").collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == _greedy([(i, t, k) for i, t, k in rows])
