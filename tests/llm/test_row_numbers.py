@@ -39,13 +39,35 @@ def test_numbers_do_not_depend_on_splits(spark, tmp_path):
 def test_kept_rows_when_jobs_split_otherwise(spark, tmp_path):
     path = str(tmp_path / "docs")
     spark.range(0, 20_000, 1, 2).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")).write.option("parquet.block.size", 64 << 10).parquet(path)
-    docs, row = corpus_pipeline._numbered(spark.read.parquet(path))
+    docs = numbered(spark.read.parquet(path), "row")
     spark.conf.set("spark.sql.files.minPartitionNum", "64")
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
-        kept = docs.filter("id % 7 = 0").select(row).collect()
+        kept = docs.filter("id % 7 = 0").select("row").collect()
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum")
         spark.conf.unset("spark.sql.files.openCostInBytes")
-    got = corpus_pipeline._only(docs, spark.createDataFrame(kept, f"{row} long"), row)
+    got = docs.join(spark.createDataFrame(kept, "row binary"), "row", "left_semi")
     assert sorted(r["id"] for r in got.select("id").collect()) == list(range(0, 20_000, 7))
+
+
+def test_texts_are_sent_once_over_several_files(spark, tmp_path):
+    from textguard.llm import bpe
+
+    path = str(tmp_path / "docs")
+    spark.range(0, 400, 1, 4).select(F.col("id").alias("doc_id"), F.repeat(F.concat(F.lit("some words again "), F.col("id") % 3), 90).alias("text")).write.parquet(path)
+    out = bpe.encode(spark.read.parquet(path))
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert final.count("squeeze(") == 1, final
+
+
+def test_one_row_of_every_group_stays(spark, tmp_path):
+    """One id as the least of two groups, near copies without an id."""
+    a, b, c = ("alpha beta gamma delta epsilon zeta eta theta " * 6, "one two three four five six seven eight nine ten " * 6, "lorem ipsum dolor sit amet consectetur adipiscing elit " * 6)
+    rows = [(1, a), (1, b), (2, a), (3, b), (None, c), (None, c), (None, c), (4, "unlike any of the others it stands alone here")]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(2).write.parquet(path)
+    kept = corpus_pipeline.near_dedup(spark, spark.read.parquet(path), "").select("doc_id", "text").collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept) == sorted([(1, a), (1, b), (0, c), (4, rows[-1][1])])

@@ -141,7 +141,7 @@ def assemble(data: bytes, shared: list[tuple[int, int, int, bytes]], codec: Byte
 
 
 # --------------------------------------------------------------------------- on Spark
-CHUNK = fields(uid="long", start="int", first="int", last="int", digest="binary")
+CHUNK = fields(uid="binary", start="int", first="int", last="int", digest="binary")
 
 
 def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", text: str = "text", out: str = "ids") -> DataFrame:
@@ -193,12 +193,12 @@ def encode(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", text: str = "
     cuts = pin(rows.select("uid", "text").mapInArrow(cut, CHUNK), "bpe-chunks")
     repeated = cuts.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "start", "first", "last")).alias("own")).filter("n > 1")
     owners = repeated.groupBy("own.uid").agg(F.collect_list(F.struct("own.start", "own.first", "own.last", "digest")).alias("owned"))
-    # Both joins read the same exchange of the texts by row.
+    # Both joins read the same exchange of the texts by row: neither is a broadcast, at any size.
     sent = rows.mapInArrow(squeeze, T.StructType([rows.schema["uid"], rows.schema["row"], T.StructField("packed", T.BinaryType())]))
-    encoded = sent.join(owners, "uid").select("uid", "row", "packed", "owned").mapInArrow(own, "digest binary, interior binary")
+    encoded = sent.join(owners.hint("merge"), "uid").select("uid", "row", "packed", "owned").mapInArrow(own, "digest binary, interior binary")
     held = cuts.join(encoded, "digest").groupBy("uid").agg(F.collect_list(F.struct("start", "first", "last", "interior")).alias("shared"))
     schema = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType())])
-    done = sent.join(held, "uid", "left").select("uid", "row", "packed", "shared").mapInArrow(join, schema)
+    done = sent.join(held.hint("merge"), "uid", "left").select("uid", "row", "packed", "shared").mapInArrow(join, schema)
     return done.select(*(F.col("row")[c].alias(c) for c in carried), F.col("ids").alias(out))
 
 

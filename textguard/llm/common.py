@@ -41,38 +41,31 @@ def pin(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
 
 
 def numbered(df: DataFrame, name: str) -> DataFrame:
-    """``df`` with a row number ``name`` that is the same each time it is read.
+    """``df`` with a key of its rows, ``name`` (binary, never null), that is the
+    same each time they are read.
 
     A row of Parquet files is known by its file and its place in it, which don't
-    depend on how a job cuts the files into splits: the number is that of the
-    file (in path order) and the place. Any other input is written to the shared
-    folder first, together with its numbers."""
-    files = _files(df)
-    if files is None:
-        return pin(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
-    meta, path = df.metadataColumn("_metadata"), fresh(df, "path")
-    if len(files) < 2:
-        return df.withColumn(name, meta["row_index"])
-    number, spark = fresh(df, "file"), df.sparkSession
-    known = F.broadcast(spark.createDataFrame(list(zip(files, range(len(files)))), fields(**{path: "string", number: "long"})))  # one row a file
-    placed = df.withColumns({name: meta["row_index"], path: meta["file_path"]}).join(known, path)
-    return placed.withColumn(name, F.shiftleft(number, 40) + F.col(name)).select(*df.columns, name)
-
-
-def _files(df: DataFrame) -> list[str] | None:
-    """Sorted paths of the Parquet files with rows in ``df``, if it is a scan of
-    them with projections and filters, and no file is read twice."""
+    depend on how a job cuts the files into splits: the key is a 128-bit digest
+    of both. Any other input is written to the shared folder first."""
+    if not _is_scan(df):
+        return numbered(pin(df, "numbered"), name)
+    meta = df.metadataColumn("_metadata")
+    known = F.unhex(F.md5(F.concat_ws("#", meta["file_path"], meta["row_index"].cast("string"))))
+    # Not nullable, so that no join plants a filter of its own above one reading of the rows.
+    return df.withColumn(name, F.coalesce(known, F.lit(b"")))
+
+
+def _is_scan(df: DataFrame) -> bool:
+    """Is ``df`` a scan of Parquet files, each read once, with projections and
+    filters only? Looks at the plan, not at the files."""
     node = df._jdf.queryExecution().optimizedPlan()
     while node.nodeName() in ("Project", "Filter"):
         node = node.children().apply(0)
     if node.nodeName().split(" ")[0] not in ("Relation", "LogicalRelation") or node.relation().toString().lower() != "parquet":
-        return None
-    read = list(node.relation().location().inputFiles())
-    if len(read) != len(set(read)):
-        return None
-    if len(read) < 2:
-        return read
-    return sorted(r[0] for r in df.select(df.metadataColumn("_metadata")["file_path"]).distinct().collect())
+        return False
+    roots = node.relation().location().rootPaths()
+    paths = sorted(f"{roots.apply(i).toString().rstrip('/')}/" for i in range(roots.size()))
+    return not any(b.startswith(a) for a, b in zip(paths, paths[1:]))
 
 
 def crc_of(col: Column) -> Column:

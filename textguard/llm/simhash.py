@@ -205,18 +205,28 @@ def links(fps: DataFrame, max_bits: int = 4) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = 4, shingle: int = 4, key: str = "doc_id", text: str = "text", carry=()) -> DataFrame:
-    """One row per document: (key, *carry, fp long, component).
+    """One row per document: (key, *carry, fp long, component, root long).
 
-    ``component`` is the smallest key reachable over links, itself included.
-    ``carry`` names further columns of ``docs`` to return.
+    ``component`` is the smallest key reachable over links, itself included,
+    ``root`` the smallest fingerprint of the same group, which tells groups apart
+    where a key is null or stands in several. ``carry`` names further columns of
+    ``docs`` to return; one called like a column above gets underscores before it.
     """
-    rows = pin(fingerprints(docs.select(key, *carry, text), text, shingle), "simhash-rows")
-    fps = pin(rows.groupBy("fp").agg(F.min(key).alias("least")), "simhash-distinct")
+    named = docs.select(F.struct(F.col(key).alias("key"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(carry))).alias("row"), F.col(text).alias("text"))
+    rows = pin(fingerprints(named, "text", shingle), "simhash-rows")
+    fps = pin(rows.groupBy("fp").agg(F.min("row.key").alias("least")), "simhash-distinct")
     edges = pin(links(fps.select("fp"), max_bits), "simhash-links")
     member = components(edges)  # (node, root), of linked fingerprints only
     grouped = fps.join(member.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     grouped = pin(grouped, "simhash-groups")
     least = pin(grouped.groupBy("root").agg(F.min("least").alias("component")), "simhash-roots")
-    named = pin(grouped.join(least, "root").select("fp", "component"), "simhash-members")
+    members = pin(grouped.join(least, "root").select("fp", "component", "root"), "simhash-members")
     # Both sides are plain tables: the join may split a fingerprint with very many copies.
-    return rows.join(named, "fp").select(key, *carry, "fp", "component")
+    out = rows.join(members, "fp").select(F.col("row.key").alias(key), "row", "fp", "component", "root")
+    taken, named = {key.lower(), "fp", "component", "root"}, []
+    for i, c in enumerate(carry):
+        while c.lower() in taken:
+            c = f"_{c}"
+        taken.add(c.lower())
+        named.append(F.col("row")[f"c{i}"].alias(c))
+    return out.select(key, *named, "fp", "component", "root")

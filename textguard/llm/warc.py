@@ -99,7 +99,7 @@ def write(pages: DataFrame, least_bytes: int = 0, key: str = "page_id", url: str
     def store(batches):
         import uuid as u
 
-        name = lambda n: f"<urn:uuid:{u.uuid5(u.UUID(run_id), str(n))}>"
+        name = lambda n: f"<urn:uuid:{u.uuid5(u.UUID(run_id), n.hex())}>"
         fs, path = _filesystem(folder)
         out, file, at = None, "", 0
         for b in batches:
