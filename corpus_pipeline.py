@@ -5,9 +5,10 @@ kept and returns a DataFrame; it is written as Parquet and read back as the
 next stage's ``docs``. All stages but the last return the columns of
 ``documents``, unchanged; the last returns the packed pieces.
 
-A stage that must look at its whole input before it decides (rules, near-dedup)
-decides on a narrow table of row numbers and then keeps those rows. Row numbers
-are made of a row's file and its place there, however the files are split.
+The rules write their counts beside the document, so what they keep is a filter
+of that table. Near-dedup decides on a narrow table of row keys and then keeps
+those rows; a row's key is made of its file and its place there, however the
+files are split.
 """
 
 from __future__ import annotations
@@ -22,15 +23,6 @@ from textguard.llm.common import fresh, numbered, pin, table
 ORACLE_SQL = None
 
 
-def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    row = fresh(docs, "row")
-    return numbered(docs, row), row
-
-
-def _only(numbered: DataFrame, rows: DataFrame, row: str) -> DataFrame:
-    return numbered.join(rows.select(row), row, "left_semi").select(*(c for c in numbered.columns if c != row))
-
-
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose score is below one half."""
     forest = quality_model.train(docs, table(spark, sf_dir, "labels"))
@@ -40,18 +32,21 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the base rules or a certified cutoff reject."""
-    numbered, row = _numbered(docs)
-    judged = quality_rules.apply_rules(numbered, table(spark, sf_dir, "labels"), carry=[row])
-    return _only(numbered, judged.filter("kept"), row)
+    whole = docs.select("doc_id", "lang", "text", F.struct(*(F.col(c) for c in docs.columns)).alias("document"))
+    judged = quality_rules.apply_rules(whole, table(spark, sf_dir, "labels"), carry=["document"])
+    return judged.filter("kept").select("document.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of every group of near-duplicates the document with the smallest
-    doc_id (of repeated rows of that document, the first)."""
-    numbered, row = _numbered(docs)
-    found = simhash.near_duplicates(numbered, max_bits=4, shingle=4, carry=[row])
-    least = found.filter(F.col("doc_id").eqNullSafe(F.col("component"))).groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("fp"))).agg(F.min(row).alias(row))
-    return _only(numbered, pin(least.select(row), "near-dedup-kept"), row)
+    doc_id (null ids last; of repeated rows of that document, any one)."""
+    row = fresh(docs, "row")
+    rows = numbered(docs, row)
+    found = simhash.near_duplicates(rows, max_bits=4, shingle=4, carry=[row])
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", row)).alias("first"))
+    kept = pin(first.select(F.col("first")[row].alias(row)), "near-dedup-kept")
+    # The same join at every size: the rows kept grow with the documents.
+    return rows.join(kept.hint("merge"), row, "left_semi").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
