@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.llm import ann, bpe, packing, quality_model, quality_rules, sharding, simhash, token_counts, toxicity, warc
+from textguard.llm import alignment, ann, bpe, packing, quality_model, quality_rules, sharding, simhash, token_counts, toxicity, warc
 from textguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +115,11 @@ def op1_offset_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of all documents, boundary tokens to where they start."""
     out = token_counts.count_tokens(table(spark, sf_dir, "documents"), rule="start")
     return out.withColumn("n_tokens", F.col("n_tokens").cast("long"))
+
+
+@_query
+def op11_arrow_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents aligned between the byte-level and the piece vocabulary."""
+    out = alignment.alignment(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
