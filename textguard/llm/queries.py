@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.llm import alignment, ann, bpe, packing, quality_model, quality_rules, sharding, simhash, token_counts, toxicity, warc
+from textguard.llm import alignment, ann, bpe, hard_negatives, packing, quality_model, quality_rules, sharding, simhash, token_counts, toxicity, warc
 from textguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,29 @@ def op11_arrow_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = alignment.alignment(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
+@_query
+def op13_slot_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for every fiftieth embedding, labels of every seventh moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label")), anchors="id % 50 = 0")
+
+
+ORACLE["op13_slot_hard_negatives"] = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+           FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+     p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+       n.id AS negative_id, p.positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+               AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
