@@ -95,6 +95,17 @@ def fields(**types: str) -> T.StructType:
     return T.StructType([T.StructField(name, kinds[kind]()) for name, kind in types.items()])
 
 
+def nullable(kind: T.DataType) -> T.DataType:
+    """``kind`` as it is read back from Parquet: nullable at every depth."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType)) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(nullable(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(nullable(kind.keyType), nullable(kind.valueType))
+    return kind
+
+
 def sliced(batches, rows: int = 1000):
     """Arrow batches cut to ``rows`` rows, which bounds what a step holds at once."""
     for b in batches:

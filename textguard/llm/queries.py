@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textguard.llm import alignment, ann, bpe, hard_negatives, packing, quality_model, quality_rules, sharding, simhash, token_counts, toxicity, warc
+from textguard.llm import alignment, ann, bpe, hard_negatives, language, packing, quality_model, quality_rules, sharding, simhash, token_counts, toxicity, warc
 from textguard.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,6 +125,13 @@ def op11_arrow_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
 
 
+@_query
+def op12_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents; learnt from rows that are not held out."""
+    out = language.identify(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return out.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 @_query
 def op13_slot_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives for every fiftieth embedding, labels of every seventh moved on by one."""
