@@ -72,6 +72,7 @@ class Pair:
         self.b = pa.array([bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(named)], pa.large_binary())
         self.sizes = [pc.cast(pc.binary_length(v), pa.int64()) for v in (self.a, self.b)]
         self.small = max(len(self.a), len(self.b)) <= 1 << 16
+        self.names = pa.array([f"{i}{end}" for i in range(max(len(self.a), len(self.b))) for end in ",|;"], pa.large_string())
 
     @staticmethod
     def cached(a: str, b: str) -> "Pair":
@@ -118,15 +119,16 @@ class Pair:
         cuts = starts[ids.offsets.to_numpy()]
         return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(np.ascontiguousarray(cuts)), tokens.buffers()[2]])
 
-    def pack(self, ids: np.ndarray) -> bytes:
+    def pack(self, ids: list[np.ndarray]) -> bytes:
         import zstandard
 
-        return zstandard.compress(ids.astype("<u2" if self.small else "<u4").tobytes(), 1)
+        return zstandard.compress(np.concatenate(ids).astype("<u2" if self.small else "<u4").tobytes(), 3)
 
-    def unpack(self, data: bytes) -> np.ndarray:
+    def unpack(self, data: bytes, sizes: list[int]) -> list[np.ndarray]:
         import zstandard
 
-        return np.frombuffer(zstandard.decompress(data), "<u2" if self.small else "<u4").astype(np.int32)
+        flat = np.frombuffer(zstandard.decompress(data), "<u2" if self.small else "<u4").astype(np.int32)
+        return np.split(flat, np.cumsum(sizes)[:-1])
 
 
 def lists(values) -> pa.LargeListArray:
@@ -155,7 +157,7 @@ def tokens(ids: pa.LargeListArray, sizes: pa.Array) -> pa.Table:
 def grouped(a: pa.Table, b: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(group of every A token, of every B token, piece of every group): groups
     end at the keys that both sides have."""
-    common = a.select(["key"]).join(b.select(["key"]), "key", join_type="inner", use_threads=False)
+    common = a.select(["key"]).join(b.select(["key"]), "key", join_type="left semi", use_threads=False)
     ends = np.sort(common["key"].to_numpy())
     return *(np.searchsorted(ends, t["key"].to_numpy()) for t in (a, b)), ends >> 40
 
@@ -163,15 +165,22 @@ def grouped(a: pa.Table, b: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarra
 def links(a: pa.Table, b: pa.Table, groups: tuple, doc_of: np.ndarray) -> pa.Table:
     """(doc, pair, times): the linked id pairs of every document, ``a << 32 | b``,
     with the number of their links."""
+    # Most groups have one token on either side, which are linked as they stand.
+    n, doc_of_group = len(groups[2]), doc_of[groups[2]]
+    one = (np.bincount(groups[0], minlength=n) == 1) & (np.bincount(groups[1], minlength=n) == 1)
+    alone = [one[g] for g in groups[:2]]
+    pair = pc.bit_wise_or(pc.shift_left(pc.cast(a["id"].filter(alone[0]), pa.int64()), 32), pc.cast(b["id"].filter(alone[1]), pa.int64()))
+    plain = pa.table({"doc": doc_of_group[groups[0][alone[0]]], "pair": pair})
+    found = [plain.group_by(["doc", "pair"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["doc", "pair", "times"])]
+
     sides = []
-    for t, g, name in ((a, groups[0], "a"), (b, groups[1], "b")):
-        one = pa.table({"group": g, name: pc.cast(t["id"], pa.int64())})
-        sides.append(one.group_by(["group", name], use_threads=False).aggregate([([], "count_all")]).rename_columns(["group", name, f"n_{name}"]))
+    for t, g, rest, name in ((a, groups[0], ~alone[0], "a"), (b, groups[1], ~alone[1], "b")):
+        many = pa.table({"group": g[rest], name: pc.cast(t["id"].filter(rest), pa.int64())})
+        sides.append(many.group_by(["group", name], use_threads=False).aggregate([([], "count_all")]).rename_columns(["group", name, f"n_{name}"]))
     left, right = sides
-    partners = np.bincount(right["group"].to_numpy(), minlength=len(groups[2]))
+    partners = np.bincount(right["group"].to_numpy(), minlength=n)
     at = np.cumsum(partners[left["group"].to_numpy()])
     cuts = [0, *np.searchsorted(at, np.arange(PAIRS, at[-1] if len(at) else 0, PAIRS), "right").tolist(), len(left)]
-    doc_of_group, found = doc_of[groups[2]], []
     for i, j in zip(cuts, cuts[1:]):
         if i == j:
             continue
@@ -180,8 +189,6 @@ def links(a: pa.Table, b: pa.Table, groups: tuple, doc_of: np.ndarray) -> pa.Tab
         met = part.join(there, "group", join_type="inner", use_threads=False)
         pair = pc.bit_wise_or(pc.shift_left(met["a"], 32), met["b"])
         found.append(_by_document(pa.table({"doc": doc_of_group[met["group"].to_numpy()], "pair": pair, "times": pc.multiply(met["n_a"], met["n_b"])})))
-    if not found:
-        return pa.table({c: pa.array([], pa.int64()) for c in ("doc", "pair", "times")})
     return found[0] if len(found) == 1 else _by_document(pa.concat_tables(found))
 
 
@@ -189,9 +196,10 @@ def _by_document(t: pa.Table) -> pa.Table:
     return t.group_by(["doc", "pair"], use_threads=False).aggregate([("times", "sum")]).rename_columns(["doc", "pair", "times"])
 
 
-def spelled(a: pa.Table, b: pa.Table, groups: tuple) -> tuple[np.ndarray, memoryview]:
+def spelled(a: pa.Table, b: pa.Table, groups: tuple, names: pa.Array) -> tuple[np.ndarray, memoryview]:
     """``a1,a2|b1;a3|b2;`` of the pieces' groups in order: where each group
-    begins (and the last one ends), and the text as bytes."""
+    begins (and the last one ends), and the text as bytes. ``names``: of every
+    id, as text, followed by a comma, a bar and a semicolon."""
     (ga, gb, _), n = groups, len(groups[2])
     na, nb = np.bincount(ga, minlength=n), np.bincount(gb, minlength=n)
     at_a = np.arange(len(ga)) + (np.cumsum(nb) - nb)[ga]
@@ -202,7 +210,7 @@ def spelled(a: pa.Table, b: pa.Table, groups: tuple) -> tuple[np.ndarray, memory
     end = np.full(len(order), 0)
     last_a, last_b = np.append(ga[1:] != ga[:-1], True), np.append(gb[1:] != gb[:-1], True)
     end[at_a[last_a]], end[at_b[last_b]] = 1, 2
-    texts = pc.binary_join_element_wise(pc.cast(pa.array(ids), pa.large_string()), pc.take(pa.array([",", "|", ";"], pa.large_string()), pa.array(end)), pa.scalar("", pa.large_string()))
+    texts = pc.take(names, pa.array(3 * ids.astype(np.int64) + end))
     starts = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1)
     return starts[np.concatenate(([0], np.cumsum(na + nb)))], memoryview(texts.buffers()[2] or b"")
 
@@ -231,8 +239,8 @@ def pieces(ids: list[tuple[np.ndarray, np.ndarray]], sizes: list[np.ndarray]):
         yield ready
 
 
-def align(ids: list[tuple[np.ndarray, np.ndarray]], sizes: list[pa.Array], spell: bool):
-    """(links, groups and links of every document, its groups spelt) of documents' ids."""
+def align(ids: list[tuple[np.ndarray, np.ndarray]], sizes: list[pa.Array], names: pa.Array | None = None):
+    """(links, groups and links of every document, its groups spelt by ``names``) of documents' ids."""
     found, n_groups, n_links = [], np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
     texts: list[list[memoryview]] = [[] for _ in ids]
     for ready in pieces(ids, [s.to_numpy() for s in sizes]):
@@ -243,24 +251,25 @@ def align(ids: list[tuple[np.ndarray, np.ndarray]], sizes: list[pa.Array], spell
         doc_of_group, n = doc_of[groups[2]], len(groups[2])
         np.add.at(n_groups, doc_of_group, 1)
         np.add.at(n_links, doc_of_group, np.bincount(groups[0], minlength=n) * np.bincount(groups[1], minlength=n))
-        if spell:
-            cuts, told = spelled(a, b, groups)
+        if names is not None:
+            cuts, told = spelled(a, b, groups, names)
             first = np.flatnonzero(np.append(True, groups[2][1:] != groups[2][:-1])) if n else []
             for i, j in zip(first, [*first[1:], n]):
                 texts[doc_of_group[i]].append(told[cuts[i] : cuts[j]])
     whole = pa.concat_tables(found) if found else pa.table({c: pa.array([], pa.int64()) for c in ("doc", "pair", "times")})
     whole = _by_document(whole) if len(found) > 1 else whole
-    return whole, n_groups, n_links, [b"".join(parts)[:-1].decode() for parts in texts] if spell else None
+    return whole, n_groups, n_links, [b"".join(parts)[:-1].decode() for parts in texts] if names is not None else None
 
 
 # --------------------------------------------------------------------------- on Spark
-ENCODED = [T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType()), T.StructField("pack", T.LongType()), T.StructField("pairs", T.BinaryType())]
+ENCODED = fields(a="binary", b="binary", pack="long", pairs="binary").fields
 
 
 def encode(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model", text: str = "text") -> DataFrame:
-    """(row, a, b, pack, pairs), pinned: the other columns of ``docs`` as a
-    struct, both sides' ids, the pack, and in a pack's last row the pairs of
-    the pack with the number of its documents that hold them."""
+    """(rows, n_a, n_b, a, b, pack, pairs), pinned, for runs of documents: their
+    other columns as structs, the numbers of their ids and the ids of both sides,
+    the pack, and in a pack's last row the pairs of the pack with the number of
+    its documents that hold them."""
     carried = [c for c in docs.columns if c != text]
     row = F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(carried))) if carried else F.struct(F.lit(0).alias("c0"))
     read = docs.select(row.alias("row"), F.col(text).alias("text"))
@@ -276,19 +285,22 @@ def encode(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32
             for i, j in _runs(sizes):
                 ids = both.encode(batch.column(1).slice(i, j - i).to_pylist())
                 ids = [(x.values.to_numpy(), y.values.to_numpy()) for x, y in zip(*ids)]
-                linked = align(ids, both.sizes, spell=False)[0]
+                linked = align(ids, both.sizes)[0]
                 counts.append(linked.group_by("pair", use_threads=False).aggregate([([], "count_all")]))
                 waiting += sizes[i:j].sum()
-                pairs: list = [None] * (j - i)
-                numbers = np.full(j - i, number)
-                if waiting >= PACK or j == batch.num_rows:
+                pairs, last = None, waiting >= PACK or j == batch.num_rows
+                if last:
                     summed = pa.concat_tables(counts).group_by("pair", use_threads=False).aggregate([("count_all", "sum")]).sort_by("pair")
-                    pairs[-1] = compress(summed["pair"].to_numpy().astype("<i8").tobytes() + summed["count_all_sum"].to_numpy().astype("<i8").tobytes(), 1)
+                    pairs = compress(summed["pair"].to_numpy().astype("<i8").tobytes() + summed["count_all_sum"].to_numpy().astype("<i8").tobytes(), 1)
+                one = [pa.ListArray.from_arrays([0, j - i], batch.column(0).slice(i, j - i))]
+                one += [pa.array([[len(x[s]) for x in ids]], pa.list_(pa.int32())) for s in (0, 1)]
+                one += [pa.array([both.pack([x[s] for x in ids])], pa.binary()) for s in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*one, pa.array([number]), pa.array([pairs], pa.binary())], names=schema.names)
+                if last:
                     counts, waiting, number = [], 0, number + 1
-                columns = [batch.column(0).slice(i, j - i), *(pa.array([both.pack(x[s]) for x in ids], pa.binary()) for s in (0, 1)), pa.array(numbers), pa.array(pairs, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "a", "b", "pack", "pairs"])
 
-    return pin(read.mapInArrow(run, T.StructType([read.schema["row"], *ENCODED])), "alignment-ids")
+    schema = T.StructType([T.StructField("rows", T.ArrayType(read.schema["row"].dataType)), *(T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("n_a", "n_b")), *ENCODED])
+    return pin(read.mapInArrow(run, schema), "alignment-ids")
 
 
 def _runs(sizes: np.ndarray) -> list[tuple[int, int]]:
@@ -333,25 +345,28 @@ def alignment(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe
     encoded = encode(docs, a, b, text)
     counts = pair_counts(encoded)
     known = _spread(encoded).select("pack", "pair").join(counts.hint("merge"), "pair")
-    schema = T.StructType([encoded.schema["row"], *RESULTS.fields])
+    row = encoded.schema["rows"].dataType.elementType
+    schema = T.StructType([T.StructField("row", row), *RESULTS.fields])
 
-    def run(rows, known):
+    def run(runs, known):
         both = Pair.cached(a, b)
-        ids = [(both.unpack(x.as_buffer()), both.unpack(y.as_buffer())) for x, y in zip(rows["a"], rows["b"])]
-        out, known = [], known.select(["pair", "n", "best"]).combine_chunks()
-        for i, j in _runs(np.array([2 * (len(x) + len(y)) for x, y in ids])):
-            linked, n_groups, n_links, texts = align(ids[i:j], both.sizes, spell=True)
+        known = known.select(["pair", "n", "best"]).combine_chunks()
+        out = [_arrow(schema).empty_table()]
+        for i in range(len(runs)):
+            one = {c: runs[c][i] for c in ("rows", "n_a", "n_b", "a", "b")}
+            rows = one["rows"].values
+            ids = list(zip(*(both.unpack(one[s].as_buffer(), one[f"n_{s}"].as_py()) for s in ("a", "b"))))
+            linked, n_groups, n_links, texts = align(ids, both.sizes, both.names)
             met = linked.join(known, "pair", join_type="inner", use_threads=False)
-            best, total = np.zeros(j - i, np.int64), np.zeros(j - i, np.int64)
+            best, total = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
             doc, times = met["doc"].to_numpy(), met["times"].to_numpy()
             np.add.at(best, doc, times * met["best"].to_numpy())
             np.add.at(total, doc, times * met["n"].to_numpy())
-            sizes = [np.array([len(x[s]) for x in ids[i:j]], np.int64) for s in (0, 1)]
-            columns = [*sizes, n_groups, n_links, best, total, pa.array(texts, pa.string())]
-            out.append(pa.table([rows["row"].slice(i, j - i), *columns], schema=_arrow(schema)))
+            sizes = [np.array([len(x[s]) for x in ids], np.int64) for s in (0, 1)]
+            out.append(pa.table([rows, *sizes, n_groups, n_links, best, total, pa.array(texts, pa.string())], schema=_arrow(schema)))
         return pa.concat_tables(out)
 
-    sent = encoded.select("row", "a", "b", "pack")
+    sent = encoded.select("rows", "n_a", "n_b", "a", "b", "pack")
     done = sent.groupBy("pack").cogroup(known.groupBy("pack")).applyInArrow(run, schema)
     taken, kept = {f.lower() for f in RESULTS.names}, []
     for i, c in enumerate(carried):
