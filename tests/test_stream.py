@@ -1,10 +1,13 @@
 """Streaming forms (T1-T3) agree with their batch twins."""
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as se
 from conftest import SF_SMALL
+from textguard.functions import lexicon as lx
 from textguard.plans import fixtures as fx
+from textguard.schemas import BLOCK_TARGET
 from textguard.sources.readers import table
 from textguard.streaming import stream
 
@@ -76,3 +79,52 @@ def test_stream_dedup_holds_no_group_in_python(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == _greedy([(i, t, k) for i, t, k in rows])
+
+
+def _messages(spark, folder, texts):
+    """One file a text, so that each is a micro-batch."""
+    schema = spark.createDataFrame([], "doc_id long, text string").schema
+    for i, t in texts:
+        spark.createDataFrame([(i, t)], schema).coalesce(1).write.mode("append").parquet(folder)
+    return stream.moderate_stream(stream.read_stream(spark, folder, schema, max_files_per_trigger=1))
+
+
+def _routed(spark, path):
+    from textguard.sources.snapshots import Dataset
+
+    schema = spark.createDataFrame([], "row_id long, output string, route string").schema
+    return sorted(tuple(r) for r in Dataset(spark, path).read(schema).collect())
+
+
+def test_routes_of_messages(spark, tmp_path):
+    words = [e.word for e in lx.DEFAULT_LEXICON][:6]
+    texts = [(0, "fine words"), (1, f"you {words[0]}"), (2, f"{words[0]} and {words[1]}"), (3, " ".join(words)), (4, ""), (5, None)]
+    done = stream.run_routed(_messages(spark, str(tmp_path / "in"), texts), "t1", str(tmp_path / "out"))
+    got = {i: (route, out) for i, out, route in _routed(spark, done.path)}
+    assert got[0] == ("passed", "fine words") and got[1] == ("passed", texts[1][1])  # 1/2 is below the threshold
+    assert got[2][0] == "rewritten" and words[0] not in got[2][1] and got[3] == ("blocked", BLOCK_TARGET)
+    assert got[4] == ("passed", "") and got[5] == ("passed", None)
+    assert done.version() == len(texts) - 1  # a commit for each micro-batch
+
+
+def test_a_batch_run_again_counts_once(spark, tmp_path, monkeypatch):
+    """The driver is lost after the commit of a batch and before Spark notes its end."""
+    from textguard.sources.snapshots import Dataset
+
+    texts = [(i, f"message {i}") for i in range(4)]
+    messages = lambda t: _messages(spark, str(tmp_path / "in"), t)
+    commit, path, seen = Dataset.append, str(tmp_path / "out"), []
+
+    def lost(self, df, token=None):
+        seen.append((token, commit(self, df, token)))
+        if len(seen) == 3:
+            raise RuntimeError("driver lost")
+        return seen[-1][1]
+
+    monkeypatch.setattr(Dataset, "append", lost)
+    with pytest.raises(Exception, match="driver lost"):
+        stream.run_routed(messages(texts), "t1", path)
+    assert len(_routed(spark, path)) == 3
+    stream.run_routed(messages([(9, "a later one")]), "t1", path)
+    assert seen[3] == (seen[2][0], False)  # the same batch again: refused
+    assert [i for i, *_ in _routed(spark, path)] == [0, 1, 2, 3, 9]

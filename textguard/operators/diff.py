@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textguard.functions import text as tx
+from textguard.operators import gaps
 from textguard.operators.index import global_index
 
-# Mismatches of one look-ahead pass of find_gaps.
-LOOK_AT_ONCE = 1000
+# Positions of the first look-ahead pass for the first gap.
+LOOK_AT_ONCE = 1_000_000
 
 
 def digest(text: Column, strict_reference: bool = False) -> Column:
@@ -56,40 +57,36 @@ def positional_diff(raw: DataFrame, proc: DataFrame, order_cols, text: str = "te
 
 
 def find_gaps(raw: DataFrame, proc: DataFrame, order_cols, text: str = "text", k: int = 4, first_only: bool = True, strict_reference: bool = False) -> DataFrame:
-    """At a mismatch at position i, the smallest j in 1..k with raw[i+j] == proc[i]
-    means raw rows i..i+j-1 are missing. Returns one row per missing raw row:
-    (gap_line, n_missing, missing_line, missing_text); lines are 1-based, the
-    gap's line in processed, the missing line in raw.
-
-    After a gap the rows that follow are compared at the new shift, so exactly
-    the lost rows are reported, at the cost of a pass over positions and digests
-    for every gap (``first_only`` stops after one). Mismatches are looked at in
-    order, LOOK_AT_ONCE in a pass; those that no look-ahead explains are changed
-    rows and are passed over.
-    """
-    spark = raw.sparkSession
+    """Raw rows that processed lost, one row for each: (gap_line, n_missing,
+    missing_line, missing_text, within_k); lines are 1-based, the gap's line in
+    processed, the missing line in raw. ``within_k``: the gap has at most ``k`` rows.
+
+    ``first_only``: the first mismatch at position i for which a smallest j in
+    1..k has raw[i+j] == proc[i]: raw rows i..i+j-1 are missing. Otherwise all
+    gaps, short and long, by aligning both sides (``operators.gaps``)."""
     r = _keyed(raw, order_cols, text, strict_reference, "raw")
     p = _keyed(proc, order_cols, text, strict_reference, "proc").select("proc_pos", "proc_key")
-    shift, start, gaps = 0, 0, []
-    while True:
-        at = r.select((F.col("raw_pos") - shift).alias("proc_pos"), "raw_key")
-        differ = p.filter(F.col("proc_pos") >= start).join(at, "proc_pos").filter(F.col("raw_key") != F.col("proc_key"))
-        seen = differ.select("proc_pos", "proc_key").orderBy("proc_pos").limit(LOOK_AT_ONCE).collect()  # bounded by the limit
-        if not seen:
-            break
-        looked = spark.createDataFrame([(x["proc_pos"], bytes(x["proc_key"])) for x in seen], "i long, raw_key binary")
-        ahead = looked.select("i", "raw_key", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("j")).withColumn("raw_pos", F.col("i") + shift + F.col("j"))
-        first = ahead.join(r.select("raw_pos", "raw_key"), ["raw_pos", "raw_key"]).agg(F.min(F.struct("i", "j"))).first()[0]
-        if first is None:
-            start = seen[-1]["proc_pos"] + 1
-            continue
-        gaps += [(first["i"] + 1, first["j"], first["i"] + shift + n) for n in range(first["j"])]
-        start, shift = first["i"], shift + first["j"]
-        if first_only:
-            break
-    located = spark.createDataFrame(gaps, "gap_line long, n_missing int, raw_pos long").join(r.select("raw_pos", *order_cols), "raw_pos")
+    found = _first_gap(r, p, k) if first_only else gaps.gaps(r.select("raw_pos", "raw_key"), p)
+    located = gaps.lost_rows(found).join(r.select("raw_pos", *order_cols), "raw_pos")
     texts = located.join(raw.select(*order_cols, F.col(text).alias("missing_text")), list(order_cols))
-    return texts.select("gap_line", "n_missing", (F.col("raw_pos") + 1).alias("missing_line"), "missing_text")
+    return texts.select(
+        (F.col("at") + 1).alias("gap_line"), F.col("n").cast("int").alias("n_missing"), (F.col("raw_pos") + 1).alias("missing_line"), "missing_text", (F.col("n") <= k).alias("within_k")
+    )
+
+
+def _first_gap(r: DataFrame, p: DataFrame, k: int) -> DataFrame:
+    """(at, first, n) of the first gap that looking up to ``k`` rows ahead
+    explains: among the LOOK_AT_ONCE positions from the first mismatch on or, if
+    there is none, among all that follow. One row at most is brought back."""
+    spark = p.sparkSession
+    differ = p.join(r.select(F.col("raw_pos").alias("proc_pos"), F.col("raw_key").alias("_raw")), "proc_pos").filter(F.col("proc_key") != F.col("_raw"))
+    start, first = differ.agg(F.min("proc_pos")).first()[0], None
+    for here in () if start is None else (F.col("proc_pos") < start + LOOK_AT_ONCE, F.col("proc_pos") >= start + LOOK_AT_ONCE):
+        ahead = differ.filter(here).select("proc_pos", F.col("proc_key").alias("raw_key"), F.explode(F.sequence(F.lit(1), F.lit(k))).alias("j")).withColumn("raw_pos", F.col("proc_pos") + F.col("j"))
+        first = ahead.join(r.select("raw_pos", "raw_key"), ["raw_pos", "raw_key"]).agg(F.min(F.struct("proc_pos", "j"))).first()[0]
+        if first is not None:
+            break
+    return spark.createDataFrame([(first["proc_pos"], first["proc_pos"], first["j"])] if first else [], "at long, first long, n long")
 
 
 def coverage(raw: DataFrame, proc: DataFrame, order_cols, text: str = "text", strict_reference: bool = False) -> DataFrame:

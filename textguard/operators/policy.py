@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from textguard.functions import lexicon as lx
 from textguard.functions import rules
-from textguard.schemas import ACTION_VERBS, BLOCK, BLOCK_TARGET, PURIFY
+from textguard.schemas import ACTION_VERBS, BLOCK, BLOCK_TARGET, PURIFY, TOXICITY_THRESHOLD
 
 
 def evaluate_once(c: Column) -> Column:
@@ -75,7 +75,8 @@ def label(
     # filter on action/target/category would be pushed below this projection
     # with the regex inlined once per reference (filters get no common
     # subexpression elimination), multiplying the costliest work of the job.
-    kw = evaluate_once(lx.keywords(match_on, lexicon))
+    # A null text has no words.
+    kw = evaluate_once(F.coalesce(lx.keywords(match_on, lexicon), F.array().cast("array<string>")))
     toxic = F.col(toxic_col) if toxic_col else F.lit(None).cast("int")
     quality = F.col(quality_col) if quality_col else F.lit(None).cast("int")
     base = df.select(
@@ -104,6 +105,21 @@ def label(
     )
 
 
+def route(labelled: DataFrame, theta: float = TOXICITY_THRESHOLD, toxicity: Column | None = None) -> DataFrame:
+    """F12 on R11: add toxicity, route and output to labelled rows.
+
+    ``toxicity`` is a probability (a classifier's, say); by default that of the
+    rules, s / (s + 1) for severity s. A message whose action is BLOCK is
+    ``blocked`` and gives the blocking sentence; from ``theta`` on it is
+    ``rewritten`` and gives its target; below, it is ``passed`` as it came,
+    whatever words it holds."""
+    score = F.col("severity") / (F.col("severity") + F.lit(1.0)) if toxicity is None else toxicity
+    out = labelled.withColumn("toxicity", evaluate_once(score.cast("double")))
+    name = F.when(F.col("action") == BLOCK, F.lit("blocked")).otherwise(rules.threshold_route(F.col("toxicity"), F.lit("rewritten"), F.lit("passed"), theta))
+    text = F.when(F.col("action") == BLOCK, F.col("target")).otherwise(rules.threshold_route(F.col("toxicity"), F.col("target"), F.col("source"), theta))
+    return out.withColumns({"route": name, "output": text})
+
+
 def purify_text(df: DataFrame, text_col: str, out_col: str = "purified", lexicon=lx.DEFAULT_LEXICON) -> DataFrame:
     """R5 as a column-adding operator."""
     return df.withColumn(out_col, lx.purify(F.col(text_col), lexicon))

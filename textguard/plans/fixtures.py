@@ -152,6 +152,16 @@ def proc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_rows(spark, sf_dir).filter(~F.col("doc_id").isin(120, 121))
 
 
+def lossy_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 'processed' side of all gaps: of every 300 documents a run of 1 to 6 is
+    lost (about one in a hundred), and one other document is edited."""
+    of, block = F.col("doc_id") % 300, F.expr("doc_id div 300")
+    start = 20 + (block * 83) % 200
+    lost = (of >= start) & (of < start + 1 + block % 6)
+    edited = F.when(of == 250, F.concat("text", F.lit(" [edited]"))).otherwise(F.col("text"))
+    return raw_rows(spark, sf_dir).filter(~lost).withColumn("text", edited)
+
+
 def source_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 map: PURIFY sources -> 'fixed: <min row_id>' (FIXTURES 3.7)."""
     lab = labelled(spark, sf_dir).filter(F.col("action") == 2)

@@ -474,11 +474,16 @@ WHERE t.j < g.n_missing"""
 register("j6_find_gaps", RAWPROC, GAPS, "first_gap AS (SELECT * FROM hits ORDER BY i LIMIT 1)", body=_GAP_BODY.format(src="first_gap"))
 # Lost rows are those of raw that processed lacks by id; a run of them starts where as
 # many processed rows came before as the run's position less the rows lost before it.
+# Rows after the last processed one are still to come.
 register(
     "j6_find_gaps_all",
     RAWPROC,
-    "lost AS (SELECT pos, text, pos - row_number() OVER (ORDER BY pos) + 1 AS i FROM raw_k WHERE doc_id NOT IN (SELECT doc_id FROM proc_k))",
-    body="SELECT i + 1 AS gap_line, CAST(count(*) OVER (PARTITION BY i) AS INTEGER) AS n_missing, pos + 1 AS missing_line, text AS missing_text FROM lost",
+    "block AS (SELECT pos, text, doc_id % 300 - 20 - ((doc_id // 300) * 83) % 200 AS since, (doc_id // 300) % 6 AS more FROM raw_k)",
+    "lost AS (SELECT pos, text, pos - row_number() OVER (ORDER BY pos) + 1 AS i FROM block WHERE since BETWEEN 0 AND more)",
+    body="""
+SELECT i + 1 AS gap_line, CAST(count(*) OVER (PARTITION BY i) AS INTEGER) AS n_missing, pos + 1 AS missing_line, text AS missing_text,
+       count(*) OVER (PARTITION BY i) <= 4 AS within_k
+FROM lost WHERE pos < (SELECT max(pos) FROM block WHERE since NOT BETWEEN 0 AND more)""",
 )
 register(
     "j7_coverage",
@@ -772,6 +777,15 @@ register(
     L,
     body="SELECT * FROM labelled",
 )
+register(
+    "t1_routed_stream",
+    L,
+    body="""
+SELECT row_id, round(severity / (severity + 1.0::DOUBLE), 6) AS toxicity,
+       CASE WHEN action = 1 OR severity / (severity + 1.0::DOUBLE) >= 0.6 THEN target ELSE source END AS output,
+       CASE WHEN action = 1 THEN 'blocked' WHEN severity / (severity + 1.0::DOUBLE) >= 0.6 THEN 'rewritten' ELSE 'passed' END AS route
+FROM labelled""",
+)
 register(
     "t2_stream_dedup",
     body="""

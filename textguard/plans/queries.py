@@ -22,6 +22,7 @@ from textguard.plans import fixtures as fx
 from textguard.plans.catalog import query
 from textguard.schemas import CATEGORY_SETS
 from textguard.sources import readers, sinks
+from textguard.sources.snapshots import Dataset
 from textguard.sources.readers import table, text_table
 from textguard.session import ensure_checkpoint_dir
 from textguard.streaming import stream
@@ -251,12 +252,12 @@ def q_j5(spark, sf):
 
 @query("j6_find_gaps")
 def q_j6(spark, sf):
-    return diff.find_gaps(fx.raw_rows(spark, sf), fx.proc_rows(spark, sf), ["doc_id"], k=4, first_only=True)
+    return diff.find_gaps(fx.raw_rows(spark, sf), fx.proc_rows(spark, sf), ["doc_id"], k=4, first_only=True).drop("within_k")
 
 
 @query("j6_find_gaps_all")
 def q_j6_all(spark, sf):
-    return diff.find_gaps(fx.raw_rows(spark, sf), fx.proc_rows(spark, sf), ["doc_id"], k=4, first_only=False)
+    return diff.find_gaps(fx.raw_rows(spark, sf), fx.lossy_rows(spark, sf), ["doc_id"], k=4, first_only=False)
 
 
 @query("j7_coverage")
@@ -575,6 +576,16 @@ def q_t1(spark, sf):
     return stream.run_available_now(stream.moderate_stream(docs.select("doc_id", "text"), labels=labels), "t1")
 
 
+@query("t1_routed_stream")
+def q_t1_routed(spark, sf):
+    """Route and output of every message, each micro-batch committed once."""
+    docs = stream.read_stream(spark, sf, table(spark, sf, "documents").schema, glob="documents.parquet", max_files_per_trigger=1)
+    moderated = stream.moderate_stream(docs.select("doc_id", "text"), labels=table(spark, sf, "labels")).select("row_id", "source", "target", "action", "severity")
+    done = stream.run_routed(moderated, "t1", _scratch(spark, "t1"))
+    out = done.read(T.StructType([T.StructField(n, t) for n, t in (("row_id", T.LongType()), ("toxicity", T.DoubleType()), ("output", T.StringType()), ("route", T.StringType()))]))
+    return out.withColumn("toxicity", F.round("toxicity", R6))
+
+
 @query("t2_stream_dedup")
 def q_t2(spark, sf):
     ev = stream.read_stream(spark, sf, table(spark, sf, "events").schema, glob="events.parquet")
@@ -616,12 +627,12 @@ def q_s1(spark, sf):
 
 @query("k2_append_twice")
 def q_k2(spark, sf):
-    """K2: two batches appended to one dataset."""
+    """K2: two batches appended to one dataset; the first is sent again and counts once."""
     lab = fx.labelled(spark, sf).select("row_id", "action", "severity")
-    path = _scratch(spark, "k2")
-    sinks.append_rows(lab.filter(F.col("action") != 0), path)
-    sinks.append_rows(lab.filter(F.col("action") == 0), path)
-    return spark.read.parquet(path)
+    data = Dataset(spark, _scratch(spark, "k2"))
+    for flagged in (True, False, True):
+        data.append(lab.filter((F.col("action") != 0) == F.lit(flagged)), token=f"flagged={flagged}")
+    return data.read(lab.schema)
 
 
 @query("s4_k4_splits_round_trip")
@@ -635,23 +646,22 @@ def q_k4(spark, sf):
 
 @query("k5_routes_twice")
 def q_k5(spark, sf):
-    """K5: a screening in two runs; the second adds to the routes of the first."""
+    """K5: a screening in two runs; the second, sent twice, adds to the routes of the first once."""
     lab = fx.labelled(spark, sf).select("row_id", F.when(F.col("action") == 1, F.lit("blocked")).otherwise(F.lit("passed")).alias("route"))
-    path = _scratch(spark, "k5")
-    for half in (0, 1):
-        sinks.route_write(lab.filter(F.col("row_id") % 2 == half), "route", path)
-    return spark.read.parquet(path).select("row_id", F.col("route").cast("string").alias("route"))
+    data = Dataset(spark, _scratch(spark, "k5"), partition_by=("route",))
+    for half in (0, 1, 1):
+        data.append(lab.filter(F.col("row_id") % 2 == half), token=f"run {half}")
+    return data.read(lab.schema)
 
 
 @query("k6_replace_dataset")
 def q_k6(spark, sf):
     """A dataset rewritten in place from its own rows (empty before the first run)."""
     lab = fx.labelled(spark, sf).select("row_id", "severity")
-    path = _scratch(spark, "k6")
-    before = readers.read_or_empty(spark, path, lab.schema)
-    sinks.append_rows(lab.unionByName(before), path)
-    sinks.replace_dataset(spark.read.parquet(path).withColumn("severity", F.col("severity") + 1), path)
-    return readers.read_or_empty(spark, path, lab.schema)
+    data = Dataset(spark, _scratch(spark, "k6"))
+    data.append(lab.unionByName(data.read(lab.schema)))
+    data.replace(data.read(lab.schema).withColumn("severity", F.col("severity") + 1))
+    return data.read(lab.schema)
 
 
 @query("s5_read_policy")

@@ -1,7 +1,7 @@
 """Structured Streaming forms of the moderation rules.
 
 The batch operators are reused unchanged on streaming DataFrames: the labeller
-is stateless (T1); dedup keeps the last kept time of a key until the watermark
+and the threshold decision are stateless, their routes written once (T1); dedup keeps the last kept time of a key until the watermark
 passes it by the delay (T2); the manner
 score is a tumbling-window count with a watermark so state is bounded and late
 rows are dropped (T3). Sinks and stream checkpoints live under the session's
@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 
 from textguard.operators import policy
 from textguard.session import ensure_checkpoint_dir
+from textguard.sources.snapshots import Dataset
 
 
 def read_stream(spark: SparkSession, directory: str, schema, glob: str = "*.parquet", max_files_per_trigger: int | None = None) -> DataFrame:
@@ -42,6 +43,25 @@ def moderate_stream(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     return policy.label(docs.join(labels.select(id_col, "toxic", "quality"), id_col, "left"), text_col=text, id_col=id_col)
 
 
+def run_routed(stream: DataFrame, name: str, path: str, route: Callable[[DataFrame], DataFrame] = policy.route) -> Dataset:
+    """T1 with F12: drain a labelled stream into the dataset under ``path``, one
+    partition a route, every message once.
+
+    Each micro-batch is one commit whose token is the stream's name and the
+    batch's number: a batch that is run again, because the driver was lost before
+    Spark noted its end, finds its token in the log and adds nothing. The stream's
+    own checkpoint lies beside the data, so a later call goes on where this one
+    ended. What a lost attempt wrote is read by nobody (``Dataset.vacuum``)."""
+    sink = Dataset(stream.sparkSession, path, partition_by=("route",))
+
+    def each(batch: DataFrame, number: int) -> None:
+        sink.append(route(batch), token=f"{name}/{number}")
+
+    q = stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{sink.path}/checkpoints/{name}").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return sink
+
+
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Watermarks need TIMESTAMP (not TIMESTAMP_NTZ)."""
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
