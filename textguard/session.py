@@ -55,8 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under the checkpoint folder and read it back.
+def materialize(df: DataFrame, name: str, session: SparkSession | None = None) -> DataFrame:
+    """Write ``df`` as Parquet under the checkpoint folder and read it back (in
+    ``session``, if that isn't the one of ``df``).
 
     Cuts lineage like a reliable checkpoint, but in one pass (no recomputation for
     the write), and keeps a columnar copy, so later readers prune columns.
@@ -64,7 +65,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return (session or spark).read.parquet(path)
 
 
 # Relations up to this many rows may be broadcast after they are counted.
