@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textguard.functions import parse
+from textguard.operators import bloom
 from textguard.operators.index import batch_id
 from textguard.schemas import BLOCK, SAFETY_SCORE_LIMIT
 
@@ -92,8 +93,9 @@ def done_keys(done: DataFrame, key: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- resume
 def pending(df: DataFrame, done: DataFrame, on: str) -> DataFrame:
-    """Rows whose key is not yet processed (left anti join)."""
-    return df.join(done_keys(done, on), on, "left_anti")
+    """Rows whose key is not yet processed. Rows that a filter over the
+    processed keys excludes are not shuffled (``operators.bloom``)."""
+    return bloom.anti_join(df, done, on)
 
 
 def pending_batches(df: DataFrame, done: DataFrame, id_col: str, size: int, mode: str = "complete") -> DataFrame:
@@ -124,9 +126,9 @@ def union_batches(*dfs: DataFrame) -> DataFrame:
 
 
 def append_new(df: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Idempotent append: only batch rows whose key is not present yet."""
-    present = df.select(key).distinct()
-    return df.unionByName(batch.join(present, key, "left_anti"))
+    """Idempotent append: only batch rows whose key is not present yet. New
+    rows are not shuffled where a filter over the keys can tell."""
+    return df.unionByName(bloom.anti_join(batch, df, key))
 
 
 def complement_check(inputs: DataFrame, routed: DataFrame, key: str, failed: Column, route: str = "route") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textguard.functions import text as tx
-from textguard.operators import gaps
+from textguard.operators import bloom, gaps
 from textguard.operators.index import global_index
 
 # Positions of the first look-ahead pass for the first gap.
@@ -115,5 +115,5 @@ def coverage(raw: DataFrame, proc: DataFrame, order_cols, text: str = "text", st
 
 def missing_rows(raw: DataFrame, proc: DataFrame, text: str = "text", strict_reference: bool = False) -> DataFrame:
     """Raw rows whose sanitised text occurs nowhere in processed (order-free)."""
-    keys = proc.select(digest(F.col(text), strict_reference).alias("_key")).distinct()
-    return raw.withColumn("_key", digest(F.col(text), strict_reference)).join(keys, "_key", "left_anti").drop("_key")
+    keys = proc.select(digest(F.col(text), strict_reference).alias("_key"))
+    return bloom.anti_join(raw.withColumn("_key", digest(F.col(text), strict_reference)), keys, "_key").drop("_key")

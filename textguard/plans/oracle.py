@@ -812,6 +812,7 @@ FROM events GROUP BY 1, 2""",
 
 # =========================================================================== S, K (round trips)
 register("s1_k1_tsv_round_trip", L, body="SELECT row_id, source, action, reason, 4::INTEGER AS n_fields FROM labelled")
+register("s2_parallel_scan", L, body="SELECT row_id, source, action, reason, 4::INTEGER AS n_fields FROM labelled")
 register("k2_append_twice", L, body="SELECT row_id, action, severity FROM labelled")
 register("s4_k4_splits_round_trip", L, SPLITS, body="SELECT row_id, action, split FROM splits WHERE split <> 'train'")
 register("k5_routes_twice", L, body="SELECT row_id, CASE WHEN action = 1 THEN 'blocked' ELSE 'passed' END AS route FROM labelled")

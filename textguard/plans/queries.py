@@ -24,7 +24,7 @@ from textguard.schemas import CATEGORY_SETS
 from textguard.sources import readers, sinks
 from textguard.sources.snapshots import Dataset
 from textguard.sources.readers import table, text_table
-from textguard.session import ensure_checkpoint_dir
+from textguard.session import ensure_checkpoint_dir, materialize
 from textguard.streaming import stream
 
 R6 = 6  # decimals kept for doubles
@@ -230,7 +230,8 @@ def q_j2(spark, sf):
 
 @query("j3_pending")
 def q_j3(spark, sf):
-    return curate.pending(fx.labelled(spark, sf).select("row_id", "action"), fx.done_rows(spark, sf), "row_id")
+    lab = materialize(fx.labelled(spark, sf).select("row_id", "action"), "labelled")  # read twice: rows that pass, rows that are joined
+    return curate.pending(lab, fx.done_rows(spark, sf), "row_id")
 
 
 @query("j4_pending_batches_first_id")
@@ -416,7 +417,7 @@ def q_u1(spark, sf):
 
 @query("u2_append_new")
 def q_u2(spark, sf):
-    lab = fx.labelled(spark, sf).select("row_id", "source", "origin_tags")
+    lab = materialize(fx.labelled(spark, sf).select("row_id", "source", "origin_tags"), "labelled")
     existing = lab.filter(F.col("origin_tags") != "unlabelled")
     return curate.append_new(existing, lab, "source").select("row_id", "origin_tags")
 
@@ -625,6 +626,15 @@ def q_s1(spark, sf):
     return _tsv_back(spark, path, lab)
 
 
+@query("s2_parallel_scan")
+def q_s2(spark, sf):
+    """The labelled relation as one TSV file, scanned by byte ranges."""
+    lab = fx.labelled(spark, sf).select("row_id", "source", "action", "reason")
+    sinks.write_tsv(lab.coalesce(1), path := _scratch(spark, "s2"))
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in lab.schema])
+    return readers.read_tsv(spark, path, schema, range_bytes=1 << 20)
+
+
 @query("k2_append_twice")
 def q_k2(spark, sf):
     """K2: two batches appended to one dataset; the first is sent again and counts once."""
