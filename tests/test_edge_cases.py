@@ -54,3 +54,35 @@ def test_all_gaps_are_exactly_the_lost_rows(spark):
     assert [r["missing_line"] for r in diff.find_gaps(raw, proc, ["id"]).orderBy("missing_line").collect()] == [6, 7]
     kinds = diff.positional_diff(raw.limit(0).union(raw.filter("id IN (29, 30)")), raw.filter("id = 29"), ["id"]).collect()
     assert [(r["line"], r["kind"], r["raw_text"]) for r in kinds] == [(2, "missing_in_proc", None)]
+
+
+def test_samples_per_key(spark, monkeypatch):
+    """The least digests of every key, however the rows are cut and sketches passed on."""
+    import hashlib
+
+    from textguard.operators import requests
+
+    rows = [(i, None if i % 7 == 0 else f"k{i % 5 if i % 3 else 0}", f"t{i}") for i in range(400)] + [(None, "k1", "no id"), (3, "k1", "again")]
+    frame = lambda n: spark.createDataFrame(rows, "id long, key string, _row string").repartition(n)
+    rank = lambda r: hashlib.md5(f"5:{'' if r[0] is None else r[0]}".encode()).hexdigest()
+    by_key = {}
+    for r in sorted(rows, key=rank):
+        by_key.setdefault(r[1], []).append(r[0])
+    draw = lambda df, k=4, seed=5: df.collect() and sorted(((r["key"], r["id"]) for r in requests.sample_per_key(df, "key", k, "id", seed).collect()), key=repr)
+    want = sorted(((k, i) for k, ids in by_key.items() for i in ids[:4]), key=repr)
+    assert draw(frame(1)) == draw(frame(5)) == want != draw(frame(3), seed=6)
+    assert len(draw(frame(2), k=10_000)) == len(rows)
+    monkeypatch.setattr(requests, "SKETCH_ROWS", 3)
+    assert draw(frame(3)) == want
+    assert requests.sample_per_key(frame(3), None, 9, "id").count() == 9 and requests.sample_per_key(frame(3).limit(0), "key", 9, "id").count() == 0
+    assert requests.sample_per_key(frame(3), "key", 2, "id").columns == ["id", "key", "_row"]
+
+
+def test_policies_with_separators_are_refused(spark, tmp_path):
+    from textguard.sources import readers, sinks
+
+    rows = spark.createDataFrame([(1, "a\nb\r\n"), (2, ""), (3, None)], "id long, text string")
+    sinks.write_policies(rows.repartition(2), str(tmp_path / "p"), "id", "text")
+    assert sorted(tuple(r) for r in readers.read_policies(spark, str(tmp_path / "p")).collect()) == [("1", "a\nb\r\n"), ("2", ""), ("3", "")]
+    with pytest.raises(Exception, match="separator"):
+        sinks.write_policies(spark.createDataFrame([(1, "a\u001eb")], "id long, text string"), str(tmp_path / "q"), "id", "text")

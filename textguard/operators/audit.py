@@ -125,8 +125,9 @@ def tag_integrity(df: DataFrame, raw: DataFrame, on: str = "source", tags: str =
     (partial aggregation; the set holds distinct tag strings only), so a source
     repeated many times never multiplies rows in the join.
     """
-    raw_tags = raw.groupBy(F.col(on).alias("_src")).agg(F.collect_set(tags).alias("_raw_tags"))
-    j = df.join(raw_tags, df[on] == raw_tags["_src"], "inner")
+    digest = lambda c: F.unhex(F.md5(c.cast("string")))  # noqa: E731 - group and join key: no text is shuffled as one
+    raw_tags = raw.groupBy(digest(F.col(on)).alias("_src")).agg(F.collect_set(tags).alias("_raw_tags"))
+    j = df.join(raw_tags, digest(df[on]) == raw_tags["_src"], "inner")
     bad = ~F.array_contains(F.col("_raw_tags"), F.col(tags)) | F.col(tags).isNull()
     return j.filter(bad).select(*df.columns, F.array_join(F.array_sort("_raw_tags"), " | ").alias("raw_tags"))
 
@@ -135,12 +136,12 @@ def leakage(df: DataFrame, key: str = "source", split: str = "split") -> DataFra
     """Keys that occur in more than one split (empty = no leakage).
 
     The set of splits per key is a partial aggregate bounded by the number of
-    splits, so the (long) key crosses the network once; a count-distinct would
-    plan two exchanges on it."""
-    per_key = df.groupBy(F.xxhash64(key).alias("_h"), F.col(key)).agg(
-        F.size(F.collect_set(split)).cast("int").alias("n_splits"), F.count(F.lit(1)).alias("n_rows")
-    )
-    return per_key.filter(F.col("n_splits") > 1).drop("_h")
+    splits, on 128-bit digests; only the keys found to leak are fetched as text."""
+    digest = F.coalesce(F.unhex(F.md5(F.col(key).cast("string"))), F.lit(b""))
+    per_key = df.groupBy(digest.alias("_d")).agg(F.size(F.collect_set(split)).cast("int").alias("n_splits"), F.count(F.lit(1)).alias("n_rows"))
+    leaked = per_key.filter(F.col("n_splits") > 1)
+    texts = df.select(digest.alias("_d"), key).join(leaked, "_d").groupBy("_d").agg(F.first(key).alias(key), F.first("n_splits").alias("n_splits"), F.first("n_rows").alias("n_rows"))
+    return texts.select(key, "n_splits", "n_rows")
 
 
 def split_counts(df: DataFrame, split: str = "split", by=()) -> DataFrame:

@@ -30,6 +30,9 @@ from textguard.session import bounded_broadcast, materialize
 OFFSETS_BROADCAST_ROWS = 2_000_000
 
 
+# Rows from the head up to which a slice is a top-k.
+HEAD_ROWS = 100_000
+
 # Bytes that a range of the index should hold, by the planner's estimate of its input.
 RANGE_BYTES = 256 << 20
 
@@ -121,7 +124,12 @@ def batch_id(df: DataFrame, order_cols, size: int, out: str = "batch", idx: str
 
 
 def slice_rows(df: DataFrame, order_cols, start: int, count: int, idx: str = "idx") -> DataFrame:
-    """rows at positions ``[start, start + count)``."""
+    """rows at positions ``[start, start + count)``. A slice near the head is
+    cut from the first rows alone, which each task keeps without sorting the rest."""
+    if start + count <= HEAD_ROWS:
+        first = df.orderBy(*_cols(order_cols)).limit(start + count)
+        position = F.row_number().over(Window.orderBy(*_cols(order_cols))).cast("bigint") - 1  # over HEAD_ROWS rows at most
+        return first.withColumn(idx, position).filter(F.col(idx) >= start)
     return global_index(df, order_cols, out=idx).filter((F.col(idx) >= start) & (F.col(idx) < start + count))
 
 

@@ -43,6 +43,63 @@ def fewshot_block(df: DataFrame, k: int, order_col: str, fmt: str = "tsv", ctx_k
     return top.groupBy(*keys).agg(_ordered_join(line, F.col(order_col), "").alias("fewshot"), F.count(F.lit(1)).alias("n_examples"))
 
 
+def sample_per_key(df: DataFrame, key: str | None, k: int, id_col: str, seed: int = 0) -> DataFrame:
+    """A7 sketch: ``k`` rows of every ``key`` (of all rows without one) drawn at
+    random, the same ones for the same seed.
+
+    A row's rank is md5('<seed>:' || id); the ``k`` least ranks of a key are its
+    bottom-k sketch. Sketches merge: the least of two sketches' rows are the
+    sketch of both. So every task keeps ``k`` rows a key while its rows stream by,
+    sends only those, and the few that arrive are merged in one grouping; there
+    is no window over the rows and nothing is sorted but sketches. Rows with a
+    null id, and repeated ids, are ranked alike, ties by all columns as text.
+    Passes SKETCH_ROWS on and starts anew where a task meets more keys than that."""
+    names = df.columns
+    fixed = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+    ranked = df.select("*", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("_rank"), fixed.alias("_tie"))
+    groups = [key] if key else []
+
+    def least(batches):
+        import pyarrow as pa
+
+        held = None
+        for b in batches:
+            both = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            held = _least(both, groups, k)
+            if held.num_rows >= SKETCH_ROWS:
+                yield from held.to_batches()
+                held = None
+        if held is not None:
+            yield from held.to_batches()
+
+    sketches = ranked.mapInArrow(least, ranked.schema)
+    row = F.struct("_rank", "_tie", F.struct(*names).alias("_row"))
+    merged = sketches.groupBy(*groups).agg(F.slice(F.array_sort(F.collect_list(row)), 1, k).alias("_kept"))  # k rows a key and task
+    return merged.select(F.explode("_kept").alias("_one")).select("_one._row.*")
+
+
+#: Rows that a task's sketches may have before they are passed on.
+SKETCH_ROWS = 1 << 17
+
+
+def _least(rows, groups: list[str], k: int):
+    """The first ``k`` rows of every group of an Arrow table by (_rank, _tie)."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    rows = rows.combine_chunks()
+    order = pc.sort_indices(rows, [(c, "ascending") for c in (*groups, "_rank", "_tie")]).to_numpy()
+    if groups:
+        code = pc.dictionary_encode(rows[groups[0]], null_encoding="encode").combine_chunks()
+        code = (code.chunk(0) if isinstance(code, pa.ChunkedArray) else code).indices.to_numpy()[order]
+    else:
+        code = np.zeros(len(order), np.int64)
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+    place = np.arange(len(code)) - np.repeat(first, np.diff(np.append(first, len(code))))
+    return rows.take(order[place < k])
+
+
 def pack_batches(df: DataFrame, size: int, order_col: str, text: str = "source") -> DataFrame:
     """Consecutive groups of ``size`` rows -> one request body of
     'ID:i | TEXT:t' lines; plus the batch's first id and row count."""
@@ -73,12 +130,12 @@ def with_context(df: DataFrame, ctx: DataFrame, on: str | None = None, ctx_rows_
     return df.join(bounded_broadcast(ctx, rows_at_most=ctx_rows_at_most), on, "left")
 
 
-def build_requests(batches: DataFrame, policy: DataFrame, fewshot: DataFrame) -> DataFrame:
+def build_requests(batches: DataFrame, policy: DataFrame, fewshot: DataFrame, on: str | None = None) -> DataFrame:
     """Policy + few-shot + packed rows -> the full prompt per batch.
 
-    ``policy`` is one row (a limit 1) and ``fewshot`` one row (a global
-    aggregate of ``fewshot_block``); both bounds hold by construction."""
-    with_policy = with_context(batches, policy, ctx_rows_at_most=1)
+    ``policy`` is one row (a limit 1), or one for each key ``on`` of the batches;
+    ``fewshot`` is one row (a global aggregate of ``fewshot_block``)."""
+    with_policy = with_context(batches, policy, on=on, ctx_rows_at_most=None if on else 1)
     full = with_context(with_policy, fewshot, ctx_rows_at_most=1)
     prompt = F.concat_ws("\n---\n", F.col("policy"), F.col("fewshot"), F.col("body"))
     return full.select("batch", "first_id", "n_rows", prompt.alias("prompt"))

@@ -162,6 +162,12 @@ def lossy_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_rows(spark, sf_dir).filter(~lost).withColumn("text", edited)
 
 
+def policy_of(spark: SparkSession, sf_dir: str, key: str):
+    """The benchmark item that serves as the policy of a key: all are used in turn."""
+    n = table(spark, sf_dir, "benchmark").agg(F.count(F.lit(1)).alias("n"))
+    return F.pmod(F.col(key), n.scalar())
+
+
 def source_fixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 map: PURIFY sources -> 'fixed: <min row_id>' (FIXTURES 3.7)."""
     lab = labelled(spark, sf_dir).filter(F.col("action") == 2)

@@ -253,7 +253,6 @@ fewshot AS (
   FROM (SELECT * FROM labelled WHERE action = 2 ORDER BY row_id LIMIT 3)
 )"""
 
-POLICY = "policy AS (SELECT text AS policy FROM benchmark ORDER BY item_id LIMIT 1)"
 
 PACKED = f"""
 pk_idx AS (SELECT row_id, source, row_number() OVER (ORDER BY row_id) - 1 AS idx FROM labelled),
@@ -303,6 +302,17 @@ FROM (
 )
 register("r5_purify", body=f"SELECT doc_id, {purify_sql('text')} AS purified FROM documents")
 register("r5_purify_by_join", body=f"SELECT doc_id, {purify_sql('text')} AS purified FROM documents")
+register("r5_purify_by_automaton", body=f"SELECT doc_id, {purify_sql('text')} AS purified FROM documents")
+register(
+    "r6_large_lexicon",
+    body="""
+SELECT d.doc_id, coalesce(h.keywords, '') AS keywords, CAST(coalesce(h.n, 0) AS INTEGER) AS n_hits, coalesce(h.categories, 'NORMAL') AS categories
+FROM documents d LEFT JOIN (
+  SELECT doc_id, array_to_string(list_sort(list(DISTINCT word)), ',') AS keywords, count(*) AS n, array_to_string(list_sort(list(DISTINCT word[1])), '/') AS categories
+  FROM (SELECT doc_id, lower(unnest(regexp_extract_all(text, '[A-Za-z0-9_]+'))) AS word FROM documents)
+  WHERE word IN (SELECT w FROM (SELECT unnest(regexp_extract_all(lower(text), '[A-Za-z0-9_]+')) AS w FROM benchmark) WHERE regexp_matches(w, '^[a-z]{5,}$'))
+  GROUP BY doc_id) h ON d.doc_id = h.doc_id""",
+)
 register("r5_purify_by_map", body=f"SELECT doc_id, {purify_sql('text')} AS purified FROM documents")
 register(
     "r6_lexicon_hits",
@@ -317,6 +327,11 @@ register(
     "r7_squeeze_match",
     body=f"SELECT doc_id, CAST(len({kw_sql('text')}) AS INTEGER) AS n_plain, CAST(len({kw_sql(_SQUEEZED)}) AS INTEGER) AS n_squeezed FROM documents",
 )
+# What is put between letters goes before the words are looked for; in the squeezed text the stems stand where the words stood.
+register(
+    "r7_purify_obfuscated",
+    body=f"SELECT doc_id, CAST(len(regexp_extract_all(lower({_SQUEEZED}), '{_P}', 1)) AS INTEGER) AS n_hits, {purify_sql(_SQUEEZED)} AS purified FROM documents",
+)
 register(
     "r8_meta_commentary",
     L,
@@ -367,11 +382,10 @@ register(
     L,
     PACKED,
     FEWSHOT,
-    POLICY,
     body=f"""
 SELECT batch, first_id, n_rows,
-       concat_ws({NL} || '---' || {NL}, policy.policy, fewshot.fewshot, packed.body) AS prompt
-FROM packed CROSS JOIN policy CROSS JOIN fewshot""",
+       concat_ws({NL} || '---' || {NL}, b.text, fewshot.fewshot, packed.body) AS prompt
+FROM packed LEFT JOIN benchmark b ON b.item_id = packed.batch % (SELECT count(*) FROM benchmark) CROSS JOIN fewshot""",
 )
 
 _DOM = ", ".join(f"('{v}', '{t}')" for v, toks in CATEGORY_SETS.items() for t in toks)
@@ -503,7 +517,7 @@ register(
     RAWPROC,
     body="SELECT r.doc_id, r.text FROM raw_k r WHERE NOT EXISTS (SELECT 1 FROM proc_k p WHERE p.key = r.key)",
 )
-register("j9_with_context", L, POLICY, body="SELECT l.row_id, p.policy FROM labelled l CROSS JOIN policy p")
+register("j9_with_context", L, body="SELECT l.row_id, b.text AS policy FROM labelled l LEFT JOIN benchmark b ON b.item_id = l.row_id % (SELECT count(*) FROM benchmark)")
 register(
     "j10_attach_responses",
     L,
@@ -554,6 +568,14 @@ FROM dirty""",
 register("a4_verdict_counts", RESPONSES, verdicts_cte("v", "responses"), body="SELECT route, count(*) AS n FROM v_routed GROUP BY route")
 register("a5_split_counts", L, SPLITS, body="SELECT split, action, count(*) AS n FROM splits GROUP BY split, action")
 register("a7_fewshot_block", L, FEWSHOT, body="SELECT fewshot, n_examples FROM fewshot")
+register(
+    "a7_sampled_fewshot",
+    L,
+    "drawn AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY md5('11:' || CAST(row_id AS VARCHAR))) AS n FROM labelled)",
+    body=f"""
+SELECT category, string_agg({one_line('source')} || chr(9) || {one_line('target')} || {NL}, '' ORDER BY row_id) AS fewshot, count(*) AS n_examples
+FROM drawn WHERE n <= 3 GROUP BY category""",
+)
 register("a8_pack_batches", L, PACKED, body="SELECT batch, first_id, n_rows, body FROM packed")
 register("a9_done_keys", body="SELECT DISTINCT doc_id AS row_id FROM labels")
 register(
@@ -814,7 +836,7 @@ FROM events GROUP BY 1, 2""",
 register("s1_k1_tsv_round_trip", L, body="SELECT row_id, source, action, reason, 4::INTEGER AS n_fields FROM labelled")
 register("s2_parallel_scan", L, body="SELECT row_id, source, action, reason, 4::INTEGER AS n_fields FROM labelled")
 register("k2_append_twice", L, body="SELECT row_id, action, severity FROM labelled")
-register("s4_k4_splits_round_trip", L, SPLITS, body="SELECT row_id, action, split FROM splits WHERE split <> 'train'")
+register("s4_k4_splits_round_trip", L, SPLITS, body="SELECT row_id, action, split FROM splits")
 register("k5_routes_twice", L, body="SELECT row_id, CASE WHEN action = 1 THEN 'blocked' ELSE 'passed' END AS route FROM labelled")
 register("k6_replace_dataset", L, body="SELECT row_id, CAST(severity + 1 AS INTEGER) AS severity FROM labelled")
 register("s5_read_policy", body="SELECT item_id, text AS policy FROM benchmark")

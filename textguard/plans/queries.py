@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from textguard.functions import lexicon as lx
 from textguard.functions import parse, rules
 from textguard.functions import text as tx
-from textguard.operators import audit, curate, diff, model, overrides, policy, requests, split
+from textguard.operators import audit, curate, diff, lexicons, model, overrides, policy, requests, split
 from textguard.operators.index import batch_id, drop_range, global_index, hex_buckets, slice_rows
 from textguard.plans import fixtures as fx
 from textguard.plans.catalog import query
@@ -81,6 +81,36 @@ def q_r5_map(spark, sf):
     return d.select("doc_id", lx.purify_by_map(F.col("text")).alias("purified"))
 
 
+def _default_lexicon(spark):
+    return spark.createDataFrame([(e.word, e.stem, e.category) for e in lx.DEFAULT_LEXICON], "word string, stem string, category string")
+
+
+@query("r5_purify_by_automaton")
+def q_r5_automaton(spark, sf):
+    """R5 through the automaton (lexicons of any size, words of any script)."""
+    d = text_table(spark, sf, "documents", "doc_id", "doc_id", "text")
+    return lexicons.search(d, _default_lexicon(spark)).select("doc_id", "purified")
+
+
+@query("r6_large_lexicon")
+def q_r6_large(spark, sf):
+    """R6 with all longer ASCII words of the benchmark as the lexicon."""
+    words = table(spark, sf, "benchmark").select(F.explode(lx.token_runs(F.lower("text"))).alias("word")).filter(F.col("word").rlike("^[a-z]{5,}$")).distinct()
+    lex = words.select("word", F.upper("word").alias("stem"), F.substring("word", 1, 1).alias("category"))
+    d = text_table(spark, sf, "documents", "doc_id", "doc_id", "text")
+    found = lexicons.search(d, lex)
+    return found.select("doc_id", F.array_join("keywords", ",").alias("keywords"), "n_hits", "categories")
+
+
+@query("r7_purify_obfuscated")
+def q_r7_purify(spark, sf):
+    """Words found in spite of characters put in between, replaced in place."""
+    d = text_table(spark, sf, "documents", "doc_id", "doc_id", "text")
+    dodged = d.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.regexp_replace("text", "(?i)(id)(i)(ot)|(st)(u)(pid)", "$1-$2.$3$4*$5$6")).otherwise(F.col("text")))
+    found = lexicons.search(dodged, _default_lexicon(spark), obfuscated=True)
+    return found.select("doc_id", "n_hits", lx.squeeze(F.col("purified")).alias("purified"))
+
+
 @query("r6_lexicon_hits")
 def q_r6(spark, sf):
     d = text_table(spark, sf, "documents", "doc_id", "doc_id", "text")
@@ -130,9 +160,9 @@ def q_r2(spark, sf):
 def q_r12(spark, sf):
     lab = fx.labelled(spark, sf)
     batches = requests.pack_batches(lab, fx.BATCH, "row_id", "source")
-    pol = table(spark, sf, "benchmark").orderBy("item_id").limit(1).select(F.col("text").alias("policy"))
+    pol = table(spark, sf, "benchmark").select(F.col("item_id").alias("policy_id"), F.col("text").alias("policy"))
     shots = requests.fewshot_block(lab.filter(F.col("action") == 2), 3, "row_id")
-    return requests.build_requests(batches, pol, shots)
+    return requests.build_requests(batches.withColumn("policy_id", fx.policy_of(spark, sf, "batch")), pol, shots, on="policy_id")
 
 
 @query("s3_category_domain")
@@ -273,8 +303,10 @@ def q_j8(spark, sf):
 
 @query("j9_with_context")
 def q_j9(spark, sf):
-    pol = table(spark, sf, "benchmark").orderBy("item_id").limit(1).select(F.col("text").alias("policy"))
-    return requests.with_context(fx.labelled(spark, sf).select("row_id"), pol, ctx_rows_at_most=1)
+    """A policy for every row, out of all of the benchmark, by key."""
+    pol = table(spark, sf, "benchmark").select(F.col("item_id").alias("policy_id"), F.col("text").alias("policy"))
+    rows = fx.labelled(spark, sf).select("row_id", fx.policy_of(spark, sf, "row_id").alias("policy_id"))
+    return requests.with_context(rows, pol, on="policy_id").select("row_id", "policy")
 
 
 @query("j10_attach_responses")
@@ -326,6 +358,14 @@ def q_a7(spark, sf):
     return requests.fewshot_block(fx.labelled(spark, sf).filter(F.col("action") == 2), 3, "row_id")
 
 
+@query("a7_sampled_fewshot")
+def q_a7_sampled(spark, sf):
+    """Three random pairs of every category (seeded), as a block for each."""
+    lab = fx.labelled(spark, sf).select("row_id", "source", "target", "category")
+    drawn = requests.sample_per_key(lab, "category", 3, "row_id", seed=11)
+    return requests.fewshot_block(drawn, 3, "row_id", ctx_key="category")
+
+
 @query("a8_pack_batches")
 def q_a8(spark, sf):
     return requests.pack_batches(fx.labelled(spark, sf), fx.BATCH, "row_id", "source")
@@ -647,11 +687,12 @@ def q_k2(spark, sf):
 
 @query("s4_k4_splits_round_trip")
 def q_k4(spark, sf):
-    """One directory per split, landed and read back by partition."""
+    """One directory per split, as TSV and as Parquet, landed and read back."""
     sp = fx.splits(spark, sf).select("row_id", "action", "split")
-    sinks.write_splits(sp, path := _scratch(spark, "k4"))
-    readers.ingest_dataset(spark.read.parquet(path), landed := _scratch(spark, "s4"))
-    return spark.read.parquet(landed).filter(F.col("split") != "train").select("row_id", "action", F.col("split").cast("string").alias("split"))
+    readers.ingest_dataset(sp, path := _scratch(spark, "s4"), fmt="tsv")
+    back = readers.read_tsv(spark, path, T.StructType([T.StructField(f.name, f.dataType) for f in sp.schema if f.name != "split"]))
+    sinks.write_splits(back.select("row_id", "action", "split"), landed := _scratch(spark, "k4"))
+    return spark.read.parquet(landed).select("row_id", "action", F.col("split").cast("string").alias("split"))
 
 
 @query("k5_routes_twice")
@@ -676,12 +717,9 @@ def q_k6(spark, sf):
 
 @query("s5_read_policy")
 def q_s5(spark, sf):
-    """Every benchmark text as a whole policy file of its own, read back in full."""
-    texts = table(spark, sf, "benchmark").select("item_id", "text")
-    texts.select(F.col("item_id").alias("item"), F.col("text").alias("value")).write.option("lineSep", "\u0001").partitionBy("item").text(path := _scratch(spark, "s5"))
-    back = readers.read_policy(spark, path)
-    item = F.regexp_extract("path", "item=([0-9]+)", 1).cast("bigint")
-    return back.select(item.alias("item_id"), F.regexp_replace("policy", "\u0001$", "").alias("policy"))
+    """Every benchmark text as a policy of its own, in files of many, read back in full."""
+    sinks.write_policies(table(spark, sf, "benchmark"), path := _scratch(spark, "s5"), "item_id", "text")
+    return readers.read_policies(spark, path).select(F.col("name").cast("bigint").alias("item_id"), "policy")
 
 
 @query("a6_modified_count")

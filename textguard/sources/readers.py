@@ -23,6 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Characters that end a policy and its name in files of many policies.
+RECORD_END, NAME_END = "\u001e", "\u001f"
+
+
 def balanced(df: DataFrame, *keys: str) -> DataFrame:
     """Spread a scan over at least the cluster's task slots.
 
@@ -110,6 +114,14 @@ def read_policy(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_policies(spark: SparkSession, path: str) -> DataFrame:
+    """S5 for many policies: files of ``sinks.write_policies`` as (name, policy),
+    a row for every policy however few files hold them."""
+    lines = spark.read.option("lineSep", RECORD_END).text(path)
+    cut = F.instr("value", NAME_END)
+    return lines.select(F.substring("value", F.lit(1), cut - 1).alias("name"), F.substring("value", cut + 1, F.length("value")).alias("policy"))
+
+
 def largest_file(spark: SparkSession, path: str) -> int:
     """Bytes of the largest file under ``path`` (a file, folder or pattern)."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -132,6 +144,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     return spark.read.schema(schema).format(fmt).options(**options).load(path)
 
 
-def ingest_dataset(df: DataFrame, path: str, split_col: str = "split") -> None:
-    """S4 (landing half): write any labelled DataFrame as Parquet partitioned by split."""
-    df.write.mode("overwrite").partitionBy(split_col).parquet(path)
+def ingest_dataset(df: DataFrame, path: str, split_col: str = "split", fmt: str = "parquet") -> None:
+    """S4 (landing half): write any labelled DataFrame, one folder a split, as
+    Parquet or as TSV (header, quoted cells; ``read_tsv`` adds the split back)."""
+    from textguard.sources import sinks
+
+    sinks.write_splits(df, path, split_col, fmt)

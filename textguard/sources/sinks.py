@@ -32,8 +32,10 @@ def write_tsv(df: DataFrame, path: str) -> None:
 
 
 def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """K2: append to a dataset directory; every part carries its own header when
-    TSV, so the 'header written once' problem of a single file does not arise."""
+    """K2 on a plain folder; every part carries its own header when TSV, so the
+    'header written once' problem of a single file does not arise. A retried call
+    adds its rows again: use ``snapshots.Dataset.append`` with a token where
+    batches may be retried."""
     w = df.write.mode("append")
     if fmt == "tsv":
         _tsv(w).csv(path)
@@ -82,6 +84,18 @@ def write_splits(df: DataFrame, path: str, split_col: str = "split", fmt: str =
         w.format(fmt).save(path)
 
 
+def write_policies(df: DataFrame, path: str, name: str, policy: str) -> None:
+    """S5 for many policies: as many files as ``df`` has partitions, each holding
+    policies one after the other, read back by ``readers.read_policies``. A text
+    that holds one of the two separators is refused."""
+    from textguard.sources.readers import NAME_END, RECORD_END
+
+    bad = F.col(policy).contains(RECORD_END) | F.col(policy).contains(NAME_END) | F.col(name).cast("string").contains(NAME_END)
+    body = F.concat(F.col(name).cast("string"), F.lit(NAME_END), F.coalesce(F.col(policy), F.lit("")))
+    checked = F.when(F.coalesce(bad, F.lit(False)), F.raise_error(F.lit("a policy holds a separator")).cast("string")).otherwise(body)
+    df.select(checked.alias("value")).write.mode("overwrite").option("lineSep", RECORD_END).text(path)
+
+
 def route_write(df: DataFrame, route_col: str, path: str, fmt: str = "parquet") -> None:
     """K5: passed / blocked (any routes) in one pass, one directory per route.
     Adds to the routes there are, so a resumed run keeps what it wrote before."""
@@ -97,7 +111,9 @@ def replace_dataset(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
     Write a staging directory next to it, then swap with two renames (old ->
     backup, staging -> path) and drop the backup. On HDFS each rename is atomic;
-    on object stores the swap is not, which callers must accept.
+    on object stores the swap is not, and a driver lost between the two renames
+    leaves the rows in the backup folder only: ``snapshots.Dataset.replace`` has
+    no such step.
     """
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
