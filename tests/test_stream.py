@@ -60,9 +60,9 @@ def test_stream_dedup_query_follows_the_rule(spark):
     assert sorted(r[0] for r in out.select("event_id").collect()) == _greedy([(r[0], r[1], (r[2], r[3])) for r in ev], 600_000_000)
 
 
-def test_stream_dedup_holds_no_group_in_python(spark, tmp_path):
-    """A key with most of the rows, null keys, equal times, rows without a time: the
-    rule holds, and the rows of a key reach Python a few at a time."""
+def test_stream_dedup_in_small_batches(spark, tmp_path):
+    """A key with most of the rows, null keys, equal times, rows without a time, and
+    rows of a key that reach Python a few at a time. The state is the engine's."""
     import random
 
     random.seed(4)
@@ -73,14 +73,25 @@ def test_stream_dedup_holds_no_group_in_python(spark, tmp_path):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
     try:
         dedup = stream.stream_dedup(stream.read_stream(spark, path, df.schema), ["k"])
-        plan = dedup.answer(df, spark.createDataFrame([], dedup.state))._jdf.queryExecution().optimizedPlan().toString()
-        assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+        assert dedup.isStreaming and dedup.columns == df.columns and "FlatMapGroupsInPandasWithState" in dedup._jdf.queryExecution().analyzed().toString()
         got = sorted(r[0] for r in stream.run_available_now(dedup, "dedup").select("id").collect())
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == _greedy([(i, t, k) for i, t, k in rows])
 
 
+def test_stream_dedup_late_events_and_ended_state(spark, tmp_path):
+    """One event a micro-batch: a late one is dropped, a key that was silent begins anew."""
+    t0 = 1_700_000_000
+    events = [(0, t0, "a"), (1, t0 + 500, "a"), (2, t0 + 700, "a"), (3, t0 + 50_000, "b"), (4, t0 + 800, "a"), (5, t0 + 50_100, "a"), (6, t0 + 50_601, "b"), (7, t0 + 90_000, "a")]
+    path = str(tmp_path / "in")
+    for e in events:
+        spark.createDataFrame([e], "id long, s long, k string").select("id", F.timestamp_seconds("s").alias("ts"), "k").coalesce(1).write.mode("append").parquet(path)
+    schema = spark.read.parquet(path).schema
+    out = stream.run_available_now(stream.stream_dedup(stream.read_stream(spark, path, schema, max_files_per_trigger=1), ["k"]), "late")
+    assert sorted(r[0] for r in out.select("id").collect()) == [0, 2, 3, 5, 6, 7]
+
+
 def _messages(spark, folder, texts):
     """One file a text, so that each is a micro-batch."""
     schema = spark.createDataFrame([], "doc_id long, text string").schema

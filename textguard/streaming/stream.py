@@ -1,7 +1,7 @@
 """Structured Streaming forms of the moderation rules.
 
 The batch operators are reused unchanged on streaming DataFrames: the labeller
-and the threshold decision are stateless, their routes written once (T1); dedup keeps the last kept time of a key until the watermark
+and the threshold decision are stateless, their routes written once (T1); dedup keeps the last kept time of a key, as the engine's state, until the watermark
 passes it by the delay (T2); the manner
 score is a tumbling-window count with a watermark so state is bounded and late
 rows are dropped (T3). Sinks and stream checkpoints live under the session's
@@ -12,12 +12,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from textguard.operators import policy
 from textguard.session import ensure_checkpoint_dir
@@ -67,92 +65,59 @@ def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-@dataclass
-class PerBatch:
-    """A stream whose micro-batches are each answered by a batch job:
-    ``answer(batch, before)`` gives the rows to emit, ``after(batch, emitted, before)``
-    the state (of schema ``state``) that the next one finds; the first finds no rows."""
-
-    stream: DataFrame
-    schema: T.StructType
-    state: T.StructType
-    answer: Callable[[DataFrame, DataFrame], DataFrame]
-    after: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]
-
-
-def stream_dedup(df: DataFrame, keys, ts: str = "ts", delay: str = "10 minutes") -> PerBatch:
+def stream_dedup(df: DataFrame, keys, ts: str = "ts", delay: str = "10 minutes") -> DataFrame:
     """Drop an event if the previous *kept* event of its key is at most
     ``delay`` earlier.
 
-    State is one time per key and ends once the watermark (the latest time of the
-    micro-batches before, less ``delay``) is ``delay`` past it.
-    Inside a micro-batch events are taken in event-time order (ties by the other
-    columns), so the kept rows don't depend on their order in the files; micro-batches
-    must follow event time, and an event older than the watermark is late and dropped.
-    Events without a time are dropped.
-
-    Scale: times are cut into spans of ``delay``, and the event before is looked up
-    inside (key, span) and in the span before, so a key with very many rows is dealt
-    over its spans. Events with none of their key within the delay before them begin
-    runs; runs are independent but for the state, and are folded one after the other
-    over sorted rows that stream by, none of them held."""
+    The state is the engine's (``applyInPandasWithState``): the time of a key's
+    last kept event, which ends once the watermark (the latest time of the
+    micro-batches before, less ``delay``) is ``delay`` past it. Inside a micro-batch
+    events are taken in event-time order (ties by the other columns), so the kept
+    rows don't depend on their order in the files; micro-batches must follow event
+    time, and an event older than the watermark is late and dropped. Events without
+    a time are dropped.
+
+    Scale: keys are dealt over the tasks, one key's events go to one task, as with any
+    keyed state. Of a key a task holds the first event of every instant, while the
+    others stream by; bound the micro-batch (``max_files_per_trigger``) to bound that."""
     import pandas as pd
+    from pyspark.sql.streaming.state import GroupStateTimeout
 
     keys = list(keys)
     gap = int(pd.Timedelta(delay).total_seconds() * 1_000_000)
-    schema = event_time(df, ts).schema
-    names = [f.name for f in schema]
-    state = T.StructType([*(schema[k] for k in keys), T.StructField("_last", T.LongType()), T.StructField("_latest", T.LongType())])
-    order = ["_us", *names]
-
-    def same(a: str, b: str):
-        on = F.lit(True)
-        for k in keys:
-            on = on & F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}"))
-        return on
-
-    def fold(batches):
-        import pyarrow as pa
-
-        last = None
-        for b in batches:
-            kept = []
-            for t, begins, prior in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("_us", "_begins", "_last"))):
-                last = prior if begins else last
-                kept.append(last is None or t - last > gap)
-                last = t if kept[-1] else last
-            yield b.select(names).filter(pa.array(kept, pa.bool_()))
-
-    def answer(batch: DataFrame, before: DataFrame) -> DataFrame:
-        rows = event_time(batch, ts).filter(F.col(ts).isNotNull()).withColumn("_us", F.unix_micros(F.col(ts)))
-        latest = before.agg(F.max("_latest")).first()[0]
-        if latest is not None:
-            rows = rows.filter(F.col("_us") >= latest - gap)
-        rows = rows.withColumn("_span", F.floor(F.col("_us") / F.lit(gap + 1)).cast("long"))
-        # One row for each key and span: its latest time, for the first row of the next span.
-        ends = rows.groupBy(*keys, F.col("_span")).agg(F.max("_us").alias("_end"))
-        ends = ends.withColumn("_end", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_span")))
-        inside = Window.partitionBy(*keys, "_span").orderBy(*order)
-        rows = rows.withColumn("_before", F.lag("_us").over(inside)).alias("r").join(ends.alias("e"), same("r", "e") & (F.col("r._span") == F.col("e._span")))
-        previous = F.coalesce(F.col("_before"), F.col("_end"))
-        begins = F.col("_before").isNull() & (previous.isNull() | (F.col("_us") - previous > gap))  # two events of a span are within the delay
-        rows = rows.select("r.*", begins.alias("_begins"))
-        # A run is known by the span that it begins in: runs of one key are in different spans.
-        spans = rows.groupBy(*keys, F.col("_span")).agg(F.max(F.when(F.col("_begins"), F.col("_span"))).alias("_run"))
-        spans = spans.withColumn("_run", F.max("_run").over(Window.partitionBy(*keys).orderBy("_span")))
-        rows = rows.alias("r").join(spans.alias("s"), same("r", "s") & (F.col("r._span") == F.col("s._span"))).select("r.*", "s._run")
-        rows = rows.alias("r").join(before.alias("b"), same("r", "b"), "left").select("r.*", "b._last")
-        parts = int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return rows.repartition(parts, *keys, "_run").sortWithinPartitions(*keys, "_run", *order).mapInArrow(fold, schema)
-
-    def after(batch: DataFrame, emitted: DataFrame, before: DataFrame) -> DataFrame:
-        times = event_time(batch, ts).agg(F.max(F.unix_micros(F.col(ts)))).first()[0]
-        latest = max((t for t in (times, before.agg(F.max("_latest")).first()[0]) if t is not None), default=None)
-        now = emitted.select(*keys, F.unix_micros(F.col(ts)).alias("_last")).unionByName(before.select(*keys, "_last").filter("_last IS NOT NULL"))
-        now = now.groupBy(*keys).agg(F.max("_last").alias("_last")).filter(F.col("_last") + gap >= F.lit(latest).cast("long") - gap)
-        return now.withColumn("_latest", F.lit(latest).cast("long"))
-
-    return PerBatch(df, schema, state, answer, after)
+    timed = event_time(df, ts)
+    names = timed.columns
+    # Times travel as microseconds; the event-time column is there for the watermark.
+    rows = timed.filter(F.col(ts).isNotNull()).withColumn("_us", F.unix_micros(F.col(ts))).withWatermark(ts, delay)
+    out = T.StructType([T.StructField("_us", T.LongType()), *(f for f in timed.schema if f.name != ts)])
+    order = ["_us", *(n for n in names if n != ts)]
+
+    def first_of_instants(parts):
+        held = None
+        for part in parts:
+            part = part[order] if held is None else pd.concat([held, part[order]], ignore_index=True)
+            held = part.sort_values(order, kind="stable").drop_duplicates("_us", ignore_index=True)
+        return held
+
+    def fold(key, parts, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last = state.get[0] if state.exists else None
+        held = first_of_instants(parts)
+        times, kept = held["_us"].to_numpy(), []
+        i = 0 if last is None else int(times.searchsorted(last + gap, "right"))
+        while i < len(times):
+            kept.append(i)
+            last = int(times[i])
+            i = int(times.searchsorted(last + gap, "right"))
+        state.update((last,))
+        state.setTimeoutTimestamp(max((last + gap) // 1000, state.getCurrentWatermarkMs()) + 1)
+        if kept:
+            yield held.iloc[kept][out.names]
+
+    done = rows.groupBy(*keys).applyInPandasWithState(fold, out, T.StructType([T.StructField("last", T.LongType())]), "append", GroupStateTimeout.EventTimeTimeout)
+    return done.withColumn(ts, F.timestamp_micros("_us")).select(*names)
 
 
 def manner_score(df: DataFrame, ts: str = "ts", window: str = "1 hour", delay: str = "10 minutes", bad: str = "error") -> DataFrame:
@@ -181,13 +146,11 @@ def manner_score_batch(df: DataFrame, ts: str = "ts", window: str = "1 hour", ba
     )
 
 
-def run_available_now(stream: DataFrame | PerBatch, name: str, output_mode: str = "append") -> DataFrame:
+def run_available_now(stream: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
     """Drain everything available into a Parquet sink under the checkpoint dir
     and return the sink as a batch DataFrame (exactly-once file sink)."""
-    spark = (stream.stream if isinstance(stream, PerBatch) else stream).sparkSession
+    spark = stream.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/streams/{name}-{uuid.uuid4().hex}"
-    if isinstance(stream, PerBatch):
-        return _run_per_batch(stream, base)
     q = (
         stream.writeStream.format("parquet")
         .option("path", base + "/out")
@@ -197,23 +160,4 @@ def run_available_now(stream: DataFrame | PerBatch, name: str, output_mode: str
         .start()
     )
     q.awaitTermination()
-    return spark.read.parquet(base + "/out")
-
-
-def _run_per_batch(per: PerBatch, base: str) -> DataFrame:
-    """Each micro-batch writes its rows and the state after it to folders of its
-    number, over what a broken attempt left, so each counts once."""
-    spark = per.stream.sparkSession
-    spark.createDataFrame([], per.schema).write.parquet(f"{base}/out/none")
-    spark.createDataFrame([], per.state).write.parquet(f"{base}/state/0")
-
-    def each(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        before = session.read.schema(per.state).parquet(f"{base}/state/{number}")
-        per.answer(batch, before).write.mode("overwrite").parquet(f"{base}/out/{number}")
-        emitted = session.read.schema(per.schema).parquet(f"{base}/out/{number}")
-        per.after(batch, emitted, before).write.mode("overwrite").parquet(f"{base}/state/{number + 1}")
-
-    q = per.stream.writeStream.foreachBatch(each).option("checkpointLocation", base + "/chk").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.read.schema(per.schema).option("recursiveFileLookup", "true").parquet(base + "/out")
+    return spark.read.schema(stream.schema).parquet(base + "/out")
