@@ -332,28 +332,4 @@ def test_toxicity_on_the_awkward_table(docs, labels):
     out = toxicity.score(docs, labels, out="_p").collect()
     assert len(out) == len(TEXTS) and all(0 <= r["_p"] <= 1 for r in out)
     none = toxicity.score(docs, labels.limit(0), out="_p").select("_p").distinct().collect()
-    assert [r[0] for r in none] == [0.5]
-
-
-def test_a_joined_model_scores_as_a_sent_one(spark, empty, labels, monkeypatch):
-    monkeypatch.setattr(toxicity, "PACK", 3000)
-    rng = np.random.default_rng(5)
-    words = ["".join(rng.choice(list("abcdefghilmnoprstu"), rng.integers(2, 8))) for _ in range(150)]
-    rows = [(i, " ".join(rng.choice(words, 40)) + (" zwork" if i % 6 == 0 else ""), int(i % 6 == 0), "x", "y") for i in range(300)]
-    rows += [rows[0], (301, None, 0, "x", "y"), (302, "", 1, "x", "y"), (303, " ".join(rng.choice(words, 3000)), 0, "x", "y")]
-    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int, pack string, grams string").repartition(3)
-    known = frame.select("doc_id", "toxic")
-    sent = toxicity.score(frame.drop("toxic"), known).collect()
-    joined = toxicity.score(frame.drop("toxic"), known, most_grams=0).collect()
-    assert collections.Counter(sent) == collections.Counter(joined) and len({r["score"] for r in sent}) > 20
-    assert toxicity.score(empty, labels, out="_p", most_grams=-1).count() == 0
-
-
-def test_slices_do_not_change_a_value(monkeypatch):
-    keys = np.unique(toxicity.grams(toxicity.symbols("some words and idiots here")))
-    diff = np.random.default_rng(0).normal(size=len(keys))
-    raw = toxicity.symbols("many other words and then idiots here with some words " * 9)
-    whole = toxicity.values(raw, keys, diff)
-    monkeypatch.setattr(toxicity, "SLICE", 37)
-    assert np.allclose(toxicity.values(raw, keys, diff), whole)
-
+    assert [round(r[0], 9) for r in none] == [0.5]
