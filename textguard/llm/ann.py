@@ -134,11 +134,17 @@ def build(sample: np.ndarray, lists: int, seed: int = 7) -> Lists:
     return Lists(c, graph, np.unique(np.linspace(0, n - 1, min(n, 64)).astype(np.int64)))
 
 
-def assign(lists: Lists, x: np.ndarray, epsilon: float, replicas: int = REPLICAS, beam: int = 24) -> list[np.ndarray]:
-    """Lists of every row of ``x``: the nearest one, and those of a boundary row, nearer ones first."""
-    ids, dist = lists.nearest(x, beam)
-    ids, dist = ids[:, :replicas], dist[:, :replicas]
-    near = (dist <= (1 + epsilon) * dist[:, :1]) & np.isfinite(dist)
+def assign(lists: Lists, x: np.ndarray, epsilon: float, replicas: int = REPLICAS) -> list[np.ndarray]:
+    """Lists of every row of ``x``: the nearest one, and those of a boundary row, nearer ones first.
+
+    All centroids are compared, which one product does; the graph serves the queries."""
+    c = lists.centroids
+    d = (c**2).sum(axis=1) - 2 * x @ c.T
+    some = min(replicas, len(c))
+    ids = np.argpartition(d, some - 1, axis=1)[:, :some]
+    ids = np.take_along_axis(ids, np.argsort(np.take_along_axis(d, ids, 1), axis=1, kind="stable"), 1)
+    dist = np.sqrt(np.maximum(np.take_along_axis(d, ids, 1) + (x**2).sum(axis=1)[:, None], 0))
+    near = dist <= (1 + epsilon) * dist[:, :1]
     return [row[c] for row, c in zip(ids, near)]
 
 
