@@ -59,3 +59,25 @@ def test_classifier_end_to_end(spark):
     assert abs(ev.weighted_f1 - ev.evaluator_f1) < 1e-9
     pred = se.queries()["m3_classify"](spark, SF_SMALL)
     assert pred.filter("confidence < 0 OR confidence > 1").count() == 0
+
+
+def test_table_classifier_on_awkward_texts(spark):
+    from textguard.operators import bayes
+
+    train = spark.createDataFrame([("good words here", 0), ("bad words", 1), ("bad 나쁜 말", 1), (None, 0), ("", 0), ("no label", None)], "text string, label int").repartition(2)
+    fitted = bayes.fit(train)
+    weights = {(r["word"], r["label"]): r["weight"] for r in fitted.weights.collect()}
+    assert len(weights) == 2 * 6 and weights["bad", 1] > weights["bad", 0] and ("label", 0) not in weights
+    texts = [(1, "BAD, 나쁜!"), (2, "good here"), (3, None), (4, "unknown"), (5, "bad " * 500)]
+    got = {r["id"]: r for r in bayes.predict(fitted, spark.createDataFrame(texts, "id long, text string"), "id").collect()}
+    assert [got[i]["prediction"] for i in (1, 2, 3, 4, 5)] == [1, 0, 0, 0, 1]
+    assert all(abs(sum(r["probs"].values()) - 1) < 1e-9 and r["confidence"] == max(r["probs"].values()) for r in got.values())
+    assert got[3]["probs"] == got[4]["probs"] and abs(got[3]["probs"][0] - 0.6) < 1e-9  # the classes' shares
+    assert bayes.predict(bayes.fit(train.limit(0)), spark.createDataFrame(texts, "id long, text string"), "id").count() == 0
+
+
+def test_null_text_has_no_words(spark):
+    from textguard.operators import policy
+
+    row = policy.label(spark.createDataFrame([(1, None)], "doc_id long, text string"), toxic_col=None, quality_col=None).first()
+    assert (row["action"], row["severity"], row["target"], row["category"]) == (0, 0, None, "NORMAL")

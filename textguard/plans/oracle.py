@@ -609,6 +609,40 @@ SELECT round(sum(CAST(support AS DOUBLE) * CASE WHEN support + predicted > 0 THE
 FROM pc""",
 )
 register("a12_confusion", L, PREDS, _CM, body="SELECT label, prediction, n, label = prediction AS correct FROM cm")
+_BAYES = [
+    L,
+    SPLITS,
+    "nb_docs AS (SELECT s.row_id, s.split, l.action AS label, list_filter(string_split_regex(lower(l.source), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS w FROM splits s JOIN labelled l USING (row_id))",
+    "nb_classes AS (SELECT label, count(*) AS texts, CAST(sum(len(w)) AS BIGINT) AS n_words FROM nb_docs WHERE split = 'train' GROUP BY label)",
+    "nb_counts AS (SELECT word, label, count(*) AS n FROM (SELECT label, unnest(w) AS word FROM nb_docs WHERE split = 'train') GROUP BY word, label)",
+    "nb_words AS (SELECT DISTINCT word FROM nb_counts)",
+    """nb_weights AS (
+  SELECT v.word, c.label, ln((coalesce(n.n, 0) + 1.0::DOUBLE) / (c.n_words + (SELECT count(*) FROM nb_words))) AS weight
+  FROM nb_words v CROSS JOIN nb_classes c LEFT JOIN nb_counts n ON n.word = v.word AND n.label = c.label)""",
+    """nb_scores AS (
+  SELECT d.row_id, d.split, d.label AS truth, c.label, ln(c.texts / (SELECT sum(texts) FROM nb_classes)::DOUBLE) + coalesce(s.s, 0) AS s
+  FROM nb_docs d CROSS JOIN nb_classes c LEFT JOIN (
+    SELECT t.row_id, w.label, sum(w.weight) AS s FROM (SELECT row_id, unnest(w) AS word FROM nb_docs WHERE split <> 'train') t JOIN nb_weights w ON w.word = t.word GROUP BY t.row_id, w.label) s
+  ON s.row_id = d.row_id AND s.label = c.label WHERE d.split <> 'train')""",
+    """nb_pred AS (
+  SELECT row_id, split, truth AS label, arg_min(label, {'c': -s, 'l': label}) AS prediction, 1 / sum(exp(s - top)) AS confidence
+  FROM (SELECT *, max(s) OVER (PARTITION BY row_id) AS top FROM nb_scores) GROUP BY row_id, split, truth)""",
+]
+register("m2_bayes_weights", *_BAYES, body="SELECT word, label, round(weight, 6) AS weight FROM nb_weights")
+register("m3_bayes_classify", *_BAYES, body="SELECT row_id, label, prediction, round(confidence, 6) AS confidence FROM nb_pred WHERE split = 'test'")
+register(
+    "m4_bayes_evaluate",
+    *_BAYES,
+    "nb_cm AS (SELECT label, prediction, count(*) AS n FROM nb_pred GROUP BY label, prediction)",
+    """nb_pc AS (
+  SELECT c, sum(support) AS support, sum(predicted) AS predicted, sum(tp) AS tp FROM (
+    SELECT label AS c, n AS support, 0 AS predicted, 0 AS tp FROM nb_cm
+    UNION ALL SELECT prediction, 0, n, CASE WHEN label = prediction THEN n ELSE 0 END FROM nb_cm) GROUP BY c)""",
+    body="""
+SELECT round(sum(CAST(support AS DOUBLE) * CASE WHEN support + predicted > 0 THEN 2.0::DOUBLE * tp / (support + predicted) ELSE 0.0::DOUBLE END) / sum(support), 6) AS weighted_f1,
+       CAST(sum(support) AS BIGINT) AS n, round(CAST(sum(tp) AS DOUBLE) / CAST(sum(support) AS DOUBLE), 6) AS accuracy
+FROM nb_pc""",
+)
 register(
     "a13_build_vocab",
     L,

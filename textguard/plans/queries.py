@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from textguard.functions import lexicon as lx
 from textguard.functions import parse, rules
 from textguard.functions import text as tx
-from textguard.operators import audit, curate, diff, lexicons, model, overrides, policy, requests, split
+from textguard.operators import audit, bayes, curate, diff, lexicons, model, overrides, policy, requests, split
 from textguard.operators.index import batch_id, drop_range, global_index, hex_buckets, slice_rows
 from textguard.plans import fixtures as fx
 from textguard.plans.catalog import query
@@ -603,6 +603,34 @@ def q_m4(spark, sf):
     return model.evaluate(m, test)
 
 
+def _bayes(spark, sf):
+    """The table classifier fitted on the train split, and the split rows."""
+    rows = materialize(fx.splits(spark, sf).select("row_id", F.col("source").alias("text"), F.col("action").alias("label"), "split"), "split-rows")
+    return bayes.fit(rows.filter("split = 'train'")), rows
+
+
+@query("m2_bayes_weights")
+def q_m2_bayes(spark, sf):
+    model_, _ = _bayes(spark, sf)
+    return model_.weights.withColumn("weight", F.round("weight", R6))
+
+
+@query("m3_bayes_classify")
+def q_m3_bayes(spark, sf):
+    model_, rows = _bayes(spark, sf)
+    test = rows.filter("split = 'test'")
+    return bayes.predict(model_, test, "row_id").join(test.select("row_id", "label"), "row_id").select("row_id", "label", "prediction", F.round("confidence", R6).alias("confidence"))
+
+
+@query("m4_bayes_evaluate")
+def q_m4_bayes(spark, sf):
+    """Weighted F1 of the table classifier on the valid and test splits."""
+    model_, rows = _bayes(spark, sf)
+    rest = rows.filter("split <> 'train'")
+    pred = bayes.predict(model_, rest, "row_id").join(rest.select("row_id", "label"), "row_id")
+    return model.weighted_f1(pred).select(F.round("weighted_f1", R6).alias("weighted_f1"), "n", F.round("accuracy", R6).alias("accuracy"))
+
+
 @query("m5_expand_tones")
 def q_m5(spark, sf):
     lab = fx.labelled(spark, sf).filter(F.col("action") == 2).select("row_id")
