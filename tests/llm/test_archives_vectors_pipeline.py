@@ -84,6 +84,24 @@ def test_an_id_with_many_vectors_counts_once(spark):
     assert [i for _, i in got] == sorted(v, key=v.get)[:10]
 
 
+def test_tight_groups_away_from_the_rest(spark):
+    """Groups of near-equal rows, each with lists of its own: their rows find each other."""
+    rng = np.random.default_rng(6)
+    rows = [(i, (v / np.linalg.norm(v)).tolist()) for i, v in enumerate(rng.normal(size=(4000, 24)), start=1)]
+    for g in range(3):
+        v = rng.normal(size=24) * 3
+        rows += [(10_000 * (g + 1) + i * 25, (v + rng.normal(size=24) / 200).tolist()) for i in range(200)]
+    got = {}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    for r in ann.search(df, "id % 100 = 0", list_rows=16).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    x, ids = np.array([v for _, v in rows]), np.array([i for i, _ in rows])
+    for q in ids[(ids % 100 == 0) & (ids >= 10_000)]:
+        d = ((x - x[ids == q][0]) ** 2).sum(axis=1)
+        d[ids == q] = np.inf
+        assert len(got[q]) == 10 and len(set(got[q]) & set(ids[np.argsort(d)[:10]])) >= 8
+
+
 def test_recall(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     got = ann.search(table, "id % 100 = 0", list_rows=64).toPandas().groupby("query_id").vec_id.apply(set)

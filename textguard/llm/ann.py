@@ -48,6 +48,8 @@ REPLICAS, PART_ROWS, QUERIES_AT_ONCE = 4, 4096, 256
 LEAST_LISTS = 16
 #: Links of a centroid in the graph: nearest ones, and some at random.
 NEAR_LINKS, FAR_LINKS = 24, 8
+#: Centroids where a search begins, of either kind.
+ENTRIES = 64
 
 
 @dataclass
@@ -131,7 +133,13 @@ def build(sample: np.ndarray, lists: int, seed: int = 7) -> Lists:
         d[np.arange(len(d)), np.arange(i, i + len(d))] = np.inf
         graph[i : i + 1024, :near] = np.argpartition(d, near - 1, axis=1)[:, :near] if near else 0
     graph[:, near:] = rng.integers(0, n, (n, FAR_LINKS))
-    return Lists(c, graph, np.unique(np.linspace(0, n - 1, min(n, 64)).astype(np.int64)))
+    # A search begins at some centroids all over, and at those that lie far from each other: a tight group
+    # of rows away from the rest has centroids that link to one another only.
+    far, d = [0], ((c - c[0]) ** 2).sum(axis=1)
+    while len(far) < min(n, ENTRIES):
+        far.append(int(d.argmax()))
+        d = np.minimum(d, ((c - c[far[-1]]) ** 2).sum(axis=1))
+    return Lists(c, graph, np.unique([*np.linspace(0, n - 1, min(n, ENTRIES)).astype(np.int64).tolist(), *far]))
 
 
 def assign(lists: Lists, x: np.ndarray, epsilon: float, replicas: int = REPLICAS) -> list[np.ndarray]:
