@@ -52,11 +52,10 @@ def sample_per_key(df: DataFrame, key: str | None, k: int, id_col: str, seed: in
     sketch of both. So every task keeps ``k`` rows a key while its rows stream by,
     sends only those, and the few that arrive are merged in one grouping; there
     is no window over the rows and nothing is sorted but sketches. Rows with a
-    null id, and repeated ids, are ranked alike, ties by all columns as text.
+    null id, and repeated ids, are ranked alike, ties by a hash of all columns.
     Passes SKETCH_ROWS on and starts anew where a task meets more keys than that."""
     names = df.columns
-    fixed = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
-    ranked = df.select("*", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("_rank"), fixed.alias("_tie"))
+    ranked = df.select("*", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("_rank"), F.xxhash64(*names).alias("_tie"))
     groups = [key] if key else []
 
     def least(batches):

@@ -640,7 +640,7 @@ def q_m5(spark, sf):
 # =========================================================================== T (streaming)
 @query("t1_moderate_stream")
 def q_t1(spark, sf):
-    docs = stream.read_stream(spark, sf, table(spark, sf, "documents").schema, glob="documents.parquet", max_files_per_trigger=1)
+    docs = stream.table_stream(spark, sf, "documents")
     labels = table(spark, sf, "labels")
     return stream.run_available_now(stream.moderate_stream(docs.select("doc_id", "text"), labels=labels), "t1")
 
@@ -648,7 +648,7 @@ def q_t1(spark, sf):
 @query("t1_routed_stream")
 def q_t1_routed(spark, sf):
     """Route and output of every message, each micro-batch committed once."""
-    docs = stream.read_stream(spark, sf, table(spark, sf, "documents").schema, glob="documents.parquet", max_files_per_trigger=1)
+    docs = stream.table_stream(spark, sf, "documents")
     moderated = stream.moderate_stream(docs.select("doc_id", "text"), labels=table(spark, sf, "labels")).select("row_id", "source", "target", "action", "severity")
     done = stream.run_routed(moderated, "t1", _scratch(spark, "t1"))
     out = done.read(T.StructType([T.StructField(n, t) for n, t in (("row_id", T.LongType()), ("toxicity", T.DoubleType()), ("output", T.StringType()), ("route", T.StringType()))]))
@@ -657,7 +657,7 @@ def q_t1_routed(spark, sf):
 
 @query("t2_stream_dedup")
 def q_t2(spark, sf):
-    ev = stream.read_stream(spark, sf, table(spark, sf, "events").schema, glob="events.parquet")
+    ev = stream.table_stream(spark, sf, "events")
     out = stream.stream_dedup(ev.select("event_id", "ts", "user_id", "event_type"), ["user_id", "event_type"])
     kept = stream.run_available_now(out, "t2")
     return kept.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
@@ -665,7 +665,7 @@ def q_t2(spark, sf):
 
 @query("t3_manner_score_stream")
 def q_t3s(spark, sf):
-    ev = stream.read_stream(spark, sf, table(spark, sf, "events").schema, glob="events.parquet")
+    ev = stream.table_stream(spark, sf, "events")
     return stream.run_available_now(stream.manner_score(ev), "t3")
 
 
@@ -696,9 +696,9 @@ def q_s1(spark, sf):
 
 @query("s2_parallel_scan")
 def q_s2(spark, sf):
-    """The labelled relation as one TSV file, scanned by byte ranges."""
+    """The labelled relation as TSV files, each scanned by byte ranges."""
     lab = fx.labelled(spark, sf).select("row_id", "source", "action", "reason")
-    sinks.write_tsv(lab.coalesce(1), path := _scratch(spark, "s2"))
+    sinks.write_tsv(lab, path := _scratch(spark, "s2"))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in lab.schema])
     return readers.read_tsv(spark, path, schema, range_bytes=1 << 20)
 

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from textguard.operators import policy
 from textguard.session import ensure_checkpoint_dir
+from textguard.sources.readers import table
 from textguard.sources.snapshots import Dataset
 
 
@@ -31,6 +32,15 @@ def read_stream(spark: SparkSession, directory: str, schema, glob: str = "*.parq
     return r.parquet(directory)
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A driver table as a stream, whether it is one Parquet file or a folder of them."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hpath).isDirectory()
+    schema = table(spark, sf_dir, name).schema
+    return read_stream(spark, *((path, schema) if folder else (sf_dir, schema, f"{name}.parquet")), max_files_per_trigger=max_files_per_trigger)
+
+
 def moderate_stream(docs: DataFrame, text: str = "text", id_col: str = "doc_id", labels: DataFrame | None = None) -> DataFrame:
     """Per-message rule labelling (R11) on a stream, no state.
 
