@@ -9,14 +9,12 @@ third of all rows are still computed by many tasks.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from textguard.session import ensure_checkpoint_dir
+from textguard.session import scratch_table
 
 # Window groups that spread_groups makes, beside one for each class.
 GROUPS = 1 << 15
@@ -34,8 +32,8 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def pin(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    """Write ``df`` to the shared checkpoint folder and read it back (``session.release`` removes it)."""
+    path = scratch_table(df.sparkSession, name)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

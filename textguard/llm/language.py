@@ -246,11 +246,11 @@ def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
         return [rows.column("row"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(lengths, pa.float64())]
 
     if tree.count() <= most_nodes:
-        sent = spark.sparkContext.broadcast(unpacked(flat.toArrow()))
+        sent = spark.sparkContext.broadcast(vars(unpacked(flat.toArrow())))  # arrays only
 
         def run(batches):
             for b in batches:
-                yield pa.RecordBatch.from_arrays(judged(b, sent.value), names=schema.names)
+                yield pa.RecordBatch.from_arrays(judged(b, Trees(**sent.value)), names=schema.names)
 
         done = read.mapInArrow(run, schema)
     else:
