@@ -2,6 +2,8 @@
 planned through a single-partition exchange over the data."""
 
 import pytest
+import os
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -90,3 +92,15 @@ def test_threshold_split_equals_ranked_split(spark):
     b = split.stratified_split_ranked(d, "doc_id", "lang").select("doc_id", F.col("split").alias("b"))
     j = a.join(b, "doc_id")
     assert j.count() == d.count() and j.filter("a <> b").count() == 0
+
+
+def test_intermediate_tables_are_released(spark, tmp_path):
+    from textguard import session
+
+    session._written.clear()  # what other tests wrote stays
+    kept = session.materialize(spark.range(5), "one")
+    session.materialize(spark.range(3), "two")
+    paths = list(session._written)
+    assert len(paths) == 2 and kept.count() == 5 and all(os.path.isdir(p.removeprefix("file:")) for p in paths)
+    assert session.release(spark) == 2 and not any(os.path.exists(p.removeprefix("file:")) for p in paths)
+    assert session.release(spark) == 0

@@ -5,3 +5,10 @@ small aggregate DataFrame); nothing on the data path is collected to the driver.
 """
 
 __version__ = "0.1.0"
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the workers by value: they need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -15,7 +15,6 @@ symbol its place in the text, so a hit can be replaced where it stands.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 
@@ -155,7 +154,17 @@ COMPOUNDS = "ㄳ ㄵ ㄶ ㄺ ㄻ ㄼ ㄽ ㄾ ㄿ ㅀ ㅄ ㅘ ㅙ ㅚ ㅝ ㅞ ㅟ
 PARTS = "ㄱㅅ ㄴㅈ ㄴㅎ ㄹㄱ ㄹㅁ ㄹㅂ ㄹㅅ ㄹㅌ ㄹㅍ ㄹㅎ ㅂㅅ ㅗㅏ ㅗㅐ ㅗㅣ ㅜㅓ ㅜㅔ ㅜㅣ ㅡㅣ"
 
 
-@lru_cache(maxsize=1)
+def _once(name: str, make):
+    """``make()``, kept as long as the Python worker lives."""
+    import sys
+    import types
+
+    held = sys.modules.setdefault("_textguard_tables", types.ModuleType("_textguard_tables")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 def _kept() -> np.ndarray:
     """Of all code points: letters, numbers and ASCII white space (what R7 keeps)."""
     import unicodedata
@@ -165,7 +174,6 @@ def _kept() -> np.ndarray:
     return out
 
 
-@lru_cache(maxsize=1)
 def _spelt() -> dict[int, tuple[int, ...]]:
     """Code points that are spelt as others: Hangul syllables, compound letters,
     conjoining letters, capital ASCII letters."""
@@ -181,7 +189,6 @@ def _spelt() -> dict[int, tuple[int, ...]]:
     return out | {c: (c + 32,) for c in range(65, 91)}
 
 
-@lru_cache(maxsize=1)
 def _spelt_table() -> np.ndarray:
     """Up to six symbols for every code point of the basic plane, 0 for none."""
     out = np.zeros((0x10000, 6), np.int32)
@@ -202,11 +209,11 @@ class Folding:
     @staticmethod
     def of(points: np.ndarray, offsets: np.ndarray) -> "Folding":
         """Of code points of texts one after the other."""
-        kept = np.flatnonzero(_kept()[points])
+        kept = np.flatnonzero(_once("kept", _kept)[points])
         p = points[kept]
         parts = np.zeros((len(p), 6), np.int32)
         basic = p < 0x10000
-        parts[basic] = _spelt_table()[p[basic]]
+        parts[basic] = _once("spelt", _spelt_table)[p[basic]]
         parts[~basic, 0] = p[~basic]
         there = parts != 0
         there[:, 0] = True

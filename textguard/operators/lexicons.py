@@ -65,7 +65,7 @@ def search(df: DataFrame, lexicon: DataFrame, text: str = "text", obfuscated: bo
         machine = ac.Automaton.build(_folded(words), 0x110000)
     else:
         machine = ac.Automaton.build([np.frombuffer(w.encode(), np.uint8) for w in words], 256)
-    sent = df.sparkSession.sparkContext.broadcast((machine, words, stems, categories, ac.is_word_symbol()))
+    sent = df.sparkSession.sparkContext.broadcast((vars(machine), words, stems, categories, ac.is_word_symbol()))  # arrays and lists only
     row, out = [F.col(c).alias(f"c{i}") for i, c in enumerate(df.columns)], T._parse_datatype_string("keywords array<string>, n_hits int, categories string, purified string")
     read = df.select(F.struct(*row).alias("row"), F.col(text).alias("text"))
     schema = T.StructType([read.schema["row"], *out.fields])
@@ -86,7 +86,8 @@ def search(df: DataFrame, lexicon: DataFrame, text: str = "text", obfuscated: bo
         return ac.Folding.of(points, offsets).found(machine, word_symbol), offsets, lambda i, j: joined[i:j]
 
     def run(batches):
-        machine, words, stems, categories, word_symbol = sent.value
+        parts, words, stems, categories, word_symbol = sent.value
+        machine = ac.Automaton(**parts)
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
             for i, j in _runs(sizes):

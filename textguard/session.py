@@ -55,6 +55,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Tables written for intermediate results by this process, until ``release``.
+_written: list[str] = []
+
+
+def scratch_table(spark: SparkSession, name: str) -> str:
+    """A new path under the checkpoint folder for an intermediate table."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Remove the intermediate tables that this process wrote; their number.
+
+    To be called when the results made from them were written or are no longer
+    needed: a DataFrame that still reads one of them fails afterwards."""
+    jvm, done = spark.sparkContext._jvm, 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        done += bool(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))
+    return done
+
+
 def materialize(df: DataFrame, name: str, session: SparkSession | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and read it back (in
     ``session``, if that isn't the one of ``df``).
@@ -63,7 +86,7 @@ def materialize(df: DataFrame, name: str, session: SparkSession | None = None) -
     the write), and keeps a columnar copy, so later readers prune columns.
     """
     spark = df.sparkSession
-    path = ensure_checkpoint_dir(spark).rstrip("/") + f"/tables/{name}-{uuid.uuid4().hex}"
+    path = scratch_table(spark, name)
     df.write.parquet(path)
     return (session or spark).read.parquet(path)
 
