@@ -90,18 +90,17 @@ def count(train: DataFrame) -> DataFrame:
 
     def run(batches):
         waiting: dict[str, list] = {}
-        sizes: dict[str, int] = {}
+        size = 0
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
                 raw = symbols(text.as_py())
                 for i in range(0, max(0, len(raw) - ORDER), GRAMS):
                     waiting.setdefault(lang, []).append(grams(raw[i : i + GRAMS + ORDER]))
-                    sizes[lang] = sizes.get(lang, 0) + len(waiting[lang][-1])
-                    if sizes[lang] >= 4 * GRAMS:
-                        yield summed(lang, waiting.pop(lang))
-                        sizes[lang] = 0
-        for lang, grams_ in waiting.items():
-            yield summed(lang, grams_)
+                    size += len(waiting[lang][-1])
+                    if size >= 2 * GRAMS:  # of all languages together
+                        yield from (summed(*one) for one in waiting.items())
+                        waiting, size = {}, 0
+        yield from (summed(*one) for one in waiting.items())
 
     return train.mapInArrow(run, fields(lang="string", gram="long", n="long")).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
