@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from textguard.operators import split
+from textguard.operators import index, split
 from textguard.operators.index import global_index, hex_buckets
 from textguard.sources.readers import table
 
@@ -39,6 +39,18 @@ def test_bucket_index_with_strata(spark, parts):
     assert got.join(want, "doc_id").filter("idx <> want").count() == 0
 
 
+def test_ranges_follow_the_input_of_a_join(spark, monkeypatch):
+    """The planner's estimate of a join is the product of both sides; the number
+    of ranges grows with their sum."""
+    d, labels = _docs(spark), table(spark, SF_SMALL, "labels")
+    read = sum(os.path.getsize(f"{SF_SMALL}/{n}.parquet") for n in ("documents", "labels"))
+    monkeypatch.setattr(index, "RANGE_BYTES", read // 40)
+    joined = d.join(labels, "doc_id", "left").select("doc_id")
+    assert 8 <= index.ranges_for(joined) <= 41
+    both = global_index(joined, ["doc_id"]).join(_plain(_docs(spark), ["doc_id"]).select("doc_id", "want"), "doc_id")
+    assert both.count() == d.count() and both.filter("idx <> want").count() == 0
+
+
 def test_skewed_key_index(spark):
     # one order value holds most rows; the tie-break keeps the order total
     d = _docs(spark).withColumn("k", F.when(F.col("doc_id") % 10 < 7, F.lit(0)).otherwise(F.col("doc_id")))

@@ -33,15 +33,25 @@ OFFSETS_BROADCAST_ROWS = 2_000_000
 # Rows from the head up to which a slice is a top-k.
 HEAD_ROWS = 100_000
 
-# Bytes that a range of the index should hold, by the planner's estimate of its input.
+# Bytes of its input that a range of the index should hold, by the planner's estimate.
 RANGE_BYTES = 256 << 20
 
 
+def input_bytes(df: DataFrame) -> int:
+    """The planner's estimate of ``df``, and no more than that of all it reads: of a
+    join the planner takes the product of both sides, which grows with the square
+    of the tables. 0 if nothing is known."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    read = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    estimate = min(int(plan.stats().sizeInBytes()), read)
+    return estimate if estimate < 1 << 62 else 0  # no estimate: the planner's default is a huge number
+
+
 def ranges_for(df: DataFrame) -> int:
     """Ranges for ``df``: as many as its estimated bytes ask for, and no fewer
     than the session's shuffle partitions."""
-    estimate = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    wanted = -(-estimate // RANGE_BYTES) if estimate < 1 << 62 else 0  # no estimate: the planner's default is a huge number
+    wanted = -(-input_bytes(df) // RANGE_BYTES)
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(wanted, 1_000_000))
 
 
