@@ -92,6 +92,31 @@ def test_stream_dedup_late_events_and_ended_state(spark, tmp_path):
     assert sorted(r[0] for r in out.select("id").collect()) == [0, 2, 3, 5, 6, 7]
 
 
+def test_stream_dedup_of_many_keys_makes_few_calls(spark, tmp_path):
+    """Many keys with few events each: the state has a row for a bucket, not for a
+    key; keys are told apart by all their digits, null keys are one of their own."""
+    import random
+
+    random.seed(5)
+    keys = [None, *(2**60 + i for i in range(400))]
+    rows = [(2**61 + i if i % 50 else None, 1_700_000_000 + random.randrange(20_000), random.choice(keys), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, s long, k long, n int").select("id", F.timestamp_seconds("s").alias("ts"), "k", "n")
+    path = str(tmp_path / "in")
+    for i in range(3):
+        df.filter(F.unix_seconds("ts").between(1_700_000_000 + i * 7_000, 1_700_006_999 + i * 7_000)).coalesce(1).write.mode("append").parquet(path)
+    dedup = stream.stream_dedup(stream.read_stream(spark, path, df.schema, max_files_per_trigger=1), ["k"], buckets=7)
+    q = dedup.writeStream.format("memory").queryName("many_keys").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {r["n"]: (r["id"], r["k"]) for r in spark.table("many_keys").collect()}
+    states = [op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"]]
+    # equal times of a key: the smaller id first, a null one last
+    ranked = sorted(range(3000), key=lambda i: (rows[i][1], rows[i][0] is None, rows[i][0] or 0, i))
+    place = {i: p for p, i in enumerate(ranked)}
+    want = {ranked[p] for p in _greedy([(place[i], rows[i][1], rows[i][2]) for i in range(3000)])}
+    assert got == {i: (rows[i][0], rows[i][2]) for i in want}
+    assert 0 < max(states) <= 7
+
+
 def _messages(spark, folder, texts):
     """One file a text, so that each is a micro-batch."""
     schema = spark.createDataFrame([], "doc_id long, text string").schema

@@ -1,8 +1,8 @@
 """Structured Streaming forms of the moderation rules.
 
 The batch operators are reused unchanged on streaming DataFrames: the labeller
-and the threshold decision are stateless, their routes written once (T1); dedup keeps the last kept time of a key, as the engine's state, until the watermark
-passes it by the delay (T2); the manner
+and the threshold decision are stateless, their routes written once (T1); dedup keeps the last kept times of the keys, as the engine's state, until the watermark
+passes them by the delay (T2); the manner
 score is a tumbling-window count with a watermark so state is bounded and late
 rows are dropped (T3). Sinks and stream checkpoints live under the session's
 checkpoint directory (a shared folder on a cluster).
@@ -75,21 +75,42 @@ def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def stream_dedup(df: DataFrame, keys, ts: str = "ts", delay: str = "10 minutes") -> DataFrame:
+#: Buckets that the keys of a stream are dealt over; its state has one row for each.
+DEDUP_BUCKETS = 4096
+
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _identity(schema: T.StructType, keys: list[str]):
+    """One string for the values of ``keys``, equal where grouping by them is."""
+
+    def exact(name):
+        kind = schema[name].dataType
+        if isinstance(kind, T.TimestampType):
+            return F.unix_micros(name)
+        return F.col(name) + F.lit(0.0).cast(kind) if isinstance(kind, (T.FloatType, T.DoubleType)) else F.col(name)  # -0.0 is 0.0
+
+    values = F.struct(*(exact(k).alias(f"k{i}") for i, k in enumerate(keys)))
+    return F.to_json(values, {"ignoreNullFields": "false", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+
+
+def stream_dedup(df: DataFrame, keys, ts: str = "ts", delay: str = "10 minutes", buckets: int = DEDUP_BUCKETS) -> DataFrame:
     """Drop an event if the previous *kept* event of its key is at most
     ``delay`` earlier.
 
-    The state is the engine's (``applyInPandasWithState``): the time of a key's
-    last kept event, which ends once the watermark (the latest time of the
+    The state is the engine's (``applyInPandasWithState``): the times of the last
+    kept events of a bucket's keys. A time ends once the watermark (the latest time of the
     micro-batches before, less ``delay``) is ``delay`` past it. Inside a micro-batch
     events are taken in event-time order (ties by the other columns), so the kept
     rows don't depend on their order in the files; micro-batches must follow event
     time, and an event older than the watermark is late and dropped. Events without
     a time are dropped.
 
-    Scale: keys are dealt over the tasks, one key's events go to one task, as with any
-    keyed state. Of a key a task holds the first event of every instant, while the
-    others stream by; bound the micro-batch (``max_files_per_trigger``) to bound that."""
+    Scale: keys are dealt over ``buckets`` by hash, since a call of Python for each key
+    costs milliseconds however few events it has. One bucket's events go to one task, which
+    holds of each key the first event of every instant, while the others stream by; bound
+    the micro-batch (``max_files_per_trigger``) to bound that. A stream's number of
+    buckets is part of its checkpoint: it stays as it was begun."""
     import pandas as pd
     from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -98,36 +119,54 @@ def stream_dedup(df: DataFrame, keys, ts: str = "ts", delay: str = "10 minutes")
     timed = event_time(df, ts)
     names = timed.columns
     # Times travel as microseconds; the event-time column is there for the watermark.
-    rows = timed.filter(F.col(ts).isNotNull()).withColumn("_us", F.unix_micros(F.col(ts))).withWatermark(ts, delay)
-    out = T.StructType([T.StructField("_us", T.LongType()), *(f for f in timed.schema if f.name != ts)])
-    order = ["_us", *(n for n in names if n != ts)]
+    # Integers travel with a flag, as pandas makes a column of them with nulls one of floats.
+    flags = {f.name: f"_null_{f.name}" for f in timed.schema if isinstance(f.dataType, _INTEGERS)}
+    key = _identity(timed.schema, keys)
+    sent = {"_us": F.unix_micros(F.col(ts)), "_key": key, "_bucket": F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")}
+    sent |= {flag: F.col(n).isNull() for n, flag in flags.items()}
+    rows = timed.filter(F.col(ts).isNotNull()).withColumns(sent).fillna(0, list(flags)).withWatermark(ts, delay)
+    out = T.StructType([T.StructField("_us", T.LongType()), *(f for f in timed.schema if f.name != ts), *(T.StructField(f, T.BooleanType()) for f in flags.values())])
+    order = ["_key", "_us", *(c for n in names if n != ts for c in ([flags[n], n] if n in flags else [n]))]
+
+    def firsts(parts):
+        return pd.concat(parts, ignore_index=True).sort_values(order, kind="stable").drop_duplicates(["_key", "_us"], ignore_index=True)
 
     def first_of_instants(parts):
-        held = None
+        held, size, least = [], 0, 100_000
         for part in parts:
-            part = part[order] if held is None else pd.concat([held, part[order]], ignore_index=True)
-            held = part.sort_values(order, kind="stable").drop_duplicates("_us", ignore_index=True)
-        return held
-
-    def fold(key, parts, state):
+            held.append(part[order])
+            size += len(part)
+            if size > least:
+                held = [firsts(held)]
+                size = len(held[0])
+                least = max(least, 2 * size)
+        return firsts(held)
+
+    def fold(bucket, parts, state):
         if state.hasTimedOut:
             state.remove()
             return
-        last = state.get[0] if state.exists else None
-        held = first_of_instants(parts)
-        times, kept = held["_us"].to_numpy(), []
-        i = 0 if last is None else int(times.searchsorted(last + gap, "right"))
-        while i < len(times):
-            kept.append(i)
-            last = int(times[i])
-            i = int(times.searchsorted(last + gap, "right"))
-        state.update((last,))
-        state.setTimeoutTimestamp(max((last + gap) // 1000, state.getCurrentWatermarkMs()) + 1)
+        mark = state.getCurrentWatermarkMs()
+        last = dict(zip(*state.get)) if state.exists else {}
+        held, kept = first_of_instants(parts), []
+        for i, (k, t) in enumerate(zip(held["_key"].tolist(), held["_us"].tolist())):
+            before = last.get(k)
+            if before is None or t > before + gap:
+                last[k] = t
+                kept.append(i)
+        last = {k: t for k, t in last.items() if t + gap >= mark * 1000}
+        if last:
+            state.update((list(last), list(last.values())))
+            state.setTimeoutTimestamp(max((max(last.values()) + gap) // 1000, mark) + 1)
+        elif state.exists:
+            state.remove()
         if kept:
             yield held.iloc[kept][out.names]
 
-    done = rows.groupBy(*keys).applyInPandasWithState(fold, out, T.StructType([T.StructField("last", T.LongType())]), "append", GroupStateTimeout.EventTimeTimeout)
-    return done.withColumn(ts, F.timestamp_micros("_us")).select(*names)
+    held = T.StructType([T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("last", T.ArrayType(T.LongType()))])
+    done = rows.groupBy("_bucket").applyInPandasWithState(fold, out, held, "append", GroupStateTimeout.EventTimeTimeout)
+    back = {n: F.when(~F.col(flag), F.col(n)) for n, flag in flags.items()}
+    return done.withColumns({ts: F.timestamp_micros("_us"), **back}).select(*names)
 
 
 def manner_score(df: DataFrame, ts: str = "ts", window: str = "1 hour", delay: str = "10 minutes", bad: str = "error") -> DataFrame:
