@@ -47,3 +47,17 @@ def test_false_hits_are_few(spark):
     others = spark.range(10_000, 30_000).select(F.col("id").alias("k"))
     assert keys.filter(bloom.may_hold(words, F.col("k"), bits)).count() == 2000
     assert others.filter(bloom.may_hold(words, F.col("k"), bits)).count() < 600
+
+
+def test_missing_rows_digest_each_text_once(spark):
+    """The anti-join and its filter use the digests over and over; no text is read for them again."""
+    from textguard.operators import diff
+
+    rows = [(i, None if i % 11 == 0 else f"text, number {i % 400}!") for i in range(600)]
+    raw = spark.createDataFrame(rows, "doc_id long, text string")
+    proc = raw.filter("doc_id % 400 not in (5, 77)").filter("text is not null").withColumn("text", F.upper("text")).withColumn("text", F.lower("text"))
+    out = diff.missing_rows(raw, proc)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5(" not in plan and "regexp" not in plan
+    want = sorted(i for i, t in rows if t is None or i % 400 in (5, 77))
+    assert out.columns == raw.columns and sorted(r[0] for r in out.collect()) == want

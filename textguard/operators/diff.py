@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from textguard.functions import text as tx
 from textguard.operators import bloom, gaps
 from textguard.operators.index import global_index
+from textguard.session import materialize
 
 # Positions of the first look-ahead pass for the first gap.
 LOOK_AT_ONCE = 1_000_000
@@ -114,6 +115,10 @@ def coverage(raw: DataFrame, proc: DataFrame, order_cols, text: str = "text", st
 
 
 def missing_rows(raw: DataFrame, proc: DataFrame, text: str = "text", strict_reference: bool = False) -> DataFrame:
-    """Raw rows whose sanitised text occurs nowhere in processed (order-free)."""
-    keys = proc.select(digest(F.col(text), strict_reference).alias("_key"))
-    return bloom.anti_join(raw.withColumn("_key", digest(F.col(text), strict_reference)), keys, "_key").drop("_key")
+    """Raw rows whose sanitised text occurs nowhere in processed (order-free).
+    Each side's digests are computed once and pinned: the anti-join reads them a
+    few times, and its filter uses a key eight times a row."""
+    key = digest(F.col(text), strict_reference).alias("_key")
+    keys = materialize(proc.select(key).distinct(), "processed-keys")
+    rows = materialize(raw.select("*", key), "raw-keyed")
+    return bloom.anti_join(rows, keys, "_key").drop("_key")
