@@ -61,6 +61,16 @@ def test_classifier_end_to_end(spark):
     assert pred.filter("confidence < 0 OR confidence > 1").count() == 0
 
 
+def test_evaluation_labels_and_reads_the_texts_once(spark, monkeypatch):
+    """The labelled table is made once for both splits, and the measures of a model
+    read its predictions, not the texts again."""
+    made, labelled = [], fx.labelled
+    monkeypatch.setattr(fx, "labelled", lambda *a: made.append(1) or labelled(*a))
+    ev = se.queries()["m4_evaluate"](spark, SF_SMALL)
+    assert len(made) == 1 and ev.first().n > 0
+    assert "UDF" not in ev._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_table_classifier_on_awkward_texts(spark):
     from textguard.operators import bayes
 

@@ -569,24 +569,19 @@ def q_m1(spark, sf):
     return model.score(lab)
 
 
-def _train_test(spark, sf):
-    """Training reads its input several times (IDF, then the classifier). The
-    split is already a map-only pass over the pinned labelled table with
-    persisted boundaries, so re-reading it is cheaper than pinning it again."""
-    return _split_rows(spark, sf, "train"), _split_rows(spark, sf, "test")
-
-
-def _split_rows(spark, sf, name: str):
+def _train_test(spark, sf, held: str = "test"):
+    """The split is a map-only pass over the pinned labelled table with persisted
+    boundaries: made once for both parts, and re-read rather than pinned again."""
     s = fx.splits(spark, sf).select("row_id", F.col("source").alias("text"), F.col("action").alias("label"), "split")
-    return s.filter(F.col("split") == name)
+    return s.filter(F.col("split") == "train"), s.filter(F.col("split") == held)
 
 
 @query("m2_fit_classifier")
 def q_m2(spark, sf):
     """Fitted on the train split, confusion on the valid split."""
-    train, _ = _train_test(spark, sf)
+    train, valid = _train_test(spark, sf, "valid")
     m = model.fit_classifier(train)
-    return model.confusion(m.transform(_split_rows(spark, sf, "valid")))
+    return model.confusion(m.transform(valid))
 
 
 @query("m3_classify")
