@@ -173,3 +173,25 @@ def test_lexicon_bounds(spark, monkeypatch):
     monkeypatch.setattr(ac, "MOST_CELLS", 3)
     with pytest.raises(ValueError, match="cells"):
         ac.Automaton.build([np.frombuffer(b"abc", np.uint8)], 256)
+
+
+def test_obfuscated_texts_are_folded_a_little_at_a_time(spark, monkeypatch):
+    """What a task holds for a batch doesn't follow the batch's bytes."""
+    import tracemalloc
+
+    from textguard.operators import lexicons
+
+    df = spark.range(60).selectExpr("id", "case when id = 7 then null else concat(repeat('some words here ', 6000), 'i-d.i*o t', id) end as text")
+    lex = spark.createDataFrame([("idiot", "person", "SLUR")], "word string, stem string, category string")
+    kept, run_as = {}, type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, fn, schema: kept.update(fn=fn, read=self) or run_as(self, fn, schema))
+    lexicons.search(df, lex, obfuscated=True)
+    batches = kept["read"].toArrow().to_batches()
+    list(kept["fn"](batches[:0]))  # the tables of a worker
+    tracemalloc.start()
+    try:
+        rows = sum(out.num_rows for out in kept["fn"](iter(batches)))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 60 and peak < 200 << 20

@@ -23,8 +23,9 @@ from textguard.functions import automaton as ac
 
 #: Words that a lexicon may have here; beyond, ``policy.purify_by_join``.
 MOST_WORDS = 1_000_000
-#: Bytes of text that are searched at a time.
-SLICE = 4 << 20
+#: Bytes of text that are searched at a time, as they are and as symbols of
+#: obfuscated texts, which take over a hundred bytes of arrays each.
+SLICE, FOLDED_SLICE = 4 << 20, 1 << 19
 
 
 def entries(lexicon: DataFrame) -> list[tuple[str, str, str]]:
@@ -67,7 +68,8 @@ def search(df: DataFrame, lexicon: DataFrame, text: str = "text", obfuscated: bo
         machine = ac.Automaton.build([np.frombuffer(w.encode(), np.uint8) for w in words], 256)
     sent = df.sparkSession.sparkContext.broadcast((vars(machine), words, stems, categories, ac.is_word_symbol()))  # arrays and lists only
     row, out = [F.col(c).alias(f"c{i}") for i, c in enumerate(df.columns)], T._parse_datatype_string("keywords array<string>, n_hits int, categories string, purified string")
-    read = df.select(F.struct(*row).alias("row"), F.col(text).alias("text"))
+    read = df.select(F.struct(*row).alias("row"))  # the text among its fields, sent once
+    at_field, most = df.columns.index(text), FOLDED_SLICE if obfuscated else SLICE
     schema = T.StructType([read.schema["row"], *out.fields])
 
     def of_bytes(texts, machine, word_symbol):
@@ -89,9 +91,10 @@ def search(df: DataFrame, lexicon: DataFrame, text: str = "text", obfuscated: bo
         parts, words, stems, categories, word_symbol = sent.value
         machine = ac.Automaton(**parts)
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
-            for i, j in _runs(sizes):
-                texts = batch.column(1).slice(i, j - i)
+            every = batch.column(0).field(at_field)
+            sizes = pc.fill_null(pc.binary_length(every), 0).to_numpy()
+            for i, j in _runs(sizes, most):
+                texts = every.slice(i, j - i)
                 hits, offsets, cut = (of_points if obfuscated else of_bytes)(texts, machine, word_symbol)
                 by_text: dict[int, list] = {}
                 for s, e, w in hits:
@@ -113,11 +116,11 @@ def search(df: DataFrame, lexicon: DataFrame, text: str = "text", obfuscated: bo
     return done.select(*(F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(df.columns)), *out.names)
 
 
-def _runs(sizes) -> list[tuple[int, int]]:
-    """[i, j) of rows of about SLICE bytes."""
+def _runs(sizes, most: int) -> list[tuple[int, int]]:
+    """[i, j) of rows of about ``most`` bytes."""
     out, i, total = [], 0, 0
     for j, n in enumerate(sizes.tolist()):
-        if total and total + n > SLICE:
+        if total and total + n > most:
             out.append((i, j))
             i, total = j, 0
         total += n + 1
