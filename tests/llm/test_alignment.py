@@ -93,6 +93,37 @@ def test_pieces_and_packs_change_nothing(spark, monkeypatch):
         assert len(back) == len(side) and all(len(x) == len(y) and (x == y).all() for x, y in zip(back, side))
 
 
+def test_texts_are_aligned_once(spark, tmp_path, monkeypatch):
+    """The links' counts are looked up by places that were written, in packs of
+    several runs, without a second alignment."""
+    texts = [f"{w} the cat sat on the {w}\n{i % 7}" for i, w in enumerate(["mat", "Zürich", "", "x y  z", "한국어"] * 40)]
+    align, seen = alignment.align, str(tmp_path)
+
+    def counted(ids, *args):
+        import os
+        import tempfile
+
+        os.close(tempfile.mkstemp(prefix=f"{len(ids)}-", dir=seen)[0])
+        return align(ids, *args)
+
+    monkeypatch.setattr(alignment, "align", counted)
+    monkeypatch.setattr(alignment, "SLICE", 1 << 10)
+    monkeypatch.setattr(alignment, "PACK", 1 << 11)
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, text string").repartition(2)
+    got = _rows(alignment.alignment(df), "i", *alignment.RESULTS.names)
+    assert got == [(i, *r) for i, r in enumerate(brute(texts))]
+    calls = [int(p.name.split("-")[0]) for p in tmp_path.iterdir()]
+    assert sum(calls) == len(texts) and len(calls) > 4
+
+
+def test_links_are_kept_as_written():
+    import numpy as np
+
+    for columns in ([[], [], []], [[0, 0, 5], [1, 1 << 40, 2], [3, 1, 1 << 33]]):
+        back = alignment.unpacked(alignment.packed(*(np.array(c, np.int64) for c in columns)), 3)
+        assert [c.tolist() for c in back] == columns
+
+
 def test_edges(spark, docs, empty):
     out = alignment.alignment(docs)
     assert out.columns[: len(CLASHES) + 2] == ["doc_id", "lang", *CLASHES] and out.count() == len(TEXTS)

@@ -12,13 +12,16 @@ the common ends; tokens grouped by (group, id) and joined by group are the
 links, and ``Table.group_by`` counts them: by document, then over a pack of
 documents. Spark sums the packs' partial counts.
 
-Scale: texts are read and encoded once; ids are written, compressed, with the
-number of their pack (PACK bytes of text, or one longer document). What is
-shuffled is one row for each pack and distinct pair, twice - to be summed, and
-to take the sum back to the pack - and the ids, by pack. No count is broadcast:
-they grow with the corpus. A pair in very many packs is a row of two plain
-tables' join, which may be split. Inside a task a document is aligned in pieces
-of about PIECE tokens, cut at common ends, and links are made PAIRS at a time.
+Scale: texts are read, encoded and aligned once; their groups, spelt out, and
+their links, each with the place of its pair among those of the pack, are
+written, compressed, with the number of the pack (PACK bytes of text, or one
+longer document), in fewer bytes than the ids would take. What is shuffled is
+one row for each pack and distinct pair, twice - to be summed, and to take the
+sum back to the pack - and groups and links, by pack, where a link's count is
+looked up by its place. No count is broadcast: they grow with the corpus. A pair
+in very many packs is a row of two plain tables' join, which may be split. Inside
+a task a document is aligned in pieces of about PIECE tokens, cut at common ends,
+and links are made PAIRS at a time.
 
 Defined results: null and empty texts, and texts whose tokens don't spell them
 (a literal U+2581, say), have no tokens, groups or links; strings of special
@@ -44,7 +47,7 @@ from textguard.llm.common import fields, pin, worker_cache
 #: Bytes of text whose pairs are counted and looked up together.
 PACK = 4 << 20
 #: Bytes of text that are encoded, and tokens that are aligned, at a time.
-SLICE, PIECE = 1 << 20, 1 << 19
+SLICE, PIECE = 1 << 19, 1 << 18
 #: Links that are made at a time.
 PAIRS = 1 << 22
 #: Results, beside the columns that pass through.
@@ -262,14 +265,32 @@ def align(ids: list[tuple[np.ndarray, np.ndarray]], sizes: list[pa.Array], names
 
 
 # --------------------------------------------------------------------------- on Spark
-ENCODED = fields(a="binary", b="binary", pack="long", pairs="binary").fields
+ENCODED = fields(groups="binary", links="binary", pack="long", pairs="binary").fields
+#: What is counted of every document.
+COUNTED = ("n_a", "n_b", "n_groups", "n_links")
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of as many numbers each, compressed by planes of bytes."""
+    from zstandard import compress
+
+    flat = np.concatenate(columns).astype("<i8")
+    return compress(np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 8).T).tobytes(), 3)
+
+
+def unpacked(data: bytes, columns: int) -> np.ndarray:
+    from zstandard import decompress
+
+    planes = np.frombuffer(decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").reshape(columns, -1)
 
 
 def encode(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32k.model", text: str = "text") -> DataFrame:
-    """(rows, n_a, n_b, a, b, pack, pairs), pinned, for runs of documents: their
-    other columns as structs, the numbers of their ids and the ids of both sides,
-    the pack, and in a pack's last row the pairs of the pack with the number of
-    its documents that hold them."""
+    """(rows, n_a, n_b, n_groups, n_links, groups, links, pack, pairs), pinned, for
+    runs of documents: their other columns as structs, their counts, their groups
+    spelt out, a line each; (document, place of the pair, times) of their links;
+    the pack, and in a pack's last row the sorted pairs of the pack with the
+    number of its documents that hold them."""
     carried = [c for c in docs.columns if c != text]
     row = F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(carried))) if carried else F.struct(F.lit(0).alias("c0"))
     read = docs.select(row.alias("row"), F.col(text).alias("text"))
@@ -281,26 +302,30 @@ def encode(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe_32
         both, number = Pair.cached(a, b), TaskContext.get().partitionId() << 33
         for batch in batches:
             sizes = np.array([len(t.as_buffer() or b"") if t.is_valid else 0 for t in batch.column(1).cast(pa.binary())])
-            counts, waiting = [], 0
+            waiting, held = 0, []
             for i, j in _runs(sizes):
                 ids = both.encode(batch.column(1).slice(i, j - i).to_pylist())
                 ids = [(x.values.to_numpy(), y.values.to_numpy()) for x, y in zip(*ids)]
-                linked = align(ids, both.sizes)[0]
-                counts.append(linked.group_by("pair", use_threads=False).aggregate([([], "count_all")]))
+                linked, n_groups, n_links, told = align(ids, both.sizes, both.names)
+                counted = [*([len(x[s]) for x in ids] for s in (0, 1)), n_groups.tolist(), n_links.tolist()]
+                held.append((i, j, counted, compress("\n".join(told).encode(), 3), linked.sort_by([("doc", "ascending"), ("pair", "ascending")])))
                 waiting += sizes[i:j].sum()
-                pairs, last = None, waiting >= PACK or j == batch.num_rows
-                if last:
-                    summed = pa.concat_tables(counts).group_by("pair", use_threads=False).aggregate([("count_all", "sum")]).sort_by("pair")
-                    pairs = compress(summed["pair"].to_numpy().astype("<i8").tobytes() + summed["count_all_sum"].to_numpy().astype("<i8").tobytes(), 1)
-                one = [pa.ListArray.from_arrays([0, j - i], batch.column(0).slice(i, j - i))]
-                one += [pa.array([[len(x[s]) for x in ids]], pa.list_(pa.int32())) for s in (0, 1)]
-                one += [pa.array([both.pack([x[s] for x in ids])], pa.binary()) for s in (0, 1)]
-                yield pa.RecordBatch.from_arrays([*one, pa.array([number]), pa.array([pairs], pa.binary())], names=schema.names)
-                if last:
-                    counts, waiting, number = [], 0, number + 1
-
-    schema = T.StructType([T.StructField("rows", T.ArrayType(read.schema["row"].dataType)), *(T.StructField(n, T.ArrayType(T.IntegerType())) for n in ("n_a", "n_b")), *ENCODED])
-    return pin(read.mapInArrow(run, schema), "alignment-ids")
+                if waiting < PACK and j < batch.num_rows:
+                    continue
+                counts = [linked.group_by("pair", use_threads=False).aggregate([([], "count_all")]) for *_, linked in held]
+                summed = pa.concat_tables(counts).group_by("pair", use_threads=False).aggregate([("count_all", "sum")]).sort_by("pair")
+                pair = summed["pair"].to_numpy()
+                for at, (i, j, counted, told, linked) in enumerate(held, 1):
+                    place = np.searchsorted(pair, linked["pair"].to_numpy())
+                    one = [pa.ListArray.from_arrays([0, j - i], batch.column(0).slice(i, j - i))]
+                    one += [pa.array([n], pa.list_(pa.int64())) for n in counted]
+                    one += [pa.array([x], pa.binary()) for x in (told, packed(linked["doc"].to_numpy(), place, linked["times"].to_numpy()))]
+                    pairs = compress(pair.astype("<i8").tobytes() + summed["count_all_sum"].to_numpy().astype("<i8").tobytes(), 1) if at == len(held) else None
+                    yield pa.RecordBatch.from_arrays([*one, pa.array([number]), pa.array([pairs], pa.binary())], names=schema.names)
+                waiting, held, number = 0, [], number + 1
+
+    schema = T.StructType([T.StructField("rows", T.ArrayType(read.schema["row"].dataType)), *(T.StructField(n, T.ArrayType(T.LongType())) for n in COUNTED), *ENCODED])
+    return pin(read.mapInArrow(run, schema), "alignment-links")
 
 
 def _runs(sizes: np.ndarray) -> list[tuple[int, int]]:
@@ -349,24 +374,22 @@ def alignment(docs: DataFrame, a: str = "byte_bpe_50k.json", b: str = "piece_bpe
     schema = T.StructType([T.StructField("row", row), *RESULTS.fields])
 
     def run(runs, known):
-        both = Pair.cached(a, b)
-        known = known.select(["pair", "n", "best"]).combine_chunks()
+        from zstandard import decompress
+
+        known = known.sort_by("pair")  # the pairs of the pack, all and in order: a link's place is a row
+        count, top = known["n"].to_numpy(), known["best"].to_numpy()
         out = [_arrow(schema).empty_table()]
         for i in range(len(runs)):
-            one = {c: runs[c][i] for c in ("rows", "n_a", "n_b", "a", "b")}
-            rows = one["rows"].values
-            ids = list(zip(*(both.unpack(one[s].as_buffer(), one[f"n_{s}"].as_py()) for s in ("a", "b"))))
-            linked, n_groups, n_links, texts = align(ids, both.sizes, both.names)
-            met = linked.join(known, "pair", join_type="inner", use_threads=False)
+            rows, *counted = (runs[c][i].values for c in ("rows", *COUNTED))
+            doc, place, times = unpacked(runs["links"][i].as_buffer(), 3)
             best, total = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
-            doc, times = met["doc"].to_numpy(), met["times"].to_numpy()
-            np.add.at(best, doc, times * met["best"].to_numpy())
-            np.add.at(total, doc, times * met["n"].to_numpy())
-            sizes = [np.array([len(x[s]) for x in ids], np.int64) for s in (0, 1)]
-            out.append(pa.table([rows, *sizes, n_groups, n_links, best, total, pa.array(texts, pa.string())], schema=_arrow(schema)))
+            np.add.at(best, doc, times * top[place])
+            np.add.at(total, doc, times * count[place])
+            told = decompress(runs["groups"][i].as_buffer()).decode().split("\n")
+            out.append(pa.table([rows, *counted, best, total, pa.array(told, pa.string())], schema=_arrow(schema)))
         return pa.concat_tables(out)
 
-    sent = encoded.select("rows", "n_a", "n_b", "a", "b", "pack")
+    sent = encoded.drop("pairs")
     done = sent.groupBy("pack").cogroup(known.groupBy("pack")).applyInArrow(run, schema)
     taken, kept = {f.lower() for f in RESULTS.names}, []
     for i, c in enumerate(carried):
