@@ -106,6 +106,24 @@ def test_threshold_split_equals_ranked_split(spark):
     assert j.count() == d.count() and j.filter("a <> b").count() == 0
 
 
+def test_drop_range_labels_its_rows_once(spark, monkeypatch):
+    """The pass that samples the bounds of the ranges reads a written table, not
+    the texts and their rules again."""
+    import __spark_entry__ as entry
+    from textguard.operators import index
+
+    read = []
+
+    def seen(df, *args, **kwargs):
+        read.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return ranges_for(df, *args, **kwargs)
+
+    ranges_for = index.ranges_for
+    monkeypatch.setattr(index, "ranges_for", seen)
+    assert entry.queries()["f4_drop_range"](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(read) == 1 and "Join" not in read[0] and "regexp" not in read[0] and "RegExp" not in read[0]
+
+
 def test_intermediate_tables_are_released(spark, tmp_path):
     from textguard import session
 
